@@ -1,0 +1,19 @@
+"""Join helpers: a size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows, else leave the join to AQE.
+
+    The check reads at most ``max_rows + 1`` rows (the small side is computed once more for it;
+    callers that reuse an expensive frame persist it themselves).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -32,6 +32,60 @@ CTE = {
     "vectors": """vectors AS (
   SELECT CAST(vec_id AS INTEGER) AS mid, CAST(embedding[1:8] AS DOUBLE[]) AS v FROM embeddings)""",
     "averages": """averages AS (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid)""",
+    # cosine > 0.6 between the fixed vectors, self pairs excluded
+    "vnorm": """vnorm AS (SELECT mid, v, sqrt(list_dot_product(v, v)) AS n FROM vectors)""",
+    "sims": """sims AS (
+  SELECT a.mid, b.mid AS mid2, list_dot_product(a.v, b.v) / (a.n * b.n) AS sim
+  FROM vnorm a JOIN vnorm b ON a.mid <> b.mid
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.v, b.v) / (a.n * b.n) > 0.6)""",
+    # --- fixed values: bucket of each genre word under Spark 4's HashingTF(numFeatures=20) ---
+    "buckets": """buckets(token, dim) AS (VALUES
+  ('action', 13), ('adventure', 13), ('animation', 13), ('comedy', 12), ('crime', 11),
+  ('documentary', 12), ('drama', 4), ('family', 17), ('fantasy', 19), ('foreign', 6),
+  ('history', 3), ('horror', 6), ('music', 10), ('mystery', 19), ('romance', 6),
+  ('science', 3), ('tv', 7), ('thriller', 6), ('war', 19), ('western', 4), ('', 12))""",
+    "words": """words AS (SELECT mid, string_split(lower(replace(genres, '|', ' ')), ' ') AS words FROM movies)""",
+    "tf": """tf AS (
+  SELECT mid, dim, CAST(count(*) AS DOUBLE) AS tf
+  FROM (SELECT mid, unnest(words) AS token FROM words) JOIN buckets USING (token)
+  GROUP BY mid, dim)""",
+    "tfidf": """tfidf AS (
+  SELECT tf.mid, tf.dim, tf.tf * ln((nd.m + 1.0) / (d.df + 1.0)) AS w
+  FROM tf JOIN (SELECT dim, count(DISTINCT mid) AS df FROM tf GROUP BY dim) d USING (dim),
+       (SELECT count(*) AS m FROM movies) nd)""",
+    "content_pairs": """content_pairs AS (
+  SELECT d.mid, d.mid2, d.dot / (na.n * nb.n) AS sim
+  FROM (SELECT a.mid, b.mid AS mid2, sum(a.w * b.w) AS dot
+        FROM tfidf a JOIN tfidf b ON a.dim = b.dim AND a.mid <> b.mid GROUP BY a.mid, b.mid) d
+  JOIN (SELECT mid, sqrt(sum(w * w)) AS n FROM tfidf GROUP BY mid) na ON na.mid = d.mid
+  JOIN (SELECT mid, sqrt(sum(w * w)) AS n FROM tfidf GROUP BY mid) nb ON nb.mid = d.mid2
+  WHERE na.n > 0 AND nb.n > 0 AND d.dot / (na.n * nb.n) > 0.6)""",
+    # stream test set: newest event per user, newest 21 ratings, all rated pairs
+    "event": """event AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS rn
+                 FROM event_ratings) WHERE rn = 1)""",
+    "recent": """recent AS (
+  SELECT uid, CAST(pos AS INTEGER) AS pos, mid, score FROM (
+    SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC) AS pos
+    FROM event_ratings) WHERE pos <= 21)""",
+    "cand": """cand AS (
+  SELECT * FROM (
+    SELECT e.uid, e.event_id, s.mid2 AS mid, s.sim,
+           row_number() OVER (PARTITION BY e.uid, e.event_id ORDER BY round(s.sim, 12) DESC, s.mid2) AS rank
+    FROM event e JOIN sims s ON s.mid = e.mid
+    WHERE NOT EXISTS (SELECT 1 FROM event_ratings r WHERE r.uid = e.uid AND r.mid = s.mid2))
+  WHERE rank <= 20)""",
+    "scores": """scores AS (
+  SELECT uid, event_id, mid,
+         avg(sim * rscore) + log10(greatest(count(*) FILTER (WHERE rscore > 3), 1))
+                           - log10(greatest(count(*) FILTER (WHERE rscore <= 3), 1)) AS score
+  FROM (SELECT c.uid, c.event_id, c.mid, r.score AS rscore, s.sim
+        FROM cand c JOIN recent r ON r.uid = c.uid
+        JOIN sims s ON s.mid = c.mid AND s.mid2 = r.mid WHERE s.sim > 0.7)
+  GROUP BY uid, event_id, mid)""",
+    "split": """split AS (
+  SELECT *, (CAST(uid AS BIGINT) * 1000003 + CAST(mid AS BIGINT) * 7919) % 100 < 80 AS is_train
+  FROM ratings)""",
 }
 
 
@@ -39,6 +93,14 @@ def _with(names: list[str], body: str) -> str:
     return "WITH " + ",\n".join(CTE[n] for n in names) + "\n" + body
 
 
+_EMPTY = ", ".join(f"'' AS {c}" for c in ("descri", "timelong", "issue", "shoot", "language"))
+
+_SCORES_OUT = """
+SELECT uid, CAST(row_number() OVER (PARTITION BY uid, event_id ORDER BY round(score, 12) DESC, mid) AS INTEGER) AS rank,
+       mid, round(score, 6) AS score FROM scores"""
+
+_STREAM = ["event_ratings", "vectors", "vnorm", "sims", "event", "recent", "cand", "scores"]
+
 _MONTH = ("CAST(year(make_timestamp(\"timestamp\" * 1000000)) * 100 "
           "+ month(make_timestamp(\"timestamp\" * 1000000)) AS INTEGER)")
 
@@ -63,4 +125,44 @@ WHERE rank <= 10"""),
     "distinct_ids": _with(["ratings"], """
 SELECT DISTINCT 'user' AS kind, uid AS id FROM ratings
 UNION ALL SELECT DISTINCT 'movie' AS kind, mid AS id FROM ratings"""),
+    "load_movies": _with(["movies"], f"""
+SELECT mid, name, {_EMPTY}, genres, '' AS actors, '' AS directors FROM movies"""),
+    "load_ratings": _with(["ratings"], "SELECT uid, mid, score, \"timestamp\" FROM ratings"),
+    "load_tags": _with(["tags"], "SELECT uid, mid, tag, \"timestamp\" FROM tags"),
+    "parse_rating_messages": _with(["event_ratings"], "SELECT uid, mid, score, ts FROM event_ratings"),
+    "table_roundtrip": _with(["ratings"], "SELECT uid, mid, score, \"timestamp\" FROM ratings"),
+    "vector_cosine": _with(["vectors", "vnorm"], """
+SELECT a.mid, b.mid AS mid2, round(list_dot_product(a.v, b.v) / nullif(a.n * b.n, 0), 6) AS sim
+FROM vnorm a JOIN vnorm b ON b.mid = a.mid + 1"""),
+    "item_similarity": _with(["vectors", "vnorm", "sims"], """
+SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY round(sim, 12) DESC, mid2) AS INTEGER) AS rank,
+       mid2, round(sim, 6) AS sim FROM sims"""),
+    "similarity_map": _with(["vectors", "vnorm", "sims"], """
+SELECT mid, count(*) AS n_entries FROM sims GROUP BY mid"""),
+    "user_topk": _with(["vectors"], """
+SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(score, 6) AS score FROM (
+  SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY round(score, 12) DESC, mid) AS rank
+  FROM (SELECT a.mid AS uid, b.mid AS mid, list_dot_product(a.v, b.v) AS score
+        FROM vectors a, vectors b) WHERE score > 0)
+WHERE rank <= 20"""),
+    "content_tokens": _with(["movies", "words"], """
+SELECT mid, CAST(unnest(generate_series(1, len(words))) AS INTEGER) AS pos, unnest(words) AS token FROM words"""),
+    "content_tf": _with(["movies", "words", "buckets", "tf"], "SELECT mid, dim, tf FROM tf"),
+    "content_tfidf": _with(["movies", "words", "buckets", "tf", "tfidf"],
+                           "SELECT mid, dim, round(w, 6) AS w FROM tfidf"),
+    "content_similarity": _with(["movies", "words", "buckets", "tf", "tfidf", "content_pairs"], """
+SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY round(sim, 12) DESC, mid2) AS INTEGER) AS rank,
+       mid2, round(sim, 6) AS sim FROM content_pairs"""),
+    "recent_ratings": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
+    "stream_candidates": _with(["event_ratings", "vectors", "vnorm", "sims", "event", "cand"], """
+SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(sim, 6) AS sim FROM cand"""),
+    "stream_scores": _with(_STREAM, _SCORES_OUT),
+    "stream_recs_upsert": _with(_STREAM, _SCORES_OUT),
+    "stream_recs": _with(_STREAM, _SCORES_OUT),
+    "train_test_split": _with(["ratings", "split"],
+                              "SELECT uid, mid, score, \"timestamp\", is_train FROM split"),
+    "rating_rmse": _with(["ratings", "split"], """
+SELECT round(sqrt(avg(pow(t.score - m.prediction, 2))), 6) AS rmse, count(*) AS n
+FROM (SELECT * FROM split WHERE NOT is_train) t
+JOIN (SELECT mid, avg(score) AS prediction FROM split WHERE is_train GROUP BY mid) m ON m.mid = t.mid"""),
 }

@@ -11,9 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import round6
-from ..operators import stats
+from ..functions.scalar import cosine, round6
+from ..operators import als, content, rerank, similarity, stats
+from ..operators.topk import flatten
+from ..schemas import RATING
+from ..session import shared_path
 from ..sources import fixtures as fx
+from ..sources import loaders, tables
+from ..streaming import recommender as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +54,6 @@ def q_movie_genre_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_genre_top_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = stats.genre_top_movies(fx.movies(spark, sf_dir), fx.ratings(spark, sf_dir),
                                     stats.genre_table(spark))
-    from ..operators.topk import flatten
     flat = flatten(nested, ["genres"])
     return flat.select(F.col("genres").alias("genre"), "rank", "mid", round6(F.col("score")).alias("score"))
 
@@ -61,6 +65,208 @@ def q_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.unionByName(items)
 
 
+
+# --- loaders and stored tables ---------------------------------------------------------------
+
+def _write_lines(spark: SparkSession, df: DataFrame, sep: str, name: str, pad: str = "") -> str:
+    path = shared_path(spark, name)
+    loaders.render_lines(df, sep, pad).write.mode("overwrite").text(path)
+    return path
+
+
+def q_load_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _write_lines(spark, fx.movies(spark, sf_dir), "^", "movies-text", pad=" ")
+    return loaders.load_movies(spark, path)
+
+
+def q_load_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _write_lines(spark, fx.ratings(spark, sf_dir), ",", "ratings-text")
+    return loaders.load_ratings(spark, path)
+
+
+def q_load_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _write_lines(spark, fx.tags(spark, sf_dir), ",", "tags-text")
+    return loaders.load_tags(spark, path)
+
+
+def q_parse_rating_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fx.event_ratings(spark, sf_dir).select("uid", "mid", "score", "ts")
+    path = _write_lines(spark, ev, "|", "messages-text", pad=" ")
+    return loaders.parse_rating_messages(spark.read.text(path))
+
+
+def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "rating-table")
+    tables.overwrite_table(fx.ratings(spark, sf_dir), path, key="uid")
+    return tables.read_typed(spark, path, RATING)
+
+
+# --- vectors: cosine, neighbour lists, top-k --------------------------------------------------
+
+def _vector_sims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.cosine_pairs(fx.vectors(spark, sf_dir))
+
+
+def q_vector_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = fx.vectors(spark, sf_dir)
+    nxt = v.select((F.col("mid") - 1).alias("mid"), F.col("mid").alias("mid2"), F.col("v").alias("v2"))
+    return v.join(nxt, "mid").select("mid", "mid2", round6(cosine(F.col("v"), F.col("v2"))).alias("sim"))
+
+
+def q_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = similarity.rank_neighbours(_vector_sims(spark, sf_dir))
+    return ranked.select("mid", "rank", "mid2", round6(F.col("sim")).alias("sim"))
+
+
+def q_similarity_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = similarity.similarity_map(_vector_sims(spark, sf_dir))
+    return m.select("mid", F.size("sims").cast("long").alias("n_entries"))
+
+
+def q_user_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = fx.vectors(spark, sf_dir)
+    top = similarity.topk_dot(v.withColumnRenamed("mid", "uid"), v, k=20, min_score=0.0)
+    return top.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
+
+
+# --- content-based ------------------------------------------------------------------------------
+
+def q_content_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = content.content_words(fx.movies(spark, sf_dir))
+    e = w.select("mid", F.posexplode("words").alias("pos", "token"))
+    return e.select("mid", (F.col("pos") + 1).cast("int").alias("pos"), "token")
+
+
+def q_content_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tf = content.content_tf(content.content_words(fx.movies(spark, sf_dir)))
+    return content.tf_long(tf)
+
+
+def q_content_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = content.tfidf_long(content.content_tfidf(fx.movies(spark, sf_dir)))
+    return t.select("mid", "dim", round6(F.col("w")).alias("w"))
+
+
+def q_content_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = similarity.rank_neighbours(content.content_similarity(fx.movies(spark, sf_dir)))
+    return ranked.select("mid", "rank", "mid2", round6(F.col("sim")).alias("sim"))
+
+
+# --- streaming re-rank, as batch functions and as a stream -------------------------------------
+
+def _stream_inputs(spark: SparkSession, sf_dir: str):
+    er = fx.event_ratings(spark, sf_dir)
+    return (er, _vector_sims(spark, sf_dir), rerank.rated_pairs(er), rerank.recent_ratings(er))
+
+
+def q_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rerank.recent_ratings(fx.event_ratings(spark, sf_dir))
+
+
+def q_stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    er, sims, rated, _ = _stream_inputs(spark, sf_dir)
+    cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated)
+    return cand.select("uid", "rank", "mid", round6(F.col("sim")).alias("sim"))
+
+
+def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    er, sims, rated, recent = _stream_inputs(spark, sf_dir)
+    cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated)
+    scores = rerank.stream_scores(cand, sims, recent)
+    return scores.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
+
+
+def _flat_recs(current: DataFrame) -> DataFrame:
+    flat = flatten(current.select("uid", "recs"), ["uid"])
+    return flat.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
+
+
+def q_stream_recs_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event scored on its own, all upserted as one batch (written twice: a replay must not
+    change the table); the stored list of a user is the one of their newest event."""
+    er, sims, rated, recent = _stream_inputs(spark, sf_dir)
+    recs = rerank.recommend_events(er, sims, rated, recent)
+    store = tables.KeyedStore(spark, shared_path(spark, "stream-recs-batch"))
+    rows = recs.select("uid", "recs", "ts", "event_id")
+    store.upsert(rows, 0)
+    store.upsert(rows, 0)
+    return _flat_recs(store.current())
+
+
+def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole streaming job: messages are written as parquet files partitioned by day, read by
+    a file stream a few files per micro-batch, re-ranked in ``foreachBatch`` and upserted per
+    user. The stored list of a user is the one of their newest event, whatever the file order."""
+    er, sims, rated, recent = _stream_inputs(spark, sf_dir)
+    src = shared_path(spark, "stream-messages")
+    day = F.floor(F.col("ts") / 86400).alias("day")
+    msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id", day), "|", " ",
+                                keep=("event_id", "day"))
+    msgs.write.mode("overwrite").partitionBy("day").parquet(src)
+    store = tables.KeyedStore(spark, shared_path(spark, "stream-recs"))
+    query = streaming.start_stream(
+        streaming.file_messages(spark, src, max_files_per_trigger=8), sims, rated, recent, store,
+        checkpoint_location=shared_path(spark, "stream-checkpoint"), available_now=True)
+    query.awaitTermination()
+    return _flat_recs(store.current())
+
+
+# --- split, RMSE, ALS ---------------------------------------------------------------------------
+
+def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = fx.ratings(spark, sf_dir)
+    return r.select("uid", "mid", "score", "timestamp", als.split_flag().alias("is_train"))
+
+
+def q_rating_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hold-out RMSE of the per-movie mean predictor (J5 + A6 without a model)."""
+    train, test = als.train_test_split(fx.ratings(spark, sf_dir))
+    means = stats.average_movies(train).withColumnRenamed("avg", "prediction")
+    pred = test.join(means, "mid")
+    return pred.agg(round6(F.sqrt(F.avg(F.pow(F.col("score") - F.col("prediction"), 2)))).alias("rmse"),
+                    F.count("*").alias("n"))
+
+
+_MODELS: dict = {}
+
+
+def _model(spark: SparkSession, sf_dir: str, train_only: bool):
+    key = (spark.sparkContext.applicationId, sf_dir, train_only)
+    if key not in _MODELS:
+        r = fx.ratings(spark, sf_dir)
+        if train_only:
+            r = als.train_test_split(r)[0]
+        _MODELS[key] = als.als_fit(r)
+    return _MODELS[key]
+
+
+def q_als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = als.user_recs(_model(spark, sf_dir, False))
+    return flatten(recs, ["uid"]).select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
+
+
+def q_als_item_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = similarity.rank_neighbours(als.item_similarity(_model(spark, sf_dir, False)))
+    return ranked.select("mid", "rank", "mid2", round6(F.col("sim")).alias("sim"))
+
+
+def q_als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = als.train_test_split(fx.ratings(spark, sf_dir))[1]
+    pred = als.predict_pairs(_model(spark, sf_dir, True), test.select("uid", "mid", "score"))
+    return pred.select("uid", "mid", "score", round6(F.col("prediction")).alias("prediction"))
+
+
+def q_als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = als.train_test_split(fx.ratings(spark, sf_dir))[1]
+    rmse = als.rating_rmse(_model(spark, sf_dir, True), test)
+    return spark.range(1).select(F.round(F.lit(rmse), 6).alias("rmse"))
+
+
+def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = als.train_test_split(fx.ratings(spark, sf_dir))
+    return als.best_params(als.als_grid_search(train, test))
+
+
 QUERIES: dict[str, Query] = {
     "popular_movies": q_popular_movies,
     "popular_by_month": q_popular_by_month,
@@ -70,6 +276,31 @@ QUERIES: dict[str, Query] = {
     "movie_genre_match": q_movie_genre_match,
     "genre_top_movies": q_genre_top_movies,
     "distinct_ids": q_distinct_ids,
+    "load_movies": q_load_movies,
+    "load_ratings": q_load_ratings,
+    "load_tags": q_load_tags,
+    "parse_rating_messages": q_parse_rating_messages,
+    "table_roundtrip": q_table_roundtrip,
+    "vector_cosine": q_vector_cosine,
+    "item_similarity": q_item_similarity,
+    "similarity_map": q_similarity_map,
+    "user_topk": q_user_topk,
+    "content_tokens": q_content_tokens,
+    "content_tf": q_content_tf,
+    "content_tfidf": q_content_tfidf,
+    "content_similarity": q_content_similarity,
+    "recent_ratings": q_recent_ratings,
+    "stream_candidates": q_stream_candidates,
+    "stream_scores": q_stream_scores,
+    "stream_recs_upsert": q_stream_recs_upsert,
+    "stream_recs": q_stream_recs,
+    "train_test_split": q_train_test_split,
+    "rating_rmse": q_rating_rmse,
+    "als_user_recs": q_als_user_recs,
+    "als_item_recs": q_als_item_recs,
+    "als_predict_pairs": q_als_predict_pairs,
+    "als_rmse": q_als_rmse,
+    "als_grid_search": q_als_grid_search,
 }
 
 
