@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CONTENT_FEATURES, ITEM_SIM_THRESHOLD
+from ..session import checkpoint_root
 from .joins import broadcast_if_small
 from .similarity import cosine_pairs
+from .topk import rank_within
 
 
 def content_words(movies: DataFrame) -> DataFrame:
@@ -55,15 +57,34 @@ def tfidf_long(tfidf: DataFrame) -> DataFrame:
 
 def content_similarity(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
                        n_features: int = CONTENT_FEATURES, block_rows: int = 1024) -> DataFrame:
-    """M11 in long form: (mid, mid2, sim) for every ordered pair of movies with cosine > threshold."""
+    """(mid, rank, mid2, sim) for every ordered pair of movies with cosine > threshold,
+    each movie's neighbours ranked best first (ties: smaller mid2).
+
+    Plan (sizes: N movies, S distinct vectors, P similar vector pairs):
+      1. distinct vectors, one id each (min mid)                      — S rows, checkpointed
+      2. cosine between distinct vectors, incl. (s, s)                 — P rows, checkpointed
+      3. per vector: the ranked list of all movies of similar vectors  — window over ≤ S·N rows
+      4. every movie takes its vector's list minus itself; ranks after its own entry shift by one
+    Step 4 is one join on the vector id (broadcast when the lists are small): the movie-level
+    result is produced without a shuffle or sort over the N×N output.
+    """
+    spark = movies.sparkSession
+    checkpoint_root(spark)
     feats = content_tfidf(movies, n_features).select("mid", vector_to_array("features").alias("sig"))
     # one representative id per distinct vector: partial aggregation, exact (no hashing)
-    sigs = feats.groupBy("sig").agg(F.min("mid").alias("sid"))
+    sigs = feats.groupBy("sig").agg(F.min("mid").alias("sid")).checkpoint(eager=True)
     members = feats.join(sigs, "sig").select("sid", "mid")
     sig_pairs = cosine_pairs(sigs, id_col="sid", vec_col="sig", threshold=threshold,
-                             block_rows=block_rows, include_self=True)
-    small = broadcast_if_small(sig_pairs.select(F.col("mid").alias("sid"), F.col("mid2").alias("sid2"), "sim"))
-    left = members.join(small, "sid")  # map-side when the signature pairs are small
-    right = members.select(F.col("sid").alias("sid2"), F.col("mid").alias("mid2"))
-    return (left.join(right, "sid2").where(F.col("mid") != F.col("mid2"))
-            .select("mid", "mid2", "sim"))
+                             block_rows=block_rows, include_self=True, n_items=sigs.count())
+    sig_pairs = sig_pairs.select(F.col("mid").alias("sid"), F.col("mid2").alias("sid2"), "sim") \
+        .checkpoint(eager=True)
+    others = members.select(F.col("sid").alias("sid2"), F.col("mid").alias("mid2"))
+    lists = rank_within(broadcast_if_small(sig_pairs).join(others, "sid2"), ["sid"],
+                        [F.desc(F.round("sim", 12)), F.asc("mid2")], rank_col="pos") \
+        .select("sid", "pos", "mid2", "sim").checkpoint(eager=True)
+    lists = broadcast_if_small(lists)
+    own = members.join(lists.select("sid", F.col("mid2").alias("mid"), F.col("pos").alias("own")),
+                       ["sid", "mid"], "left")
+    out = own.join(lists, "sid").where(F.col("mid2") != F.col("mid"))
+    shift = F.when(F.col("own").isNotNull() & (F.col("pos") > F.col("own")), 1).otherwise(0)
+    return out.select("mid", (F.col("pos") - shift).cast("int").alias("rank"), "mid2", "sim")

@@ -148,7 +148,7 @@ def q_content_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_content_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = similarity.rank_neighbours(content.content_similarity(fx.movies(spark, sf_dir)))
+    ranked = content.content_similarity(fx.movies(spark, sf_dir))
     return ranked.select("mid", "rank", "mid2", round6(F.col("sim")).alias("sim"))
 
 
@@ -194,10 +194,16 @@ def q_stream_recs_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole streaming job: messages are written as parquet files partitioned by day, read by
-    a file stream a few files per micro-batch, re-ranked in ``foreachBatch`` and upserted per
-    user. The stored list of a user is the one of their newest event, whatever the file order."""
+    """The whole streaming job. As in the reference, the similarity table, the rated pairs and
+    the recent ratings are stored tables the stream reads (here Parquet keyed by movie / user);
+    messages are written as parquet files partitioned by day, read by a file stream several
+    files per micro-batch, re-ranked in ``foreachBatch`` and upserted per user. The stored list
+    of a user is the one of their newest event, whatever order the files are read in."""
     er, sims, rated, recent = _stream_inputs(spark, sf_dir)
+    stored = {}
+    for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
+        stored[name] = shared_path(spark, f"stream-{name}")
+        tables.overwrite_table(df, stored[name], key=key)
     src = shared_path(spark, "stream-messages")
     day = F.floor(F.col("ts") / 86400).alias("day")
     msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id", day), "|", " ",
@@ -205,7 +211,9 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs.write.mode("overwrite").partitionBy("day").parquet(src)
     store = tables.KeyedStore(spark, shared_path(spark, "stream-recs"))
     query = streaming.start_stream(
-        streaming.file_messages(spark, src, max_files_per_trigger=8), sims, rated, recent, store,
+        streaming.file_messages(spark, src, max_files_per_trigger=64),
+        spark.read.parquet(stored["sims"]), spark.read.parquet(stored["rated"]),
+        spark.read.parquet(stored["recent"]), store,
         checkpoint_location=shared_path(spark, "stream-checkpoint"), available_now=True)
     query.awaitTermination()
     return _flat_recs(store.current())

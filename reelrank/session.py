@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +32,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reelrank`` importable in the executors' Python workers.
+
+    Operators that run pandas code on executors (cogrouped block products) pickle functions of
+    this package by reference. On a cluster the package is normally given to ``spark-submit
+    --py-files``; when the caller did not, this zips the package once per application and
+    registers it with ``addPyFile`` (Spark distributes it to every executor).
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
+    digest = hashlib.sha1()
+    for f in files:
+        with open(f, "rb") as fh:
+            digest.update(f.encode() + fh.read())
+    target = os.path.join(tempfile.mkdtemp(prefix="reelrank-pyfiles-"),
+                          f"reelrank-{digest.hexdigest()[:12]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for f in files:
+            zf.write(f, os.path.join("reelrank", os.path.relpath(f, pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster-wide shared folder (``spark.checkpoint.dir``).
 
@@ -71,4 +103,5 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
 
 
-__all__ = ["build_session", "checkpoint_root", "shared_path", "path_exists", "list_subdirs"]
+__all__ = ["build_session", "checkpoint_root", "ship_package", "shared_path", "path_exists",
+           "list_subdirs"]
