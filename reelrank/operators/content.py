@@ -56,9 +56,11 @@ def tfidf_long(tfidf: DataFrame) -> DataFrame:
 
 
 def content_similarity(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
-                       n_features: int = CONTENT_FEATURES, block_rows: int = 1024) -> DataFrame:
+                       n_features: int = CONTENT_FEATURES, block_rows: int = 1024,
+                       max_neighbours: int | None = None) -> DataFrame:
     """(mid, rank, mid2, sim) for every ordered pair of movies with cosine > threshold,
-    each movie's neighbours ranked best first (ties: smaller mid2).
+    each movie's neighbours ranked best first (ties: smaller mid2); all of them by default, the
+    best ``max_neighbours`` when given (the rank is exact, so this is a plain filter).
 
     Plan (sizes: N movies, S distinct vectors, P similar vector pairs):
       1. distinct vectors, one id each (min mid)                      — S rows, checkpointed
@@ -87,4 +89,5 @@ def content_similarity(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
                        ["sid", "mid"], "left")
     out = own.join(lists, "sid").where(F.col("mid2") != F.col("mid"))
     shift = F.when(F.col("own").isNotNull() & (F.col("pos") > F.col("own")), 1).otherwise(0)
-    return out.select("mid", (F.col("pos") - shift).cast("int").alias("rank"), "mid2", "sim")
+    out = out.select("mid", (F.col("pos") - shift).cast("int").alias("rank"), "mid2", "sim")
+    return out if max_neighbours is None else out.where(F.col("rank") <= max_neighbours)

@@ -108,6 +108,9 @@ ORACLES: dict[str, str] = {
     "popular_movies": _with(["ratings"], "SELECT mid, count(mid) AS count FROM ratings GROUP BY mid"),
     "popular_by_month": _with(["ratings"], f"""
 SELECT mid, count(mid) AS count, month
+FROM (SELECT mid, {_MONTH} AS month FROM ratings) GROUP BY month, mid"""),
+    "popular_by_month_sql": _with(["ratings"], f"""
+SELECT mid, count(mid) AS count, month
 FROM (SELECT mid, {_MONTH} AS month FROM ratings) GROUP BY month, mid"""),
     "average_movies": _with(["ratings"], "SELECT mid, round(avg(score), 6) AS avg FROM ratings GROUP BY mid"),
     "rating_month": _with(["ratings"], f"SELECT uid, mid, {_MONTH} AS month, score FROM ratings"),

@@ -58,6 +58,13 @@ def q_genre_top_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select(F.col("genres").alias("genre"), "rank", "mid", round6(F.col("score")).alias("score"))
 
 
+def q_popular_by_month_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 through spark.sql and the ``changeDate`` SQL function, as the reference wrote it."""
+    from . import sql
+    sql.register(spark, fx.ratings(spark, sf_dir))
+    return sql.statistics(spark)["RateMoreRecentlyMovies"]
+
+
 def q_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fx.ratings(spark, sf_dir)
     users = r.select(F.lit("user").alias("kind"), F.col("uid").alias("id")).distinct()
@@ -278,6 +285,7 @@ def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "popular_movies": q_popular_movies,
     "popular_by_month": q_popular_by_month,
+    "popular_by_month_sql": q_popular_by_month_sql,
     "average_movies": q_average_movies,
     "rating_month": q_rating_month,
     "movies_with_avg": q_movies_with_avg,

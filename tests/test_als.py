@@ -70,3 +70,21 @@ def test_grid_search_small(ratings):
     assert len(rows) == 2 and rows[0].rmse <= rows[1].rmse
     best = als.best_params(grid).collect()
     assert len(best) == 1 and best[0].rmse == rows[0].rmse
+
+
+def test_user_recs_exclude_seen_equals_brute_force(ratings, model):
+    seen = {}
+    for r in ratings.select("uid", "mid").collect():
+        seen.setdefault(r.uid, set()).add(r.mid)
+    u = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    i = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    mids = np.array(sorted(i))
+    mat = np.stack([i[m] for m in mids])
+    got = {r.uid: [x.mid for x in r.recs] for r in als.user_recs(model, k=5, exclude_seen=True, ratings=ratings).collect()}
+    assert got
+    for uid, lst in list(got.items())[:40]:
+        s = mat @ u[uid]
+        order = sorted(range(len(mids)), key=lambda j: (-round(float(s[j]), 12), mids[j]))
+        want = [int(mids[j]) for j in order if s[j] > 0 and int(mids[j]) not in seen.get(uid, set())][:5]
+        assert lst == want
+        assert not set(lst) & seen.get(uid, set())
