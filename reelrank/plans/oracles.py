@@ -157,6 +157,7 @@ SELECT mid, CAST(unnest(generate_series(1, len(words))) AS INTEGER) AS pos, unne
 SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY round(sim, 12) DESC, mid2) AS INTEGER) AS rank,
        mid2, round(sim, 6) AS sim FROM content_pairs"""),
     "recent_ratings": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
+    "recent_ratings_stream": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
     "stream_candidates": _with(["event_ratings", "vectors", "vnorm", "sims", "event", "cand"], """
 SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(sim, 6) AS sim FROM cand"""),
     "stream_scores": _with(_STREAM, _SCORES_OUT),

@@ -226,6 +226,23 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_recs(store.current())
 
 
+def q_recent_ratings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 kept by the stream itself: messages → per-user state of the newest 21 ratings →
+    keyed store; the final table equals the batch ``recent_ratings``."""
+    from ..streaming import state
+    er = fx.event_ratings(spark, sf_dir)
+    src = shared_path(spark, "recent-messages")
+    day = F.floor(F.col("ts") / 86400).alias("day")
+    msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id", day), "|", " ",
+                                keep=("event_id", "day"))
+    msgs.write.mode("overwrite").partitionBy("day").parquet(src)
+    store = tables.KeyedStore(spark, shared_path(spark, "recent-store"), order=("batch_id",))
+    query = state.start_recent_stream(streaming.file_messages(spark, src, max_files_per_trigger=64), store,
+                                      shared_path(spark, "recent-checkpoint"), available_now=True)
+    query.awaitTermination()
+    return state.recent_table(store).select("uid", "pos", "mid", "score")
+
+
 # --- split, RMSE, ALS ---------------------------------------------------------------------------
 
 def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "content_tfidf": q_content_tfidf,
     "content_similarity": q_content_similarity,
     "recent_ratings": q_recent_ratings,
+    "recent_ratings_stream": q_recent_ratings_stream,
     "stream_candidates": q_stream_candidates,
     "stream_scores": q_stream_scores,
     "stream_recs_upsert": q_stream_recs_upsert,
