@@ -15,7 +15,7 @@ from ..functions.scalar import cosine, round6
 from ..operators import als, content, rerank, similarity, stats
 from ..operators.topk import flatten
 from ..schemas import RATING
-from ..session import shared_path
+from ..session import checkpoint_root, shared_path
 from ..sources import fixtures as fx
 from ..sources import loaders, tables
 from ..streaming import recommender as streaming
@@ -162,8 +162,13 @@ def q_content_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming re-rank, as batch functions and as a stream -------------------------------------
 
 def _stream_inputs(spark: SparkSession, sf_dir: str):
+    """Event ratings, the similarity table, rated pairs and recent ratings. The similarity table
+    is an offline product (the reference stores it); it is checkpointed once into the shared
+    folder instead of being recomputed by each join that reads it."""
+    checkpoint_root(spark)
     er = fx.event_ratings(spark, sf_dir)
-    return (er, _vector_sims(spark, sf_dir), rerank.rated_pairs(er), rerank.recent_ratings(er))
+    sims = _vector_sims(spark, sf_dir).checkpoint(eager=True)
+    return (er, sims, rerank.rated_pairs(er), rerank.recent_ratings(er))
 
 
 def q_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
