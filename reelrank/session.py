@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import os
 import tempfile
 import uuid
@@ -38,25 +39,35 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``reelrank`` importable in the executors' Python workers.
 
-    Operators that run pandas code on executors (cogrouped block products) pickle functions of
-    this package by reference. On a cluster the package is normally given to ``spark-submit
-    --py-files``; when the caller did not, this zips the package once per application and
-    registers it with ``addPyFile`` (Spark distributes it to every executor).
+    Operators that run pandas code on executors (cogrouped block products, streaming state)
+    pickle functions of this package by reference. On a cluster the package is normally given to
+    ``spark-submit --py-files``; when the caller did not, this zips the package in memory once
+    per application, writes it into the shared checkpoint folder and registers it with
+    ``addPyFile`` (every executor fetches it from there).
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
+    buf = io.BytesIO()
     digest = hashlib.sha1()
-    for f in files:
-        with open(f, "rb") as fh:
-            digest.update(f.encode() + fh.read())
-    target = os.path.join(tempfile.mkdtemp(prefix="reelrank-pyfiles-"),
-                          f"reelrank-{digest.hexdigest()[:12]}.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for f in files:
-            zf.write(f, os.path.join("reelrank", os.path.relpath(f, pkg)))
+            with open(f, "rb") as fh:
+                data = fh.read()
+            digest.update(f.encode() + data)
+            zf.writestr(os.path.join("reelrank", os.path.relpath(f, pkg)), data)
+    target = f"{checkpoint_root(spark)}/reelrank/pyfiles/reelrank-{digest.hexdigest()[:12]}.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        out = fs.create(hpath, True)
+        try:
+            out.write(bytearray(buf.getvalue()))
+        finally:
+            out.close()
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
 
