@@ -12,6 +12,7 @@ A movie's vector depends only on its bag of genre words, so the cosine is comput
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -63,19 +64,30 @@ def content_similarity(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
     best ``max_neighbours`` when given (the rank is exact, so this is a plain filter).
 
     Plan (sizes: N movies, S distinct vectors, P similar vector pairs):
-      1. distinct vectors, one id each (min mid)                      — S rows, checkpointed
-      2. cosine between distinct vectors, incl. (s, s)                 — P rows, checkpointed
-      3. per vector: the ranked list of all movies of similar vectors  — window over ≤ S·N rows
-      4. every movie takes its vector's list minus itself; ranks after its own entry shift by one
-    Step 4 is one join on the vector id (broadcast when the lists are small): the movie-level
-    result is produced without a shuffle or sort over the N×N output.
+      0. term counts of every movie, persisted: the movie table is scanned once (IDF fit,
+         then the transform reads the cache)
+      1. distinct vectors, one id each (min mid)                      — S rows
+      2. (vector id, mid) for every movie                             — N rows
+      3. cosine between distinct vectors, incl. (s, s)                 — P rows
+      4. per vector: the ranked list of all movies of similar vectors  — window over ≤ S·N rows
+      5. every movie takes its vector's list minus itself; ranks after its own entry shift by one
+    Tables 1–4 are checkpointed into the shared checkpoint folder, so the cache of step 0 is
+    released before returning and an executor loss never replays the TF-IDF pipeline. Step 5 is
+    one join on the vector id (broadcast when the lists are small): the movie-level result is
+    produced without a shuffle or sort over the N×N output.
     """
     spark = movies.sparkSession
     checkpoint_root(spark)
-    feats = content_tfidf(movies, n_features).select("mid", vector_to_array("features").alias("sig"))
-    # one representative id per distinct vector: partial aggregation, exact (no hashing)
-    sigs = feats.groupBy("sig").agg(F.min("mid").alias("sid")).checkpoint(eager=True)
-    members = feats.join(sigs, "sig").select("sid", "mid")
+    tf = content_tf(content_words(movies), n_features).select("mid", "rawFeatures") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = IDF(inputCol="rawFeatures", outputCol="features").fit(tf)
+        feats = model.transform(tf).select("mid", vector_to_array("features").alias("sig"))
+        # one representative id per distinct vector: partial aggregation, exact (no hashing)
+        sigs = feats.groupBy("sig").agg(F.min("mid").alias("sid")).checkpoint(eager=True)
+        members = feats.join(sigs, "sig").select("sid", "mid").checkpoint(eager=True)
+    finally:
+        tf.unpersist()
     sig_pairs = cosine_pairs(sigs, id_col="sid", vec_col="sig", threshold=threshold,
                              block_rows=block_rows, include_self=True, n_items=sigs.count())
     sig_pairs = sig_pairs.select(F.col("mid").alias("sid"), F.col("mid2").alias("sid2"), "sim") \

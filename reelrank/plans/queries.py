@@ -19,6 +19,8 @@ from ..session import checkpoint_root, shared_path
 from ..sources import fixtures as fx
 from ..sources import loaders, tables
 from ..streaming import recommender as streaming
+from ..streaming import state
+from . import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,7 +62,6 @@ def q_genre_top_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_popular_by_month_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 through spark.sql and the ``changeDate`` SQL function, as the reference wrote it."""
-    from . import sql
     sql.register(spark, fx.ratings(spark, sf_dir))
     return sql.statistics(spark)["RateMoreRecentlyMovies"]
 
@@ -72,7 +73,6 @@ def q_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.unionByName(items)
 
 
-
 # --- loaders and stored tables ---------------------------------------------------------------
 
 def _write_lines(spark: SparkSession, df: DataFrame, sep: str, name: str, pad: str = "") -> str:
@@ -234,7 +234,6 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_recent_ratings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 kept by the stream itself: messages → per-user state of the newest 21 ratings →
     keyed store; the final table equals the batch ``recent_ratings``."""
-    from ..streaming import state
     er = fx.event_ratings(spark, sf_dir)
     src = shared_path(spark, "recent-messages")
     day = F.floor(F.col("ts") / 86400).alias("day")

@@ -50,3 +50,36 @@ def test_upsert_is_idempotent_and_newest_wins(spark, tmp_path):
     store.upsert(b2, 2)
     cur = {r.uid: [x.mid for x in r.recs] for r in store.current().collect()}
     assert cur == {1: [6], 2: [8]}
+
+
+def test_overwrite_table_spreads_a_hot_key(spark, tmp_path):
+    from reelrank.sources.tables import overwrite_table, read_typed
+    from reelrank.schemas import RATING
+    hot = spark.range(4000).select(F.lit(1).cast("int").alias("uid"), F.col("id").cast("int").alias("mid"),
+                                   F.lit(3.0).alias("score"), F.col("id").alias("timestamp"))
+    cold = spark.range(2000).select((F.col("id") + 2).cast("int").alias("uid"), F.lit(7).alias("mid"),
+                                    F.lit(1.0).alias("score"), F.col("id").alias("timestamp"))
+    path = str(tmp_path / "t")
+    overwrite_table(hot.unionByName(cold), path, key="uid", partitions=8)
+    back = read_typed(spark, path, RATING)
+    assert back.count() == 6000
+    per_file = back.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()
+    assert max(r.n for r in per_file) < 4000  # the hot user is split across files
+
+
+def test_recent_state_stream_keeps_newest(spark, tmp_path):
+    from reelrank.streaming import state
+    rows1 = [(f"1|{m}|4.0|{100 + m}", m) for m in range(30)]
+    rows2 = [(f"1|{m}|2.0|{m}", 1000 + m) for m in range(5)] + [("1|99|5.0|1000", 2000), ("2|5|1.0|7", 2001)]
+    src = str(tmp_path / "src")
+    spark.createDataFrame(rows1, "value string, event_id long").write.parquet(src + "/a=1")
+    spark.createDataFrame(rows2, "value string, event_id long").write.parquet(src + "/a=2")
+    store = KeyedStore(spark, str(tmp_path / "store"), order=("batch_id",))
+    q = state.start_recent_stream(streaming.file_messages(spark, src, max_files_per_trigger=1), store,
+                                  str(tmp_path / "ckpt"), k=21, available_now=True)
+    q.awaitTermination()
+    got = {}
+    for r in state.recent_table(store).collect():
+        got.setdefault(r.uid, []).append((r.pos, r.mid))
+    u1 = [m for _, m in sorted(got[1])]
+    assert u1 == [99] + list(range(29, 9, -1)) and got[2] == [(1, 5)]
