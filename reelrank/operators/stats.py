@@ -64,7 +64,8 @@ def movie_genre_match(movies: DataFrame, genres: DataFrame) -> DataFrame:
     once, without a shuffle, by a broadcast nested-loop join.
     """
     g = F.broadcast(genres.select(F.lower("genre").alias("_g"), "genre"))
-    return movies.join(g, F.lower(movies["genres"]).contains(F.col("_g"))).drop("_g")
+    m = movies.withColumn("_lg", F.lower("genres"))  # lower-cased once per movie, not per pair
+    return m.join(g, F.col("_lg").contains(F.col("_g"))).drop("_g", "_lg")
 
 
 def genre_top_movies_long(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
