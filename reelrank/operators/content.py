@@ -42,6 +42,11 @@ def content_tfidf(movies: DataFrame, n_features: int = CONTENT_FEATURES) -> Data
     return IDF(inputCol="rawFeatures", outputCol="features").fit(tf).transform(tf)
 
 
+def content_features(movies: DataFrame, n_features: int = CONTENT_FEATURES) -> DataFrame:
+    """(mid, features): the TF-IDF vector of every movie."""
+    return content_tfidf(movies, n_features).select("mid", "features")
+
+
 def tf_long(tf: DataFrame) -> DataFrame:
     """(mid, dim, tf) for the non-zero hashed counts."""
     e = tf.select("mid", F.posexplode(vector_to_array("rawFeatures")).alias("dim", "tf"))

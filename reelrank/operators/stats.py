@@ -68,15 +68,17 @@ def movie_genre_match(movies: DataFrame, genres: DataFrame) -> DataFrame:
     return m.join(g, F.col("_lg").contains(F.col("_g"))).drop("_g", "_lg")
 
 
-def genre_top_movies_long(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
+def genre_top_movies_long(movies: DataFrame, ratings: DataFrame, genres: DataFrame | None = None,
                           k: int = GENRE_TOP_K) -> DataFrame:
     """T1 in long form: (genre, rank, mid, score), best average first, ties by mid."""
+    if genres is None:
+        genres = genre_table(movies.sparkSession)
     scored = movies_with_avg(movies.select("mid", "genres"), average_movies(ratings))
     matched = movie_genre_match(scored, genres).select("genre", "mid", F.col("avg").alias("score"))
     return rank_within(matched, ["genre"], [F.desc("score"), F.asc("mid")], k)
 
 
-def genre_top_movies(movies: DataFrame, ratings: DataFrame, genres: DataFrame,
+def genre_top_movies(movies: DataFrame, ratings: DataFrame, genres: DataFrame | None = None,
                      k: int = GENRE_TOP_K) -> DataFrame:
     """GenresTopMovies (genres, recs[{mid, score}]); a genre matching no movie has no row."""
     long = genre_top_movies_long(movies, ratings, genres, k)

@@ -299,8 +299,7 @@ def q_als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = als.train_test_split(fx.ratings(spark, sf_dir))
-    return als.best_params(als.als_grid_search(train, test))
+    return als.best_params(als.als_grid_search(fx.ratings(spark, sf_dir)))
 
 
 QUERIES: dict[str, Query] = {

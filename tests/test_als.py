@@ -64,8 +64,7 @@ def test_split_is_disjoint_and_complete(ratings):
 
 
 def test_grid_search_small(ratings):
-    tr, te = als.train_test_split(ratings)
-    grid = als.als_grid_search(tr, te, ranks=[2, 4], regs=[0.1], iters=2)
+    grid = als.als_grid_search(ratings, ranks=[2, 4], regs=[0.1], iters=2)
     rows = grid.collect()
     assert len(rows) == 2 and rows[0].rmse <= rows[1].rmse
     best = als.best_params(grid).collect()
