@@ -188,6 +188,16 @@ def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
 
 
+def _write_messages(spark: SparkSession, er: DataFrame, path: str) -> None:
+    """Event ratings as ``uid | mid | score | ts`` messages (with event_id), parquet partitioned by
+    day. Rebalancing on the day gives about one file per day (AQE splits a busy day over
+    several writers and merges quiet ones)."""
+    day = F.floor(F.col("ts") / 86400).alias("day")
+    msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id", day), "|", " ",
+                                keep=("event_id", "day"))
+    msgs.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(path)
+
+
 def _flat_recs(current: DataFrame) -> DataFrame:
     flat = flatten(current.select("uid", "recs"), ["uid"])
     return flat.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
@@ -217,13 +227,10 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored[name] = shared_path(spark, f"stream-{name}")
         tables.overwrite_table(df, stored[name], key=key)
     src = shared_path(spark, "stream-messages")
-    day = F.floor(F.col("ts") / 86400).alias("day")
-    msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id", day), "|", " ",
-                                keep=("event_id", "day"))
-    msgs.write.mode("overwrite").partitionBy("day").parquet(src)
+    _write_messages(spark, er, src)
     store = tables.KeyedStore(spark, shared_path(spark, "stream-recs"))
     query = streaming.start_stream(
-        streaming.file_messages(spark, src, max_files_per_trigger=64),
+        streaming.file_messages(spark, src, max_files_per_trigger=10),
         spark.read.parquet(stored["sims"]), spark.read.parquet(stored["rated"]),
         spark.read.parquet(stored["recent"]), store,
         checkpoint_location=shared_path(spark, "stream-checkpoint"), available_now=True)
@@ -236,12 +243,9 @@ def q_recent_ratings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed store; the final table equals the batch ``recent_ratings``."""
     er = fx.event_ratings(spark, sf_dir)
     src = shared_path(spark, "recent-messages")
-    day = F.floor(F.col("ts") / 86400).alias("day")
-    msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id", day), "|", " ",
-                                keep=("event_id", "day"))
-    msgs.write.mode("overwrite").partitionBy("day").parquet(src)
+    _write_messages(spark, er, src)
     store = tables.KeyedStore(spark, shared_path(spark, "recent-store"), order=("batch_id",))
-    query = state.start_recent_stream(streaming.file_messages(spark, src, max_files_per_trigger=64), store,
+    query = state.start_recent_stream(streaming.file_messages(spark, src, max_files_per_trigger=10), store,
                                       shared_path(spark, "recent-checkpoint"), available_now=True)
     query.awaitTermination()
     return state.recent_table(store).select("uid", "pos", "mid", "score")

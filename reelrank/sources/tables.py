@@ -29,26 +29,20 @@ def drop_table(spark: SparkSession, path: str) -> None:
         hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-_ORDERABLE = ("int", "bigint", "smallint", "tinyint", "double", "float", "string", "date",
-              "timestamp", "timestamp_ntz", "boolean")
-
-
-def overwrite_table(df: DataFrame, path: str, key: Sequence[str] | str | None = None,
-                    partitions: int | None = None) -> None:
+def overwrite_table(df: DataFrame, path: str, key: Sequence[str] | str | None = None) -> None:
     """K1 + K3: replace the table at ``path``.
 
-    With ``key`` the table is written range-partitioned and sorted on the key (the Parquet
-    counterpart of the reference's lookup indexes): each file covers a narrow key range, so a
-    filter on the key skips files and row groups through their min/max statistics. The range
-    boundaries are drawn on (key, other orderable columns), so a key holding a third of all
-    rows is spread over several partitions instead of landing in one task.
+    With ``key`` the rows are rebalanced on the key and sorted within each file (the Parquet
+    counterpart of the reference's lookup indexes): row groups cover narrow key ranges, so a
+    filter on the key skips them through their min/max statistics. ``rebalance`` is one hash
+    shuffle on the key in which AQE splits oversized partitions and merges small ones, so a key
+    holding a third of all rows is written by several tasks into several files, without an extra
+    pass over the input (range partitioning would first sample the whole input).
     """
     out = df
     if key:
         keys = [key] if isinstance(key, str) else list(key)
-        spread = [c for c, t in df.dtypes if c not in keys and t in _ORDERABLE]
-        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = df.repartitionByRange(n, *keys, *spread).sortWithinPartitions(*keys, *spread)
+        out = df.hint("rebalance", *keys).sortWithinPartitions(*keys)
     out.write.mode("overwrite").parquet(path)
 
 

@@ -60,7 +60,11 @@ def test_overwrite_table_spreads_a_hot_key(spark, tmp_path):
     cold = spark.range(2000).select((F.col("id") + 2).cast("int").alias("uid"), F.lit(7).alias("mid"),
                                     F.lit(1.0).alias("score"), F.col("id").alias("timestamp"))
     path = str(tmp_path / "t")
-    overwrite_table(hot.unionByName(cold), path, key="uid", partitions=8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        overwrite_table(hot.unionByName(cold), path, key="uid")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     back = read_typed(spark, path, RATING)
     assert back.count() == 6000
     per_file = back.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()
