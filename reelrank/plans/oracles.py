@@ -147,6 +147,13 @@ SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(score, 6) AS score FROM (
   SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY round(score, 12) DESC, mid) AS rank
   FROM (SELECT a.mid AS uid, b.mid AS mid, list_dot_product(a.v, b.v) AS score
         FROM vectors a, vectors b) WHERE score > 0)
+WHERE rank <= 20"""),
+    "user_topk_unseen": _with(["vectors", "event_ratings"], """
+SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(score, 6) AS score FROM (
+  SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY round(score, 12) DESC, mid) AS rank
+  FROM (SELECT a.mid AS uid, b.mid AS mid, list_dot_product(a.v, b.v) AS score
+        FROM vectors a, vectors b) p
+  WHERE score > 0 AND NOT EXISTS (SELECT 1 FROM event_ratings r WHERE r.uid = p.uid AND r.mid = p.mid))
 WHERE rank <= 20"""),
     "content_tokens": _with(["movies", "words"], """
 SELECT mid, CAST(unnest(generate_series(1, len(words))) AS INTEGER) AS pos, unnest(words) AS token FROM words"""),

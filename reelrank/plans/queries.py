@@ -136,6 +136,14 @@ def q_user_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
 
 
+def q_user_topk_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + P13: top 20 by dot product > 0 among the items a user has not rated (exact)."""
+    v = fx.vectors(spark, sf_dir)
+    seen = fx.event_ratings(spark, sf_dir).select("uid", "mid")
+    top = similarity.topk_dot(v.withColumnRenamed("mid", "uid"), v, k=20, min_score=0.0, exclude=seen)
+    return top.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
+
+
 # --- content-based ------------------------------------------------------------------------------
 
 def q_content_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "item_similarity": q_item_similarity,
     "similarity_map": q_similarity_map,
     "user_topk": q_user_topk,
+    "user_topk_unseen": q_user_topk_unseen,
     "content_tokens": q_content_tokens,
     "content_tf": q_content_tf,
     "content_tfidf": q_content_tfidf,
