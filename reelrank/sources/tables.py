@@ -70,18 +70,25 @@ class KeyedStore:
          .partitionBy("batch_id").parquet(self._batches))
 
     def _snapshots(self) -> list[int]:
-        return sorted(int(d.split("=", 1)[1]) for d in list_subdirs(self.spark, self.path)
-                      if d.startswith("snapshot="))
-
-    def current(self) -> DataFrame:
+        """Ids of complete snapshots (a snapshot counts once its write committed ``_SUCCESS``)."""
+        ids = [int(d.split("=", 1)[1]) for d in list_subdirs(self.spark, self.path)
+               if d.startswith("snapshot=")]
+        return sorted(i for i in ids
+                      if path_exists(self.spark, f"{self.path}/snapshot={i}/_SUCCESS"))
+
+    def current(self, upto_batch: int | None = None) -> DataFrame:
+        """The newest row per key (over all batches, or over batches <= ``upto_batch``)."""
         parts = []
-        snaps = self._snapshots()
+        snaps = [i for i in self._snapshots() if upto_batch is None or i < upto_batch]
         floor = -1
         if snaps:
             floor = snaps[-1]
             parts.append(self.spark.read.parquet(f"{self.path}/snapshot={floor}"))
         if path_exists(self.spark, self._batches):
-            parts.append(self.spark.read.parquet(self._batches).where(F.col("batch_id") > floor))
+            batches = self.spark.read.parquet(self._batches).where(F.col("batch_id") > floor)
+            if upto_batch is not None:
+                batches = batches.where(F.col("batch_id") <= upto_batch)
+            parts.append(batches)
         if not parts:
             return self.spark.createDataFrame([], "uid int, recs array<struct<mid:int,score:double>>")
         rows = parts[0]
@@ -94,5 +101,13 @@ class KeyedStore:
         return newest.select(self.key, "_row.*")
 
     def compact(self, upto_batch: int) -> None:
-        """Write the current rows as ``snapshot=<upto_batch>``; older batches are then ignored."""
-        self.current().write.mode("overwrite").parquet(f"{self.path}/snapshot={int(upto_batch)}")
+        """Fold batches <= ``upto_batch`` (and the previous snapshot) into ``snapshot=<upto_batch>``.
+
+        Idempotent: a replayed batch finds the committed snapshot and does nothing; a snapshot
+        whose write did not commit is ignored by readers and rewritten here from the previous
+        snapshot, never from itself.
+        """
+        if int(upto_batch) in self._snapshots():
+            return
+        self.current(upto_batch=int(upto_batch)).write.mode("overwrite") \
+            .parquet(f"{self.path}/snapshot={int(upto_batch)}")

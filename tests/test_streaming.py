@@ -46,6 +46,8 @@ def test_upsert_is_idempotent_and_newest_wins(spark, tmp_path):
     cur = {r.uid: [x.mid for x in r.recs] for r in store.current().collect()}
     assert cur == {1: [6], 2: []}  # uid 2: batch 1 carries an older event, the newer empty list stays
     store.compact(1)
+    store.compact(1)  # a replayed batch finds the committed snapshot
+    assert store._snapshots() == [1]
     b2 = spark.createDataFrame([(2, [(8, 3.0)], 30, 5)], schema)
     store.upsert(b2, 2)
     cur = {r.uid: [x.mid for x in r.recs] for r in store.current().collect()}
@@ -87,3 +89,31 @@ def test_recent_state_stream_keeps_newest(spark, tmp_path):
         got.setdefault(r.uid, []).append((r.pos, r.mid))
     u1 = [m for _, m in sorted(got[1])]
     assert u1 == [99] + list(range(29, 9, -1)) and got[2] == [(1, 5)]
+
+
+def test_drop_table(spark, tmp_path):
+    from reelrank.session import path_exists
+    from reelrank.sources.tables import drop_table, overwrite_table
+    path = str(tmp_path / "d")
+    overwrite_table(spark.range(3), path)
+    assert path_exists(spark, path)
+    drop_table(spark, path)
+    assert not path_exists(spark, path)
+    drop_table(spark, path)  # dropping a missing table is a no-op
+
+
+def test_stream_compaction_keeps_result(spark, tmp_path):
+    er, sims, rated, recent, truth = _batch_truth(spark)
+    msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id",
+                                          (F.col("event_id") % 4).alias("part")), "|", " ",
+                                keep=("event_id", "part"))
+    msgs.write.partitionBy("part").parquet(str(tmp_path / "src"))
+    store = KeyedStore(spark, str(tmp_path / "recs"))
+    q = streaming.start_stream(streaming.file_messages(spark, str(tmp_path / "src"), max_files_per_trigger=3),
+                               sims, rated, recent, store, str(tmp_path / "ckpt"), available_now=True,
+                               compact_every=1)
+    q.awaitTermination()
+    assert store._snapshots()
+    got = {r.uid: [x.mid for x in r.recs] for r in store.current().collect()}
+    want = {r.uid: [x.mid for x in r.recs] for r in truth.collect()}
+    assert got == want
