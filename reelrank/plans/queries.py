@@ -225,7 +225,8 @@ def q_stream_recs_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole streaming job. As in the reference, the similarity table, the rated pairs and
-    the recent ratings are stored tables the stream reads (here Parquet keyed by movie / user);
+    the recent ratings are stored tables the stream reads (here Parquet lookup tables bucketed by
+    movie / user, so each micro-batch reads only the buckets it needs);
     messages are written as parquet files partitioned by day, read by a file stream several
     files per micro-batch, re-ranked in ``foreachBatch`` and upserted per user. The stored list
     of a user is the one of their newest event, whatever order the files are read in."""
@@ -233,7 +234,7 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = {}
     for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
         stored[name] = shared_path(spark, f"stream-{name}")
-        tables.overwrite_table(df, stored[name], key=key)
+        tables.write_lookup_table(df, stored[name], key)
     src = shared_path(spark, "stream-messages")
     _write_messages(spark, er, src)
     store = tables.KeyedStore(spark, shared_path(spark, "stream-recs"))

@@ -6,6 +6,7 @@ shared file system; every write replaces its target atomically per directory.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,51 @@ def overwrite_table(df: DataFrame, path: str, key: Sequence[str] | str | None =
     out.write.mode("overwrite").parquet(path)
 
 
+def bucket_name(key: str, buckets: int) -> str:
+    """Name of the bucket column of ``key``; it carries the bucket count (``mid_b64``)."""
+    return f"{key}_b{int(buckets)}"
+
+
+def bucket_of(col: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(col).cast("int")), F.lit(int(buckets))).cast("int")
+
+
+def find_bucket(df: DataFrame, key: str) -> tuple[str, int] | None:
+    """(column name, bucket count) when ``df`` is a lookup table bucketed on ``key``."""
+    for c in df.columns:
+        m = re.fullmatch(re.escape(key) + r"_b(\d+)", c)
+        if m:
+            return c, int(m.group(1))
+    return None
+
+
+def with_bucket(df: DataFrame, col: str, like: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
+    """Add to ``df`` the bucket column that ``like`` has for ``key``, computed from ``df[col]``;
+    returns the frame and the extra join key (empty when ``like`` is not bucketed)."""
+    info = find_bucket(like, key)
+    if info is None:
+        return df, []
+    name, n = info
+    return df.withColumn(name, bucket_of(col, n)), [name]
+
+
+def write_lookup_table(df: DataFrame, path: str, key: str, buckets: int | None = None,
+                       rows_per_bucket: int = 1_000_000, max_buckets: int = 1024) -> None:
+    """A lookup table partitioned into bucket directories by a hash of ``key`` and sorted by key
+    within each file. A join that carries the bucket column lets Spark's dynamic partition
+    pruning read only the buckets the other (small) side touches — a micro-batch then scans a
+    slice of the table, not all of it. ``rebalance`` on the bucket gives about one file per
+    bucket; AQE splits a bucket that holds a hot key. Without ``buckets`` the count follows the
+    table size (about ``rows_per_bucket`` rows each, at most ``max_buckets``)."""
+    if buckets is None:
+        n = df.count()
+        buckets = max(1, min(max_buckets, -(-n // rows_per_bucket)))
+    name = bucket_name(key, buckets)
+    (df.withColumn(name, bucket_of(key, buckets)).hint("rebalance", name)
+     .sortWithinPartitions(name, key)
+     .write.mode("overwrite").partitionBy(name).parquet(path))
+
+
 class KeyedStore:
     """K4: keyed upsert of recommendation lists (StreamRecs) on Parquet.
 

@@ -117,3 +117,26 @@ def test_stream_compaction_keeps_result(spark, tmp_path):
     got = {r.uid: [x.mid for x in r.recs] for r in store.current().collect()}
     want = {r.uid: [x.mid for x in r.recs] for r in truth.collect()}
     assert got == want
+
+
+def test_bucketed_lookup_tables_prune_and_match(spark, tmp_path):
+    from pyspark import StorageLevel
+    from reelrank.sources.tables import find_bucket, write_lookup_table
+    from reelrank.streaming.recommender import _for_users
+    er, sims, rated, recent, truth = _batch_truth(spark)
+    paths = {}
+    for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
+        paths[name] = str(tmp_path / name)
+        write_lookup_table(df, paths[name], key, buckets=8)
+    S, R, RC = (spark.read.parquet(paths[n]) for n in ("sims", "rated", "recent"))
+    assert find_bucket(S, "mid") == ("mid_b8", 8) and find_bucket(R, "uid") == ("uid_b8", 8)
+    cached = er.select("uid", "mid", "score", "ts", "event_id").persist(StorageLevel.MEMORY_AND_DISK)
+    events = rerank.newest_per_user(cached)
+    users = events.select("uid").distinct()
+    recs = rerank.recommend_events(events, S, _for_users(R, users), _for_users(RC, users))
+    got = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in recs.collect()}
+    want = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in truth.collect()}
+    assert got == want
+    plan = spark._jvm.PythonSQLUtils.explainString(recs._jdf.queryExecution(), "formatted")
+    assert "dynamicpruningexpression" in plan
+    cached.unpersist()
