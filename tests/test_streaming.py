@@ -140,3 +140,24 @@ def test_bucketed_lookup_tables_prune_and_match(spark, tmp_path):
     plan = spark._jvm.PythonSQLUtils.explainString(recs._jdf.queryExecution(), "formatted")
     assert "dynamicpruningexpression" in plan
     cached.unpersist()
+
+
+def test_stream_over_bucketed_tables_equals_batch(spark, tmp_path):
+    from reelrank.sources.tables import write_lookup_table
+    er, sims, rated, recent, truth = _batch_truth(spark)
+    paths = {}
+    for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
+        paths[name] = str(tmp_path / name)
+        write_lookup_table(df, paths[name], key, buckets=4)
+    msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id",
+                                          (F.col("event_id") % 2).alias("part")), "|", " ",
+                                keep=("event_id", "part"))
+    msgs.write.partitionBy("part").parquet(str(tmp_path / "src"))
+    store = KeyedStore(spark, str(tmp_path / "recs"))
+    q = streaming.start_stream(streaming.file_messages(spark, str(tmp_path / "src"), max_files_per_trigger=4),
+                               *(spark.read.parquet(paths[n]) for n in ("sims", "rated", "recent")),
+                               store, str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination()
+    got = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in store.current().collect()}
+    want = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in truth.collect()}
+    assert got == want
