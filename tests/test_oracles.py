@@ -36,3 +36,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["genre", "rank", "mid", "score"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["rating_month", "popular_by_month_sql", "load_ratings", "recent_ratings"])
+def test_time_queries_ignore_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = entry.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows_of(got) == rows_of(con.execute(entry.oracle_sql()[name]).df())
