@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding, simhash, tokencount
+from . import decontam, langid, packing, sharding, simhash, tokencount, topk
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +18,13 @@ def _documents(op: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": _documents(simhash.op1_simhash),
+    "op2_decontamination": lambda spark, sf_dir: decontam.op2_decontamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op6_best_fit_packing": _documents(packing.op6_best_fit_packing),
+    "op7_exact_topk": lambda spark, sf_dir: topk.op7_exact_topk(table(spark, sf_dir, "embeddings")),
     "op8_token_counts": _documents(tokencount.op8_token_counts),
     "op9_sharding": _documents(sharding.op9_sharding),
+    "op10_language_id": _documents(langid.op10_language_id),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_exact_topk": topk.OP7_SQL}
