@@ -9,10 +9,15 @@ from reelrank.session import shared_path, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(docs: DataFrame) -> DataFrame:
+    """(doc_id: long, text: string) of ``docs``, whose session can then run this package's Python."""
+    ship_package(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 

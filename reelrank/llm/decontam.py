@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, texts
 
 #: ASCII white space, punctuation and controls become spaces; other bytes stay.
 _ASCII = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -197,12 +197,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least
         if sized.groupBy(block).agg(F.sum("size").alias("s")).agg(F.max("s")).first()[0] <= block_bytes:
             break
         blocks *= 2
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = texts(docs)
     out = spark.createDataFrame([], HITS)
     for b in range(blocks if total else 0):
         block = sized.where(F.pmod("draw", F.lit(blocks)) == b).select("item_id", "text").collect()
         shipped = spark.sparkContext.broadcast([(r.item_id, normalise(r.text)) for r in block])
-        out = out.unionByName(texts.mapInArrow(_scan(shipped, rate, least), HITS))
+        out = out.unionByName(plain.mapInArrow(_scan(shipped, rate, least), HITS))
     return out
 
 

@@ -19,6 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelrank.session import ship_package
+
+from .common import texts
+
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a block of the chain, and in a training chain.
 BLOCK = 64
@@ -208,10 +212,10 @@ class Labeller:
             self._known.update(zip(new, range(len(self._known), len(self._known) + len(new))))
         return self._scores[np.fromiter(map(self._known.__getitem__, found), np.int64, len(found))]
 
-    def label(self, texts: list[list[str]]) -> list[np.ndarray]:
+    def label(self, found: list[list[str]]) -> list[np.ndarray]:
         """For each non-empty word list, the (words x languages) posteriors."""
-        lengths = np.array([len(w) for w in texts])
-        post = posteriors(self._look_up([w for t in texts for w in t]).astype(np.float64), lengths, self.model.log_t)
+        lengths = np.array([len(w) for w in found])
+        post = posteriors(self._look_up([w for t in found for w in t]).astype(np.float64), lengths, self.model.log_t)
         return np.split(post, np.cumsum(lengths)[:-1])
 
 
@@ -256,6 +260,7 @@ def fit(docs: DataFrame, rows_per_language: int = 400, chains_per_language: int
     ``rows_per_language`` rows of each language, drawn by a hash of doc_id, are cut into chains of
     ``BLOCK`` words, of which ``chains_per_language`` are drawn the same way.
     """
+    ship_package(docs.sparkSession)
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where(
         ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
 
@@ -281,9 +286,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     stays null and counts as held out, other columns are ignored, no rows give none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM x languages floats and a square matrix
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        held_out().alias("held_out")).mapInArrow(
+    return texts(docs).withColumn("held_out", held_out()).mapInArrow(
         _predict(shared), "doc_id long, held_out boolean, lang_pred string, score double")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import materialise
+from .common import materialise, texts
 
 END = 2
 #: Items that one best-fit call packs at once; a task's input is taken in chunks of this many.
@@ -50,8 +50,7 @@ def _pieces(capacity: int, path: str | None):
 
 def pieces(docs: DataFrame, capacity: int = 1024, tokenizer_path: str | None = None) -> DataFrame:
     """Token pieces of every document: its ids and an end id, cut if longer than ``capacity``."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).mapInArrow(
+    return texts(docs).withColumn("text", F.coalesce("text", F.lit(""))).mapInArrow(
         _pieces(capacity, tokenizer_path), PIECES)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, packing, sharding, simhash, tokencount, topk
+from . import decontam, langid, lm, packing, quality, sharding, simhash, suffix, tokencount, topk
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": _documents(simhash.op1_simhash),
     "op2_decontamination": lambda spark, sf_dir: decontam.op2_decontamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op3_suffix_dedup": _documents(suffix.op3_suffix_dedup),
+    "op4_lm_scoring": lambda spark, sf_dir: lm.op4_lm_scoring(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op5_quality": lambda spark, sf_dir: quality.op5_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op6_best_fit_packing": _documents(packing.op6_best_fit_packing),
     "op7_exact_topk": lambda spark, sf_dir: topk.op7_exact_topk(table(spark, sf_dir, "embeddings")),
     "op8_token_counts": _documents(tokencount.op8_token_counts),

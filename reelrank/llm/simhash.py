@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialise
+from .common import connected_components, materialise, texts
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Generator polynomial of the [23, 12] Golay code: x^11+x^10+x^6+x^5+x^4+x^2+1.
@@ -55,16 +55,14 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1).cast(pa.binary())], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _fingerprints(shingle), "doc_id long, fp long")
+    return texts(docs).mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
 
 
 @lru_cache(1)

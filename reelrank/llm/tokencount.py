@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reelrank.session import path_exists, shared_path
 
 from . import bpe
+from .common import texts
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
@@ -32,8 +33,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
     The content is normalised no further, as case, white space and composition change the count.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn(
+    return texts(docs).withColumn("text", F.coalesce("text", F.lit(""))).withColumn(
         "digest", F.unhex(F.sha2("text", 256)))
 
 

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelrank.session import ship_package
+
 from .common import materialise
 
 SHARD_ROWS = 4096
@@ -141,6 +143,7 @@ def top_products(embeddings: DataFrame, every: int = 50, k: int = 5, scale: int
     Shards and query blocks are drawn by a hash of vec_id and hold about ``shard_rows`` and
     ``query_rows`` rows at any size of the table; each (shard, block) is one group.
     """
+    ship_package(embeddings.sparkSession)
     vectors = quantised(embeddings, scale).dropDuplicates()
     rows = vectors.count()
     shards = max(1, -(-rows // shard_rows))
