@@ -14,7 +14,11 @@ import hashlib
 import os
 import re
 
-LIMIT = 400_000
+import numpy as np
+
+LIMIT = 600_000
+#: Pieces that are encoded in one call of the library.
+ROW = 256
 KEEP = 100
 _RUN = re.compile(r" \s* ")
 
@@ -44,13 +48,32 @@ class Encoder:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self._limit = limit
+        vocabulary = self._tokenizer.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if "\u0120" in token]] = True  # how a space is written
         self._inner: dict[str, bytes] = {}  # ids of " " + piece
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of " " + piece for each piece.
+
+        Pieces that neither begin nor end with white space are encoded in long rows: each then
+        begins with the row's next token that holds a space.
+        """
+        plain = [p for p in pieces if p and not (p[0].isspace() or p[-1].isspace())]
+        out: dict[str, bytes] = {}
+        rows = [plain[i:i + ROW] for i in range(0, len(plain), ROW)]
+        for row, ids in zip(rows, self._encode([" " + " ".join(r) for r in rows])):
+            starts = np.flatnonzero(self._spaced[np.frombuffer(ids, "<u4")]) * 4
+            if len(starts) == len(row):
+                ends = [*starts[1:].tolist(), len(ids)]
+                out.update(zip(row, map(ids.__getitem__, map(slice, starts.tolist(), ends))))
+        rest = [p for p in pieces if p not in out]
+        out.update(zip(rest, self._encode([" " + p for p in rest])))
+        return out
+
     def ids_bytes(self, texts: list[str]) -> list[bytes]:
         whole = {i for i, t in enumerate(texts) if _RUN.search(t)}
         cut = [[] if i in whole else t.split(" ") for i, t in enumerate(texts)]
@@ -59,7 +82,7 @@ class Encoder:
             inner.clear()
         new = list(set().union(*(p[1:] for p in cut)).difference(inner))
         long = [p for p in new if len(p) > KEEP]
-        inner.update(zip(new, self._encode([" " + p for p in new])))
+        inner.update(self._encode_pieces(new))
         firsts = iter(self._encode([texts[i] if i in whole else p[0] for i, p in enumerate(cut)]))
         get = inner.__getitem__
         out = [next(firsts) + b"".join(map(get, p[1:])) for p in cut]
