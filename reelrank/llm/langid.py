@@ -219,21 +219,24 @@ class Labeller:
         return np.split(post, np.cumsum(lengths)[:-1])
 
 
+def label_texts(labeller: Labeller, values: list[str | None]) -> tuple[list[str], list[float]]:
+    """Language and score of each text; ``und`` and 0 where there is none to tell."""
+    langs = labeller.model.languages
+    found = [words(t) for t in values]
+    usable = [bool(langs) and has_letter(w) for w in found]
+    means = iter([p.mean(axis=0) for p in labeller.label([w for w, u in zip(found, usable) if u])] if any(usable) else [])
+    best = [next(means) if u else None for u in usable]
+    return (["und" if m is None else langs[int(m.argmax())] for m in best],
+            [0.0 if m is None else min(1.0, float(m.max())) for m in best])
+
+
 def _predict(model_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model_of.value)
-        langs = labeller.model.languages
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                found = [words(t.as_py()) for t in part.column(1)]
-                usable = [bool(langs) and has_letter(w) for w in found]
-                means = iter([p.mean(axis=0) for p in labeller.label([w for w, u in zip(found, usable) if u])] if any(usable) else [])
-                pred, score = [], []
-                for u in usable:
-                    m = next(means) if u else None
-                    pred.append(langs[int(m.argmax())] if u else "und")
-                    score.append(min(1.0, float(m.max())) if u else 0.0)
+                pred, score = label_texts(labeller, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                     ["doc_id", "held_out", "lang_pred", "score"])
@@ -290,5 +293,29 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         _predict(shared), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def _filter(model_of, at: int, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(model_of.value)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 128):
+                part = batch.slice(begin, 128)
+                scores = label_texts(labeller, part.column(at).to_pylist())[1]
+                yield part.filter(pa.array([s >= least for s in scores]))
+    return run
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all their columns, whose language is told with a score of ``least``.
+
+    Rejected are texts that are null or have no letter (score 0) and texts in which no learned
+    language reaches that mean posterior. A model without languages rejects nothing.
+    """
+    ship_package(docs.sparkSession)
+    if not model.languages:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_filter(shared, docs.columns.index("text"), least), docs.schema)
+
+
 def op10_language_id(docs: DataFrame) -> DataFrame:
     return predict(docs, fit(docs))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reelrank.session import ship_package
 
-from .common import texts
+from .common import materialise, texts
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Distinct words a task counts before it hands them on.
@@ -91,19 +91,27 @@ class Models:
     pairs: np.ndarray
     mass: float
 
-    def losses(self, ids: np.ndarray) -> np.ndarray:
+    def losses(self, ids: np.ndarray, member: bool | None = None) -> np.ndarray:
         """(2 x tokens): natural-log loss of each word after the one before it.
 
+        ``member`` tells which corpus counted this very text (True: target); its own counts are
+        taken out of that corpus, as no text may be its own evidence. None: neither.
+
         P(w | v) = (c(v w) + mass * P(w)) / (c(v) + mass), P(w) = (c(w) + 1) / (N + V). Counts of
         the larger corpus are scaled to the size of the smaller, so that both models trust their
         counts alike; a slot that collisions fill counts no more than c(v).
         """
-        before, after = ids[:-1], ids[1:]
-        at = slot(before, after, self.pairs.shape[1])
+        at = slot(ids[:-1], ids[1:], self.pairs.shape[1])
+        words, pairs, totals = self.words[:, ids].astype(np.float64), self.pairs[:, at].astype(np.float64), self._totals.astype(np.float64)
+        if member is not None:
+            for counts, names in ((words, ids), (pairs, at)):
+                _, place, own = np.unique(names, return_inverse=True, return_counts=True)
+                counts[int(member)] -= own[place]
+            totals[int(member)] -= len(ids) - 1
         scale = self._scale[:, None]
-        history = self.words[:, before] * scale
-        single = (self.words[:, after] * scale + 1) / (self._totals[:, None] * scale + self.words.shape[1])
-        pair = np.minimum(self.pairs[:, at] * scale, history)
+        history = words[:, :-1] * scale
+        single = (words[:, 1:] * scale + 1) / (totals[:, None] * scale + self.words.shape[1])
+        pair = np.minimum(pairs * scale, history)
         return -np.log((pair + self.mass * single) / (history + self.mass))
 
     def __post_init__(self):
@@ -122,6 +130,7 @@ def fit(docs: DataFrame, vocabulary_size: int = 1 << 16, slots: int = 1 << 20, m
     """
     spark = docs.sparkSession
     ship_package(spark)
+    docs = docs.select("text", "target")
     counted = docs.mapInArrow(_word_counts, "word string, target boolean, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "word").limit(vocabulary_size).collect()
     vocabulary = {r.word: i for i, r in enumerate(top, 2)}
@@ -141,10 +150,10 @@ def _scores(models_of):
         models = models_of.value
         for batch in batches:
             n, target, background = [], [], []
-            for text in batch.column(1):
+            for text, member in zip(batch.column(1), batch.column(2).to_pylist()):
                 ids = numbered(tokens(text.as_py()), models.vocabulary)
                 n.append(len(ids) - 1)
-                loss = models.losses(ids).mean(axis=1) if len(ids) > 1 else (None, None)
+                loss = models.losses(ids, member).mean(axis=1) if len(ids) > 1 else (None, None)
                 background.append(loss[0])
                 target.append(loss[1])
             yield pa.RecordBatch.from_arrays([
@@ -157,21 +166,26 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of every row of ``docs``.
 
     Losses are means over a text's tokens in nats; score = target - background, lower for texts
-    more like the target. Null and empty texts have no tokens and null losses. Repeated rows score
+    more like the target. A boolean column ``target`` tells which corpus the row was counted in;
+    without it, or where it is null, the row is new to both. Null and empty texts have no tokens and null losses. Repeated rows score
     alike, a null doc_id stays null, other columns are ignored, an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    return texts(docs).mapInArrow(
+    member = F.col("target") if "target" in docs.columns else F.lit(None).cast("boolean")
+    ship_package(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       member.alias("target")).mapInArrow(
         _scores(shared), "doc_id long, n_tokens long, target_loss double, background_loss double").withColumn(
         "score", F.col("target_loss") - F.col("background_loss"))
 
 
 def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, target): target marks documents labelled of good quality and not toxic."""
+    """(doc_id, text, target): target marks documents labelled of good quality and not toxic."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(
         F.col("doc_id").alias("good_id")).distinct()
-    return texts(docs).join(good, F.col("doc_id") == F.col("good_id"), "left").select("text", F.col("good_id").isNotNull().alias("target"))
+    return texts(docs).join(good, F.col("doc_id") == F.col("good_id"), "left").select("doc_id", "text", F.col("good_id").isNotNull().alias("target"))
 
 
 def op4_lm_scoring(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score(docs, fit(marked(docs, labels)))
+    corpora = materialise(marked(docs, labels), "lm-corpora")
+    return score(corpora, fit(corpora))

@@ -174,6 +174,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of ``docs``, all their columns, of one document a group: that with the least doc_id.
+
+    Of rows that repeat a kept doc_id one stays; rows without a doc_id stay.
+    """
+    groups = near_duplicates(docs, shingle, max_bits).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
+    groups = materialise(groups, "simhash-groups")
+    gone = materialise(groups.where("NOT stays").select("doc_id"), "simhash-gone")
+    repeated = materialise(groups.where("n > 1").select("doc_id"), "simhash-repeated")
+    stay = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return stay.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        stay.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+
+
 def op1_simhash(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import materialise, texts
 
@@ -160,7 +161,7 @@ BUNDLE = "key long, ctx long, crowded boolean, context binary, at int, low int,
 
 
 def _emit_bundles(span: int):
-    """(doc_id, text, wanted: [(key, ctx, crowded)]) -> bundles, one for each wanted digest."""
+    """(dk, text, wanted: [(key, ctx, crowded)]) -> bundles, one for each wanted digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -307,6 +308,23 @@ def _remove(span: int):
     return run
 
 
+def _replace(span: int, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_columns - 2
+            out = []
+            for value, data, hits in zip(batch.column(at), batch.column(n), batch.column(n + 1).to_pylist()):
+                text = _bytes(data)
+                begins, ends = repeated_runs(text, hits or [], span)
+                edges = [0, *(int(e) for pair in zip(begins, ends) for e in pair), len(text)]
+                kept = b"".join(text[b:e].tobytes() for b, e in zip(edges[::2], edges[1::2]))
+                out.append(kept.decode("utf-8", "ignore") if value.is_valid else None)
+            columns = batch.columns[:n]
+            columns[at] = pa.array(out, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:n])
+    return run
+
+
 def repeated_runs(text: np.ndarray, hits: list[dict], span: int) -> tuple[np.ndarray, np.ndarray]:
     """Begins and ends of the maximal runs covered by repeated windows.
 
@@ -341,12 +359,34 @@ def remove_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataF
     count as empty; texts shorter than ``span`` lose nothing. A null doc_id stays null, other columns
     are ignored, an empty table gives no rows.
     """
+    whole, hits = _hits(texts(docs), span, crowd)
+    return whole.join(hits, "__dk", "left").select("doc_id", "__bytes", "__hits").mapInArrow(
+        _remove(span), "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<begin: long, end: long>>")
+
+
+def drop_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataFrame:
+    """``docs`` with repeated bytes taken out of ``text``, and ``n_chars``, if there, counted anew.
+
+    All rows and columns stay. Bytes of a character that a removed run cuts go with it; a null
+    text stays null.
+    """
+    texts(docs)
+    whole, hits = _hits(docs, span, crowd)
+    schema = StructType([f for f in whole.schema.fields if not f.name.startswith("__")])
+    columns = [*docs.columns, "__bytes", "__hits"]
+    out = whole.join(hits, "__dk", "left").select(*columns).mapInArrow(_replace(span, docs.columns.index("text")), schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``__bytes`` and the routing key ``__dk``, and (__dk, __hits) of the texts that hold repeats."""
     if span < REACH + GRAM:
         raise ValueError(f"span must be at least {REACH + GRAM} bytes")
     spark = docs.sparkSession
-    whole = texts(docs).withColumn("text", F.coalesce("text", F.lit("")).cast("binary")).withColumn(
-        "dk", F.xxhash64("doc_id", "text"))  # only routes rows: two documents that share one do no harm
-    rows = whole.select("dk", "text").mapInArrow(_grouped(_emit_anchors(span)), "dk long, key long, ctx long, n long")
+    content = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    whole = docs.withColumn("__bytes", content).withColumn(
+        "__dk", F.xxhash64("doc_id", "__bytes"))  # only routes rows: two documents that share one do no harm
+    rows = whole.select("__dk", "__bytes").mapInArrow(_grouped(_emit_anchors(span)), "dk long, key long, ctx long, n long")
     shared = rows.groupBy("key").agg(F.sum("n").alias("all"), (F.min("ctx") != F.max("ctx")).alias("mixed")).where(
         F.col("all") > 1).select("key", "mixed")
     found = materialise(rows.join(shared, "key"), "suffix-shared")
@@ -355,7 +395,7 @@ def remove_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataF
     mixed = materialise(mixed.join(crowds, "key"), "suffix-mixed")
 
     wanted = mixed.groupBy("dk").agg(F.collect_list(F.struct("key", "ctx", "crowded")).alias("wanted"))
-    bundles = whole.join(wanted, "dk").select("doc_id", "text", "wanted").mapInArrow(_emit_bundles(span), BUNDLE)
+    bundles = whole.select("__dk", "__bytes").join(wanted.withColumnRenamed("dk", "__dk"), "__dk").select("__dk", "__bytes", "wanted").mapInArrow(_emit_bundles(span), BUNDLE)
     bundles = materialise(bundles, "suffix-bundles")
     lead = F.expr(f"substring(context, at + 1, {span - REACH + 1})")
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -370,9 +410,7 @@ def remove_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataF
     partial = ties.unionByName(crowd_ties).join(mixed.where("n = 1").select("key", "ctx"), ["key", "ctx"], "left_semi")
     hits = found.where("mixed").join(entire.unionByName(partial), ["key", "ctx"]).select("dk", "ctx", "mask").unionByName(
         found.where("NOT mixed").select("dk", "ctx", F.lit(None).cast("binary").alias("mask")))
-    hits = hits.groupBy("dk").agg(F.collect_list(F.struct("ctx", "mask")).alias("hits"))
-    return whole.join(hits, "dk", "left").select("doc_id", "text", "hits").mapInArrow(
-        _remove(span), "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<begin: long, end: long>>")
+    return whole, hits.groupBy(F.col("dk").alias("__dk")).agg(F.collect_list(F.struct("ctx", "mask")).alias("__hits"))
 
 
 def op3_suffix_dedup(docs: DataFrame) -> DataFrame:
