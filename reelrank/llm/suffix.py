@@ -26,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .common import materialise, texts
 
@@ -359,8 +358,8 @@ def remove_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataF
     count as empty; texts shorter than ``span`` lose nothing. A null doc_id stays null, other columns
     are ignored, an empty table gives no rows.
     """
-    whole, hits = _hits(texts(docs), span, crowd)
-    return whole.join(hits, "__dk", "left").select("doc_id", "__bytes", "__hits").mapInArrow(
+    whole, hits, (data, dk, found) = _hits(texts(docs), span, crowd)
+    return whole.join(hits, dk, "left").select("doc_id", data, found).mapInArrow(
         _remove(span), "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<begin: long, end: long>>")
 
 
@@ -371,22 +370,26 @@ def drop_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataFra
     text stays null.
     """
     texts(docs)
-    whole, hits = _hits(docs, span, crowd)
-    schema = StructType([f for f in whole.schema.fields if not f.name.startswith("__")])
-    columns = [*docs.columns, "__bytes", "__hits"]
-    out = whole.join(hits, "__dk", "left").select(*columns).mapInArrow(_replace(span, docs.columns.index("text")), schema)
+    whole, hits, (data, dk, found) = _hits(docs, span, crowd)
+    out = whole.join(hits, dk, "left").select(*docs.columns, data, found).mapInArrow(
+        _replace(span, docs.columns.index("text")), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
-def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with ``__bytes`` and the routing key ``__dk``, and (__dk, __hits) of the texts that hold repeats."""
+def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame, tuple[str, str, str]]:
+    """``docs`` with their bytes and a routing key, (key, hits) of the texts that hold repeats, and
+    the names of the three columns (bytes, key, hits), none of which ``docs`` has."""
+    mark = "_"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    data, route, found_hits = f"{mark}bytes", f"{mark}dk", f"{mark}hits"
     if span < REACH + GRAM:
         raise ValueError(f"span must be at least {REACH + GRAM} bytes")
     spark = docs.sparkSession
     content = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    whole = docs.withColumn("__bytes", content).withColumn(
-        "__dk", F.xxhash64("doc_id", "__bytes"))  # only routes rows: two documents that share one do no harm
-    rows = whole.select("__dk", "__bytes").mapInArrow(_grouped(_emit_anchors(span)), "dk long, key long, ctx long, n long")
+    whole = docs.withColumn(data, content).withColumn(
+        route, F.xxhash64("doc_id", data))  # only routes rows: two documents that share one do no harm
+    rows = whole.select(F.col(route).alias("dk"), F.col(data).alias("data")).mapInArrow(_grouped(_emit_anchors(span)), "dk long, key long, ctx long, n long")
     shared = rows.groupBy("key").agg(F.sum("n").alias("all"), (F.min("ctx") != F.max("ctx")).alias("mixed")).where(
         F.col("all") > 1).select("key", "mixed")
     found = materialise(rows.join(shared, "key"), "suffix-shared")
@@ -395,7 +398,7 @@ def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame]
     mixed = materialise(mixed.join(crowds, "key"), "suffix-mixed")
 
     wanted = mixed.groupBy("dk").agg(F.collect_list(F.struct("key", "ctx", "crowded")).alias("wanted"))
-    bundles = whole.select("__dk", "__bytes").join(wanted.withColumnRenamed("dk", "__dk"), "__dk").select("__dk", "__bytes", "wanted").mapInArrow(_emit_bundles(span), BUNDLE)
+    bundles = whole.select(F.col(route).alias("dk"), data).join(wanted, "dk").select("dk", data, "wanted").mapInArrow(_emit_bundles(span), BUNDLE)
     bundles = materialise(bundles, "suffix-bundles")
     lead = F.expr(f"substring(context, at + 1, {span - REACH + 1})")
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -410,7 +413,8 @@ def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame]
     partial = ties.unionByName(crowd_ties).join(mixed.where("n = 1").select("key", "ctx"), ["key", "ctx"], "left_semi")
     hits = found.where("mixed").join(entire.unionByName(partial), ["key", "ctx"]).select("dk", "ctx", "mask").unionByName(
         found.where("NOT mixed").select("dk", "ctx", F.lit(None).cast("binary").alias("mask")))
-    return whole, hits.groupBy(F.col("dk").alias("__dk")).agg(F.collect_list(F.struct("ctx", "mask")).alias("__hits"))
+    hits = hits.groupBy(F.col("dk").alias(route)).agg(F.collect_list(F.struct("ctx", "mask")).alias(found_hits))
+    return whole, hits, (data, route, found_hits)
 
 
 def op3_suffix_dedup(docs: DataFrame) -> DataFrame:

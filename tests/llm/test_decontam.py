@@ -1,0 +1,86 @@
+import random
+
+import pytest
+
+from reelrank.llm import decontam as D
+
+
+def distance(p, t):
+    prev = [0] * (len(t) + 1)
+    for i, a in enumerate(p, 1):
+        row = [i]
+        for j, c in enumerate(t, 1):
+            row.append(min(prev[j] + 1, row[j - 1] + 1, prev[j - 1] + (a != c)))
+        prev = row
+    return min(prev)
+
+
+def test_myers_is_the_edit_distance():
+    random.seed(3)
+    for _ in range(400):
+        p = "".join(random.choice("abc") for _ in range(random.randint(1, 14)))
+        t = "".join(random.choice("abc") for _ in range(random.randint(0, 30)))
+        assert D.myers(D.masks(p), len(p), t)[0] == distance(p, t)
+
+
+def test_matcher_finds_all_within_budget():
+    random.seed(4)
+    words = ["".join(random.choice("abcdefgh") for _ in range(random.randint(1, 7))) for _ in range(60)]
+    items = [(i, " ".join(random.choice(words) for _ in range(random.randint(8, 30)))) for i in range(15)]
+    texts = []
+    for _ in range(60):
+        s = list(random.choice(items)[1])
+        for _ in range(random.randint(0, len(s) // 6)):
+            at = random.randrange(len(s))
+            s[at:at + random.randint(0, 1)] = random.choice("abcdefgh ")
+        pad = [" ".join(random.choice(words) for _ in range(random.randint(0, 12))) for _ in range(2)]
+        texts.append(D.normalise(pad[0] + " " + "".join(s) + " " + pad[1]))
+    matcher = D.Matcher(items, 0.1, 25)
+    for t in texts:
+        want = {(i, distance(p, t)) for i, p in items if distance(p, t) <= int(0.1 * len(p))}
+        assert {(i, d) for i, d, *_ in matcher.find(t)} == want
+
+
+def brute(docs, benchmark, rate):
+    items = [(r.item_id, D.normalise(r.text)) for r in benchmark.collect()]
+    out = []
+    for r in docs.collect():
+        t = D.normalise(r.text)
+        for i, p in items:
+            if len(p) < 25:
+                hit = 0 if p and p == t else None
+            else:
+                k = int(rate * len(p))
+                hit = 0 if p in t else None
+                if hit is None and any(piece in t for _, piece in D.split(p, k)):
+                    d = D.myers(D.masks(p), len(p), t)[0]
+                    hit = d if d <= k else None
+            if hit is not None:
+                out.append((r.doc_id, i, hit))
+    return sorted(out, key=str)
+
+
+def test_whole_table(spark, sf):
+    docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    got = D.op2_decontamination(docs, bench)
+    assert sorted(((r.doc_id, r.item_id, r.distance) for r in got.collect()), key=str) == brute(docs, bench, 0.1)
+
+
+@pytest.fixture(scope="module")
+def edge_bench(spark):
+    long = "seven wizards mix quartz and jade potions under the pale moon of a quiet northern village"
+    rows = [(1, None), (2, ""), (3, "!!"), (4, "ONE"), (5, long), (5, long), (None, long.upper().replace(" ", ", ")), (6, "mix")]
+    return spark.createDataFrame([(*r, "c") for r in rows], "item_id long, text string, doc_id string")
+
+
+def test_edges(edge_docs, no_docs, edge_bench):
+    for block in (8 << 20, 1):
+        got = D.contaminated(edge_docs, edge_bench, block_bytes=block).collect()
+        assert sorted(((r.doc_id, r.item_id, r.distance) for r in got), key=str) == brute(edge_docs, edge_bench, 0.1)
+    assert {r.doc_id for r in got} == {4, 5, None, 13}
+    assert D.contaminated(no_docs, edge_bench).count() == 0
+    assert D.contaminated(edge_docs, edge_bench.where("false")).count() == 0
+    kept = D.decontaminate(edge_docs, edge_bench)
+    assert kept.columns == edge_docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(
+        (r.doc_id for r in edge_docs.collect() if r.doc_id not in (4, 5, 13)), key=str)
