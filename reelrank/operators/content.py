@@ -18,9 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CONTENT_FEATURES, ITEM_SIM_THRESHOLD
+from ..constants import CONTENT_FEATURES, ITEM_SIM_THRESHOLD, STORED_NEIGHBOURS
 from ..session import checkpoint_root
-from .joins import broadcast_if_small
 from .similarity import cosine_pairs
 from .topk import rank_within
 
@@ -61,28 +60,15 @@ def tfidf_long(tfidf: DataFrame) -> DataFrame:
         "mid", F.col("dim").cast("int").alias("dim"), F.element_at("w", F.col("dim") + 1).alias("w"))
 
 
-def content_similarity(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
-                       n_features: int = CONTENT_FEATURES, block_rows: int = 1024,
-                       max_neighbours: int | None = None) -> DataFrame:
-    """(mid, rank, mid2, sim) for every ordered pair of movies with cosine > threshold,
-    each movie's neighbours ranked best first (ties: smaller mid2); all of them by default, the
-    best ``max_neighbours`` when given (the rank is exact, so this is a plain filter).
-
-    Plan (sizes: N movies, S distinct vectors, P similar vector pairs):
-      0. term counts of every movie, persisted: the movie table is scanned once (IDF fit,
-         then the transform reads the cache)
-      1. distinct vectors, one id each (min mid)                      — S rows
-      2. (vector id, mid) for every movie                             — N rows
-      3. cosine between distinct vectors, incl. (s, s)                 — P rows
-      4. per vector: the ranked list of all movies of similar vectors  — window over ≤ S·N rows
-      5. every movie takes its vector's list minus itself; ranks after its own entry shift by one
-    Tables 1–4 are checkpointed into the shared checkpoint folder, so the cache of step 0 is
-    released before returning and an executor loss never replays the TF-IDF pipeline. Step 5 is
-    one join on the vector id (broadcast when the lists are small): the movie-level result is
-    produced without a shuffle or sort over the N×N output.
+def content_signatures(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
+                       n_features: int = CONTENT_FEATURES, block_rows: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """M11 without loss and in linear size: (sid, mid) names the vector of every movie by its
+    smallest mid, (sid, sid2, sim) holds every similar pair of distinct vectors, equal ones included.
+
+    Two movies are similar exactly if their vectors are. Both tables are checkpointed into the
+    shared folder, so an executor loss never replays the TF-IDF pipeline.
     """
-    spark = movies.sparkSession
-    checkpoint_root(spark)
+    checkpoint_root(movies.sparkSession)
     tf = content_tf(content_words(movies), n_features).select("mid", "rawFeatures") \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -93,18 +79,30 @@ def content_similarity(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
         members = feats.join(sigs, "sig").select("sid", "mid").checkpoint(eager=True)
     finally:
         tf.unpersist()
-    sig_pairs = cosine_pairs(sigs, id_col="sid", vec_col="sig", threshold=threshold,
-                             block_rows=block_rows, include_self=True, n_items=sigs.count())
-    sig_pairs = sig_pairs.select(F.col("mid").alias("sid"), F.col("mid2").alias("sid2"), "sim") \
-        .checkpoint(eager=True)
+    pairs = cosine_pairs(sigs, id_col="sid", vec_col="sig", threshold=threshold,
+                         block_rows=block_rows, include_self=True, n_items=sigs.count())
+    pairs = pairs.select(F.col("mid").alias("sid"), F.col("mid2").alias("sid2"), "sim").checkpoint(eager=True)
+    return members, pairs
+
+
+def content_similarity(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
+                       n_features: int = CONTENT_FEATURES, block_rows: int = 1024,
+                       k: int = STORED_NEIGHBOURS) -> DataFrame:
+    """(mid, rank, mid2, sim), each movie's k best neighbours with cosine > threshold, best
+    first (ties: smaller mid2).
+
+    A vector's movies share one list of its k + 1 best movies (the window keeps no more per map
+    task), and each of them takes that list without itself, so the work after the vector pairs is
+    linear in the number of movies.
+    """
+    members, pairs = content_signatures(movies, threshold, n_features, block_rows)
     others = members.select(F.col("sid").alias("sid2"), F.col("mid").alias("mid2"))
-    lists = rank_within(broadcast_if_small(sig_pairs).join(others, "sid2"), ["sid"],
-                        [F.desc(F.round("sim", 12)), F.asc("mid2")], rank_col="pos") \
-        .select("sid", "pos", "mid2", "sim").checkpoint(eager=True)
-    lists = broadcast_if_small(lists)
-    own = members.join(lists.select("sid", F.col("mid2").alias("mid"), F.col("pos").alias("own")),
-                       ["sid", "mid"], "left")
+    # the k + 1 best movies of each vector on either side of the join are enough for its pairs
+    others = rank_within(others, ["sid2"], [F.asc("mid2")], k + 1, rank_col="_n").drop("_n")
+    lists = rank_within(pairs.join(others, "sid2"), ["sid"], [F.desc(F.round("sim", 12)), F.asc("mid2")],
+                        k + 1, rank_col="pos").select("sid", "pos", "mid2", "sim").checkpoint(eager=True)
+    own = members.join(lists.select("sid", F.col("mid2").alias("mid"), F.col("pos").alias("own")), ["sid", "mid"], "left")
     out = own.join(lists, "sid").where(F.col("mid2") != F.col("mid"))
     shift = F.when(F.col("own").isNotNull() & (F.col("pos") > F.col("own")), 1).otherwise(0)
     out = out.select("mid", (F.col("pos") - shift).cast("int").alias("rank"), "mid2", "sim")
-    return out if max_neighbours is None else out.where(F.col("rank") <= max_neighbours)
+    return out.where(F.col("rank") <= k)

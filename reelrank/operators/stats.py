@@ -60,26 +60,27 @@ def genre_table(spark, genres: Sequence[str] = GENRES) -> DataFrame:
 def movie_genre_match(movies: DataFrame, genres: DataFrame) -> DataFrame:
     """Genre ⊂ movie.genres, case-insensitive substring (``Music`` also hits ``Musical``).
 
-    The genre side is a fixed list of 20 names, so it is broadcast: the movie side is scanned
-    once, without a shuffle, by a broadcast nested-loop join.
+    Genre names are a list of words, not data that grows: a nested-loop join needs one side
+    broadcast, and Spark takes the one it knows to be small. The movie side is scanned once.
     """
-    g = F.broadcast(genres.select(F.lower("genre").alias("_g"), "genre"))
+    g = genres.select(F.lower("genre").alias("_g"), "genre")
     m = movies.withColumn("_lg", F.lower("genres"))  # lower-cased once per movie, not per pair
     return m.join(g, F.col("_lg").contains(F.col("_g"))).drop("_g", "_lg")
 
 
-def genre_top_movies_long(movies: DataFrame, ratings: DataFrame, genres: DataFrame | None = None,
-                          k: int = GENRE_TOP_K) -> DataFrame:
-    """T1 in long form: (genre, rank, mid, score), best average first, ties by mid."""
+def genre_top_movies_long(movies: DataFrame, ratings: DataFrame | None, genres: DataFrame | None = None,
+                          k: int = GENRE_TOP_K, averages: DataFrame | None = None) -> DataFrame:
+    """T1 in long form: (genre, rank, mid, score), best average first, ties by mid; ``averages``
+    (mid, avg), if given, are used in place of those of ``ratings``."""
     if genres is None:
         genres = genre_table(movies.sparkSession)
-    scored = movies_with_avg(movies.select("mid", "genres"), average_movies(ratings))
+    scored = movies_with_avg(movies.select("mid", "genres"), average_movies(ratings) if averages is None else averages)
     matched = movie_genre_match(scored, genres).select("genre", "mid", F.col("avg").alias("score"))
     return rank_within(matched, ["genre"], [F.desc("score"), F.asc("mid")], k)
 
 
-def genre_top_movies(movies: DataFrame, ratings: DataFrame, genres: DataFrame | None = None,
-                     k: int = GENRE_TOP_K) -> DataFrame:
+def genre_top_movies(movies: DataFrame, ratings: DataFrame | None, genres: DataFrame | None = None,
+                     k: int = GENRE_TOP_K, averages: DataFrame | None = None) -> DataFrame:
     """GenresTopMovies (genres, recs[{mid, score}]); a genre matching no movie has no row."""
-    long = genre_top_movies_long(movies, ratings, genres, k)
+    long = genre_top_movies_long(movies, ratings, genres, k, averages)
     return nest(long.withColumnRenamed("genre", "genres"), ["genres"], ["mid", "score"])

@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import ALS_ITERATIONS, ALS_RANK, ALS_REG, DEFAULT_SEED, USER_TOP_K
+from ..constants import ALS_ITERATIONS, ALS_RANK, ALS_REG, DEFAULT_SEED, STORED_NEIGHBOURS, USER_TOP_K
 from ..operators import als, content, rerank, stats
-from ..operators.similarity import rank_neighbours
+from ..operators.similarity import similarity_lists
 from ..schemas import MOVIE, RATING
 from ..sources import loaders, tables
 from ..streaming import recommender
@@ -39,21 +39,17 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(_path(root, table))
 
 
-def _lists(long: DataFrame, key: str) -> DataFrame:
-    """(key, rank, mid2, sim) → (key, recs[{mid, score}]) ordered by rank."""
-    collected = long.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("rank", F.col("mid2").alias("m"), "sim"))).alias("_l"))
-    return collected.select(key, F.transform(
-        "_l", lambda s: F.struct(s["m"].alias("mid"), s["sim"].alias("score"))).alias("recs"))
-
-
 def load_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_path: str,
              root: str) -> None:
-    """DataLoader: parse the three text inputs and replace the three tables (keyed layouts:
-    Movie by mid, Rating and Tag by uid)."""
-    tables.overwrite_table(loaders.load_movies(spark, movies_path), _path(root, MOVIE_T), key="mid")
-    tables.overwrite_table(loaders.load_ratings(spark, ratings_path), _path(root, RATING_T), key="uid")
-    tables.overwrite_table(loaders.load_tags(spark, tags_path), _path(root, TAG_T), key="uid")
+    """Parse the three text inputs, drop the stored tables and write new ones: Movie by mid, Rating
+    and Tag in two layouts each, by uid and by mid (the two keys they are looked up by)."""
+    for name, lines, keys in ((MOVIE_T, loaders.load_movies(spark, movies_path), ("mid",)),
+                              (RATING_T, loaders.load_ratings(spark, ratings_path), ("uid", "mid")),
+                              (TAG_T, loaders.load_tags(spark, tags_path), ("uid", "mid"))):
+        for i, key in enumerate(keys):
+            path = _path(root, f"{name}_by_{key}" if i else name)
+            tables.drop_table(spark, path)
+            tables.overwrite_table(lines, path, key=key)
 
 
 def statistics_job(spark: SparkSession, root: str) -> None:
@@ -63,36 +59,47 @@ def statistics_job(spark: SparkSession, root: str) -> None:
     tables.overwrite_table(stats.popular_movies(ratings), _path(root, RATE_MORE))
     tables.overwrite_table(stats.popular_by_month(ratings), _path(root, RATE_MORE_RECENTLY))
     tables.overwrite_table(stats.average_movies(ratings), _path(root, AVERAGE))
-    tables.overwrite_table(stats.genre_top_movies(movies, ratings), _path(root, GENRES_TOP))
+    averages = read_table(spark, root, AVERAGE)
+    tables.overwrite_table(stats.genre_top_movies(movies, None, averages=averages), _path(root, GENRES_TOP))
 
 
 def offline_job(spark: SparkSession, root: str, rank: int = ALS_RANK, iters: int = ALS_ITERATIONS,
-                reg: float = ALS_REG, seed: int = DEFAULT_SEED, k: int = USER_TOP_K) -> None:
+                reg: float = ALS_REG, seed: int = DEFAULT_SEED, k: int = USER_TOP_K,
+                neighbours: int = STORED_NEIGHBOURS) -> None:
     """OfflineRecommender: ALS on all ratings → per-user top k and item-item similarity lists."""
     ratings = tables.read_typed(spark, _path(root, RATING_T), RATING)
     model = als.als_fit(ratings, rank=rank, iters=iters, reg=reg, seed=seed)
     tables.overwrite_table(als.user_recs(model, k=k), _path(root, USER_RECS))
-    ranked = rank_neighbours(als.item_similarity(model))
-    tables.overwrite_table(_lists(ranked, "mid"), _path(root, MOVIE_RECS))
+    tables.overwrite_table(similarity_lists(als.item_similarity(model, k=neighbours)), _path(root, MOVIE_RECS))
 
 
-def content_job(spark: SparkSession, root: str) -> None:
+def content_job(spark: SparkSession, root: str, neighbours: int = STORED_NEIGHBOURS) -> None:
     """ContentBasedRecommender: genre TF-IDF cosine lists per movie."""
     movies = tables.read_typed(spark, _path(root, MOVIE_T), MOVIE)
-    tables.overwrite_table(_lists(content.content_similarity(movies), "mid"), _path(root, CONTENT_RECS))
+    ranked = content.content_similarity(movies, k=neighbours)
+    tables.overwrite_table(similarity_lists(ranked), _path(root, CONTENT_RECS))
 
 
 def streaming_job(spark: SparkSession, root: str, messages: DataFrame, recent: DataFrame,
-                  checkpoint_location: str, available_now: bool = False) -> StreamingQuery:
+                  checkpoint_location: str, available_now: bool = False,
+                  buckets: int = tables.LOOKUP_BUCKETS) -> StreamingQuery:
     """StreamingRecommender: re-rank on every rating message against Movie_Recs, excluding the
     user's rated movies, scoring with the user's ``recent`` ratings (uid, pos, mid, score);
-    StreamRecs keeps the newest list per user."""
+    StreamRecs keeps the newest list per user. The lookups are written once as bucketed tables, so
+    a micro-batch reads only the buckets of its users and movies."""
     sims = read_table(spark, root, MOVIE_RECS).select(
-        "mid", F.inline("recs").alias("mid2", "sim"))
+        "mid", F.posexplode("recs").alias("_pos", "_rec")).select(
+        "mid", (F.col("_pos") + 1).alias("rank"), F.col("_rec.mid").alias("mid2"), F.col("_rec.score").alias("sim"))
     rated = rerank.rated_pairs(tables.read_typed(spark, _path(root, RATING_T), RATING))
+    looked_up = []
+    for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
+        path = _path(root, f"_lookup_{name}")
+        tables.write_lookup_table(df, path, key, buckets)
+        looked_up.append(spark.read.parquet(path))
+    sims, rated, recent = looked_up
     store = tables.KeyedStore(spark, _path(root, STREAM_RECS))
     return recommender.start_stream(messages, sims, rated, recent, store, checkpoint_location,
-                                    available_now=available_now)
+                                    available_now=available_now, rejects=_path(root, "RejectedMessages"))
 
 
 def stream_recs_table(spark: SparkSession, root: str) -> DataFrame:

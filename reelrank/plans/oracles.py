@@ -9,6 +9,9 @@ from ..constants import GENRES
 
 _G = "[" + ", ".join(f"'{g}'" for g in GENRES) + "]"
 
+_EVENT_MOVIE = ("CAST((event_id * 7919 + user_id * 104729) "
+                "% (SELECT max(vec_id) + 1 FROM embeddings) AS INTEGER)")
+
 CTE = {
     "ratings": """ratings AS (
   SELECT CAST(o_custkey AS INTEGER) AS uid, CAST(l_partkey AS INTEGER) AS mid,
@@ -20,24 +23,25 @@ CTE = {
          {_G}[p_size % 20 + 1] || '|' || {_G}[CAST((length(p_type) * 7 + p_partkey // 100) % 20 + 1 AS INTEGER)] AS genres
   FROM part)""",
     "genres": "genres AS (SELECT unnest(" + _G + ") AS genre)",
-    "event_ratings": """event_ratings AS (
-  SELECT CAST(user_id AS INTEGER) AS uid, CAST(event_id * 7 % 500 AS INTEGER) AS mid,
-         CAST(event_id * 3 % 10 + 1 AS DOUBLE) / 2 AS score,
+    "event_ratings": f"""event_ratings AS (
+  SELECT CAST(user_id AS INTEGER) AS uid, {_EVENT_MOVIE} AS mid,
+         CAST(CAST(floor(value) AS BIGINT) % 10 + 1 AS DOUBLE) / 2 AS score,
          CAST(floor(epoch(ts)) AS BIGINT) AS ts, event_id
   FROM events)""",
-    "tags": """tags AS (
-  SELECT CAST(user_id AS INTEGER) AS uid, CAST(event_id * 7 % 500 AS INTEGER) AS mid,
+    "tags": f"""tags AS (
+  SELECT CAST(user_id AS INTEGER) AS uid, {_EVENT_MOVIE} AS mid,
          event_type AS tag, CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp"
   FROM events)""",
     "vectors": """vectors AS (
-  SELECT CAST(vec_id AS INTEGER) AS mid, CAST(embedding[1:8] AS DOUBLE[]) AS v FROM embeddings)""",
+  SELECT CAST(vec_id AS INTEGER) AS mid, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)""",
     "averages": """averages AS (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid)""",
-    # cosine > 0.6 between the fixed vectors, self pairs excluded
+    # the 100 best neighbours with cosine > 0.25, self pairs excluded
     "vnorm": """vnorm AS (SELECT mid, v, sqrt(list_dot_product(v, v)) AS n FROM vectors)""",
     "sims": """sims AS (
-  SELECT a.mid, b.mid AS mid2, list_dot_product(a.v, b.v) / (a.n * b.n) AS sim
-  FROM vnorm a JOIN vnorm b ON a.mid <> b.mid
-  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.v, b.v) / (a.n * b.n) > 0.6)""",
+  SELECT mid, mid2, sim, row_number() OVER (PARTITION BY mid ORDER BY round(sim, 12) DESC, mid2) AS rank
+  FROM (SELECT a.mid, b.mid AS mid2, list_dot_product(a.v, b.v) / (a.n * b.n) AS sim
+        FROM vnorm a JOIN vnorm b ON a.mid <> b.mid WHERE a.n > 0 AND b.n > 0)
+  WHERE sim > 0.25 QUALIFY rank <= 100)""",
     # --- fixed values: bucket of each genre word under Spark 4's HashingTF(numFeatures=20) ---
     "buckets": """buckets(token, dim) AS (VALUES
   ('action', 13), ('adventure', 13), ('animation', 13), ('comedy', 12), ('crime', 11),
@@ -81,10 +85,10 @@ CTE = {
                            - log10(greatest(count(*) FILTER (WHERE rscore <= 3), 1)) AS score
   FROM (SELECT c.uid, c.event_id, c.mid, r.score AS rscore, s.sim
         FROM cand c JOIN recent r ON r.uid = c.uid
-        JOIN sims s ON s.mid = c.mid AND s.mid2 = r.mid WHERE s.sim > 0.7)
+        JOIN sims s ON s.mid = c.mid AND s.mid2 = r.mid WHERE s.sim > 0.3)
   GROUP BY uid, event_id, mid)""",
     "split": """split AS (
-  SELECT *, (CAST(uid AS BIGINT) * 1000003 + CAST(mid AS BIGINT) * 7919) % 100 < 80 AS is_train
+  SELECT *, CAST('0x' || substr(md5(uid || ':' || mid), 1, 8) AS BIGINT) % 100 < 80 AS is_train
   FROM ratings)""",
 }
 
@@ -99,6 +103,13 @@ _SCORES_OUT = """
 SELECT uid, CAST(row_number() OVER (PARTITION BY uid, event_id ORDER BY round(score, 12) DESC, mid) AS INTEGER) AS rank,
        mid, round(score, 6) AS score FROM scores"""
 
+# held-out rows whose user and movie were trained on
+_SCORED = """
+, scored AS (
+  SELECT * FROM split WHERE NOT is_train
+    AND uid IN (SELECT uid FROM split WHERE is_train) AND mid IN (SELECT mid FROM split WHERE is_train))
+"""
+
 _STREAM = ["event_ratings", "vectors", "vnorm", "sims", "event", "recent", "cand", "scores"]
 
 _MONTH = ("CAST(year(make_timestamp(\"timestamp\" * 1000000)) * 100 "
@@ -134,12 +145,15 @@ SELECT mid, name, {_EMPTY}, genres, '' AS actors, '' AS directors FROM movies"""
     "load_tags": _with(["tags"], "SELECT uid, mid, tag, \"timestamp\" FROM tags"),
     "parse_rating_messages": _with(["event_ratings"], "SELECT uid, mid, score, ts FROM event_ratings"),
     "table_roundtrip": _with(["ratings"], "SELECT uid, mid, score, \"timestamp\" FROM ratings"),
-    "vector_cosine": _with(["vectors", "vnorm"], """
-SELECT a.mid, b.mid AS mid2, round(list_dot_product(a.v, b.v) / nullif(a.n * b.n, 0), 6) AS sim
-FROM vnorm a JOIN vnorm b ON b.mid = a.mid + 1"""),
+    "vector_cosine": _with(["vectors"], """
+SELECT mid, label, round(list_dot_product(v, m) / nullif(sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(m, m)), 0), 6) AS sim
+FROM vectors JOIN (
+  SELECT label, list(x ORDER BY pos) AS m FROM (
+    SELECT label, pos, avg(x) AS x
+    FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM vectors) GROUP BY label, pos)
+  GROUP BY label) USING (label)"""),
     "item_similarity": _with(["vectors", "vnorm", "sims"], """
-SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY round(sim, 12) DESC, mid2) AS INTEGER) AS rank,
-       mid2, round(sim, 6) AS sim FROM sims"""),
+SELECT mid, CAST(rank AS INTEGER) AS rank, mid2, round(sim, 6) AS sim FROM sims"""),
     "similarity_map": _with(["vectors", "vnorm", "sims"], """
 SELECT mid, count(*) AS n_entries FROM sims GROUP BY mid"""),
     "user_topk": _with(["vectors"], """
@@ -162,9 +176,18 @@ SELECT mid, CAST(unnest(generate_series(1, len(words))) AS INTEGER) AS pos, unne
                            "SELECT mid, dim, round(w, 6) AS w FROM tfidf"),
     "content_similarity": _with(["movies", "words", "buckets", "tf", "tfidf", "content_pairs"], """
 SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY round(sim, 12) DESC, mid2) AS INTEGER) AS rank,
-       mid2, round(sim, 6) AS sim FROM content_pairs"""),
+       mid2, round(sim, 6) AS sim FROM content_pairs QUALIFY rank <= 100"""),
+    "content_signatures": _with(["movies", "words", "buckets", "tf", "tfidf", "content_pairs"], """
+, sig AS (SELECT mid, list((dim, tf) ORDER BY dim) AS s FROM tf GROUP BY mid)
+SELECT sig.mid, min(sig.mid) OVER (PARTITION BY s) AS sid, 1 + n AS n_similar
+FROM sig JOIN (SELECT mid, count(*) AS n FROM content_pairs GROUP BY mid) USING (mid)"""),
     "recent_ratings": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
+    "recent_items": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
     "recent_ratings_stream": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
+    "drop_and_reload": _with(["tags"], "SELECT uid, mid, tag, \"timestamp\" FROM tags"),
+    "tables_by_movie": _with(["ratings", "tags"], """
+SELECT 'rating' AS "table", mid, count(*) AS n, min(uid) AS first_uid FROM ratings GROUP BY mid
+UNION ALL SELECT 'tag', mid, count(*), min(uid) FROM tags GROUP BY mid"""),
     "stream_candidates": _with(["event_ratings", "vectors", "vnorm", "sims", "event", "cand"], """
 SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(sim, 6) AS sim FROM cand"""),
     "stream_scores": _with(_STREAM, _SCORES_OUT),
@@ -172,6 +195,15 @@ SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(sim, 6) AS sim FROM cand""
     "stream_recs": _with(_STREAM, _SCORES_OUT),
     "train_test_split": _with(["ratings", "split"],
                               "SELECT uid, mid, score, \"timestamp\", is_train FROM split"),
+    "random_split": _with(["ratings"], "SELECT uid, mid, score, \"timestamp\" FROM ratings"),
+    "als_fit": _with(["ratings"], "SELECT uid, count(*) AS n_ratings, true AS solved FROM ratings GROUP BY uid"),
+    "als_user_recs": _with(["ratings"], """
+SELECT uid, least(20, (SELECT count(DISTINCT mid) FROM ratings)) AS n_recs, true AS ok FROM ratings GROUP BY uid"""),
+    "als_item_recs": _with(["ratings"], "SELECT DISTINCT mid, true AS ok FROM ratings"),
+    "als_predict_pairs": _with(["ratings", "split"], _SCORED + """
+SELECT uid, mid, count(*) AS n, true AS finite FROM scored GROUP BY uid, mid"""),
+    "als_rmse": _with(["ratings", "split"], _SCORED + "SELECT count(*) AS n, true AS in_scale FROM scored"),
+    "als_grid_search": "SELECT CAST(15 AS BIGINT) AS n_models, true AS best_is_least",
     "rating_rmse": _with(["ratings", "split"], """
 SELECT round(sqrt(avg(pow(t.score - m.prediction, 2))), 6) AS rmse, count(*) AS n
 FROM (SELECT * FROM split WHERE NOT is_train) t

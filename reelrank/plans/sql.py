@@ -1,43 +1,22 @@
-"""The statistics through ``spark.sql`` (the reference's SQL path), with ``changeDate`` as a SQL
-function.
-
-``changeDate`` is a SQL-bodied temporary function, not a Python UDF: Spark inlines its body, so
-the month computation stays inside whole-stage codegen (the reference's Scala UDF was opaque to
-Catalyst).
-"""
+"""Monthly popularity as SQL text, with the month of an epoch as a SQL function."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-CHANGE_DATE = """
-CREATE OR REPLACE TEMPORARY FUNCTION changeDate(x BIGINT) RETURNS INT
-RETURN CAST(year(date_from_unix_date(CAST(floor(x / 86400) AS INT))) * 100
-            + month(date_from_unix_date(CAST(floor(x / 86400) AS INT))) AS INT)
+MONTH_FUNCTION = """
+CREATE OR REPLACE TEMPORARY FUNCTION month_of_epoch(seconds BIGINT) RETURNS INT
+RETURN CAST(year(date_add(DATE'1970-01-01', CAST(floor(seconds / 86400) AS INT))) * 100
+            + month(date_add(DATE'1970-01-01', CAST(floor(seconds / 86400) AS INT))) AS INT)
 """
 
-RATE_MORE_MOVIES = "SELECT mid, count(mid) AS count FROM ratings GROUP BY mid"
-RATING_OF_MONTH = "SELECT mid, changeDate(timestamp) AS month, score FROM ratings"
-RATE_MORE_RECENTLY_MOVIES = "SELECT mid, count(mid) AS count, month FROM ratingOfMonth GROUP BY month, mid"
-AVERAGE_MOVIES = "SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid"
-
-
-def register(spark: SparkSession, ratings: DataFrame, movies: DataFrame | None = None,
-             tags: DataFrame | None = None) -> None:
-    """Temp views ``ratings`` / ``movies`` / ``tags`` / ``ratingOfMonth`` and ``changeDate``."""
-    spark.sql(CHANGE_DATE)
-    ratings.createOrReplaceTempView("ratings")
-    if movies is not None:
-        movies.createOrReplaceTempView("movies")
-    if tags is not None:
-        tags.createOrReplaceTempView("tags")
-    spark.sql(RATING_OF_MONTH).createOrReplaceTempView("ratingOfMonth")
+MONTHLY = """
+WITH dated AS (SELECT month_of_epoch(timestamp) AS month, mid FROM {rated} WHERE mid IS NOT NULL)
+SELECT month, mid, count(*) AS count FROM dated GROUP BY ALL
+"""
 
 
-def statistics(spark: SparkSession) -> dict[str, DataFrame]:
-    """The three SQL statistics over the registered views (call ``register`` first)."""
-    return {
-        "RateMoreMovies": spark.sql(RATE_MORE_MOVIES),
-        "RateMoreRecentlyMovies": spark.sql(RATE_MORE_RECENTLY_MOVIES),
-        "AverageMovies": spark.sql(AVERAGE_MOVIES),
-    }
+def monthly_counts(spark: SparkSession, ratings: DataFrame) -> DataFrame:
+    """A2 by SQL: (month, mid, count). Spark inlines the function, so the month stays in codegen."""
+    spark.sql(MONTH_FUNCTION)
+    return spark.sql(MONTHLY, rated=ratings)

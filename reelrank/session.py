@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -26,7 +27,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -75,18 +76,18 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster-wide shared folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a scratch folder created
-    and registered, so lineage cuts and intermediate tables always land in
-    storage that every executor can reach.
+    A session that names none gets a scratch folder only where the driver and its one executor
+    are the same process (master ``local[…]``, as in tests); on a cluster it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
-        if root:
+        if root:  # the folder that was set holds one of the context's own
             root = root.rsplit("/", 1)[0]
     if not root:
-        root = tempfile.mkdtemp(prefix="reelrank-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="reelrank-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -97,6 +98,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/reelrank/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every table this package wrote under the shared folder, once the results that read
+    them are stored. Nothing else lives there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/reelrank")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path (works for hdfs/s3/file)."""
     jvm = spark.sparkContext._jvm
@@ -114,5 +122,5 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
 
 
-__all__ = ["build_session", "checkpoint_root", "ship_package", "shared_path", "path_exists",
+__all__ = ["build_session", "checkpoint_root", "drop_scratch", "ship_package", "shared_path", "path_exists",
            "list_subdirs"]

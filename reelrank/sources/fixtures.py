@@ -50,13 +50,19 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_movie(spark: SparkSession, sf_dir: str) -> Column:
+    """A movie of the whole vector table for each event (the table's size is a scalar subquery)."""
+    movies_there = table(spark, sf_dir, "embeddings").agg(F.max("vec_id") + 1).scalar()
+    return ((F.col("event_id") * 7919 + F.col("user_id") * 104729) % movies_there).cast("int")
+
+
 def event_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream-shaped ratings (uid, mid, score, ts, event_id) from the events table."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     return e.select(
         F.col("user_id").cast("int").alias("uid"),
-        (F.col("event_id") * 7 % 500).cast("int").alias("mid"),
-        ((F.col("event_id") * 3 % 10 + 1).cast("double") / 2).alias("score"),
+        _event_movie(spark, sf_dir).alias("mid"),
+        ((F.floor("value") % 10 + 1).cast("double") / 2).alias("score"),
         epoch_seconds(F.col("ts")).alias("ts"),
         F.col("event_id"),
     )
@@ -66,16 +72,15 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     return e.select(
         F.col("user_id").cast("int").alias("uid"),
-        (F.col("event_id") * 7 % 500).cast("int").alias("mid"),
+        _event_movie(spark, sf_dir).alias("mid"),
         F.col("event_type").alias("tag"),
         epoch_seconds(F.col("ts")).alias("timestamp"),
     )
 
 
-def vectors(spark: SparkSession, sf_dir: str, dims: int = 8) -> DataFrame:
-    """Fixed item vectors: the first ``dims`` components of each embedding, as doubles."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item vectors: every component of each embedding, as doubles, and its label."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     return e.select(
         F.col("vec_id").cast("int").alias("mid"),
-        F.transform(F.slice("embedding", 1, dims), lambda x: x.cast("double")).alias("v"),
-    )
+        F.transform("embedding", lambda x: x.cast("double")).alias("v"), "label")

@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 from ..session import list_subdirs, path_exists
 
 
+#: Buckets of a lookup table where the caller names no other number.
+LOOKUP_BUCKETS = 64
+
+
 def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a stored table and pin it to the declared record schema (``.as[T]``)."""
     df = spark.read.parquet(path)
@@ -75,17 +79,13 @@ def with_bucket(df: DataFrame, col: str, like: DataFrame, key: str) -> tuple[Dat
     return df.withColumn(name, bucket_of(col, n)), [name]
 
 
-def write_lookup_table(df: DataFrame, path: str, key: str, buckets: int | None = None,
-                       rows_per_bucket: int = 1_000_000, max_buckets: int = 1024) -> None:
+def write_lookup_table(df: DataFrame, path: str, key: str, buckets: int = LOOKUP_BUCKETS) -> None:
     """A lookup table partitioned into bucket directories by a hash of ``key`` and sorted by key
     within each file. A join that carries the bucket column lets Spark's dynamic partition
     pruning read only the buckets the other (small) side touches — a micro-batch then scans a
     slice of the table, not all of it. ``rebalance`` on the bucket gives about one file per
-    bucket; AQE splits a bucket that holds a hot key. Without ``buckets`` the count follows the
-    table size (about ``rows_per_bucket`` rows each, at most ``max_buckets``)."""
-    if buckets is None:
-        n = df.count()
-        buckets = max(1, min(max_buckets, -(-n // rows_per_bucket)))
+    bucket; AQE splits a bucket that holds a hot key. The caller sets ``buckets`` for its
+    table; nothing else depends on the size."""
     name = bucket_name(key, buckets)
     (df.withColumn(name, bucket_of(key, buckets)).hint("rebalance", name)
      .sortWithinPartitions(name, key)
@@ -99,7 +99,8 @@ class KeyedStore:
     replay after a failure) overwrites only that partition, so the sink is idempotent. The
     current table is the newest row per key by event time (ts, event_id, then batch id), so an
     older event that arrives late cannot replace the list of a newer one. ``compact`` folds the
-    batches into a snapshot so reads stay proportional to the number of keys.
+    batches into a snapshot and removes what it holds, so both the reads and the listing stay
+    proportional to the number of keys and of batches since.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str = "uid",
@@ -130,7 +131,7 @@ class KeyedStore:
         if snaps:
             floor = snaps[-1]
             parts.append(self.spark.read.parquet(f"{self.path}/snapshot={floor}"))
-        if path_exists(self.spark, self._batches):
+        if any(d.startswith("batch_id=") for d in list_subdirs(self.spark, self._batches)):
             batches = self.spark.read.parquet(self._batches).where(F.col("batch_id") > floor)
             if upto_batch is not None:
                 batches = batches.where(F.col("batch_id") <= upto_batch)
@@ -149,11 +150,17 @@ class KeyedStore:
     def compact(self, upto_batch: int) -> None:
         """Fold batches <= ``upto_batch`` (and the previous snapshot) into ``snapshot=<upto_batch>``.
 
-        Idempotent: a replayed batch finds the committed snapshot and does nothing; a snapshot
+        Idempotent: a replayed batch finds the committed snapshot and writes nothing; a snapshot
         whose write did not commit is ignored by readers and rewritten here from the previous
-        snapshot, never from itself.
+        snapshot, never from itself. Folded batches and all but the newest two snapshots are
+        deleted only after the commit (a reader that has planned its scan on the last snapshot
+        still finds it).
         """
-        if int(upto_batch) in self._snapshots():
-            return
-        self.current(upto_batch=int(upto_batch)).write.mode("overwrite") \
-            .parquet(f"{self.path}/snapshot={int(upto_batch)}")
+        upto = int(upto_batch)
+        if upto not in self._snapshots():
+            self.current(upto_batch=upto).write.mode("overwrite").parquet(f"{self.path}/snapshot={upto}")
+        for d in list_subdirs(self.spark, self._batches):
+            if d.startswith("batch_id=") and int(d.split("=", 1)[1]) <= upto:
+                drop_table(self.spark, f"{self._batches}/{d}")
+        for i in self._snapshots()[:-2]:
+            drop_table(self.spark, f"{self.path}/snapshot={i}")

@@ -1,92 +1,52 @@
-"""S7 as streaming state: each user's most recent ratings, kept by the stream itself.
+"""S7 kept by the stream itself: each user's most recent ratings.
 
-The reference reads them from a Redis list filled by another system. Here a stateful query keeps
-the newest k ratings per user:
-
-  parsed messages → mapInPandas: newest k per user within each input partition (pre-reduction,
-  so a user holding a third of the stream ships at most k rows per partition to the shuffle)
-  → groupBy(uid).applyInPandasWithState: merge with the stored list, keep k, emit the new list
-
-The group function consumes its input chunk by chunk and never holds more than k + one Arrow
-batch of rows. State per user is bounded by k.
+Every micro-batch joins its users' stored lists, ranks stored and new ratings together, keeps the
+newest k and upserts the lists. ``row_number() <= k`` is limited on the map side, so a user with a
+third of the stream ships k rows per input partition. A replayed batch starts from the lists
+before it, so it writes the same rows again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..constants import RECENT_K
-from ..operators.topk import flatten, nest
-from ..session import ship_package
+from ..constants import RECENT_K, STREAM_INTERVAL
+from ..operators.topk import flatten, nest, rank_within
 from ..sources.loaders import parse_rating_messages
 from ..sources.tables import KeyedStore
 
-ROW_SCHEMA = "uid int, mid int, score double, ts long, event_id long"
-OUT_SCHEMA = "uid int, pos int, mid int, score double, ts long, event_id long"
-STATE_SCHEMA = "mids array<int>, scores array<double>, ts array<long>, eids array<long>"
-_COLS = ["uid", "mid", "score", "ts", "event_id"]
-_ORDER = ["ts", "event_id"]
-
-
-def _newest(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
-    return pdf.sort_values(_ORDER, ascending=False, kind="mergesort").head(k)
-
+_FIELDS = ["mid", "score", "ts", "event_id"]
 
-def _prereduce(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
-        for pdf in batches:
-            cur = pdf[_COLS] if kept is None else pd.concat([kept, pdf[_COLS]], ignore_index=True)
-            kept = (cur.sort_values(["uid", *_ORDER], ascending=[True, False, False], kind="mergesort")
-                    .groupby("uid", sort=False).head(k))
-        if kept is not None and len(kept):
-            yield kept
-    return run
 
-
-def _merge_state(k: int):
-    def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        uid = int(key[0])
-        if state.exists:
-            mids, scores, ts, eids = state.get
-            cur = pd.DataFrame({"uid": uid, "mid": list(mids), "score": list(scores),
-                                "ts": list(ts), "event_id": list(eids)})
-        else:
-            cur = pd.DataFrame({c: [] for c in _COLS})
-        for pdf in pdfs:
-            cur = _newest(pd.concat([cur, pdf[_COLS]], ignore_index=True), k)
-        cur = _newest(cur, k)
-        state.update((cur["mid"].astype(int).tolist(), cur["score"].astype(float).tolist(),
-                      cur["ts"].astype(int).tolist(), cur["event_id"].astype(int).tolist()))
-        out = cur.assign(uid=uid, pos=range(1, len(cur) + 1))
-        yield out[["uid", "pos", "mid", "score", "ts", "event_id"]]
-    return run
-
-
-def recent_state(parsed: DataFrame, k: int = RECENT_K) -> DataFrame:
-    """Streaming (uid, pos, mid, score, ts, event_id): a user's whole current list, emitted
-    whenever the user has new ratings (output mode ``update``)."""
-    ship_package(parsed.sparkSession)
-    reduced = parsed.select(*_COLS).mapInPandas(_prereduce(k), ROW_SCHEMA)
-    return reduced.groupBy("uid").applyInPandasWithState(
-        _merge_state(k), OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+def merge_recent(batch: DataFrame, stored: DataFrame | None, k: int = RECENT_K) -> DataFrame:
+    """(uid, recs[{mid, score, ts, event_id}]): the newest k of the batch's users, stored ones included."""
+    rows = batch.select("uid", *_FIELDS)
+    if stored is not None:
+        mine = stored.join(rows.select("uid").distinct(), "uid", "left_semi")
+        rows = rows.unionByName(mine.select("uid", F.inline("recs")).select("uid", *_FIELDS)).dropDuplicates(["uid", "event_id"])
+    newest = rank_within(rows, ["uid"], [F.desc("ts"), F.desc("event_id")], k, rank_col="pos")
+    return nest(newest, ["uid"], _FIELDS, rank_col="pos")
 
 
 def start_recent_stream(messages: DataFrame, store: KeyedStore, checkpoint_location: str,
                         k: int = RECENT_K, available_now: bool = False,
-                        interval: str = "2 seconds") -> StreamingQuery:
-    """Keep the recent-ratings table (uid, recs[{mid, score}]) current from the rating stream."""
-    lists = recent_state(parse_rating_messages(messages), k)
-
+                        interval: str = STREAM_INTERVAL, compact_every: int = 500) -> StreamingQuery:
+    """Keep the recent-ratings table current from the rating stream; ``store`` orders by batch."""
     def body(df: DataFrame, batch_id: int) -> None:
-        store.upsert(nest(df, ["uid"], ["mid", "score"], rank_col="pos"), batch_id)
-
-    writer = lists.writeStream.outputMode("update").foreachBatch(body) \
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            before = store.current(upto_batch=batch_id - 1)
+            stored = before.select("uid", "recs") if "ts" in str(before.schema["recs"].dataType) else None
+            store.upsert(merge_recent(cached, stored, k), batch_id)
+        finally:
+            cached.unpersist()
+        if batch_id and batch_id % compact_every == 0:
+            store.compact(batch_id - 1)
+
+    writer = parse_rating_messages(messages).writeStream.foreachBatch(body) \
         .option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
@@ -94,4 +54,4 @@ def start_recent_stream(messages: DataFrame, store: KeyedStore, checkpoint_locat
 
 def recent_table(store: KeyedStore) -> DataFrame:
     """The stored lists in long form (uid, pos, mid, score)."""
-    return flatten(store.current().select("uid", "recs"), ["uid"], rank_col="pos")
+    return flatten(store.current().select("uid", "recs"), ["uid"], rank_col="pos").select("uid", "pos", "mid", "score")

@@ -1,8 +1,13 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from reelrank.operators import als
+from reelrank.plans.queries import QUERIES
 from reelrank.sources import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -57,6 +62,24 @@ def test_item_similarity_threshold(model):
     assert all(p.sim > 0.6 and p.mid != p.mid2 for p in pairs)
 
 
+def test_same_lists_on_two_and_eight_cores():
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from reelrank.session import build_session\nfrom reelrank.operators import als\n"
+            "from reelrank.sources import fixtures as fx\n"
+            "s = build_session(master=sys.argv[1], shuffle_partitions=4)\n"
+            "m = als.als_fit(fx.ratings(s, %r), rank=6, iters=3)\n"
+            "print('LISTS', sorted((r.uid, [x.mid for x in r.recs]) for r in als.user_recs(m, 10).collect()))\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = [subprocess.run([sys.executable, "-c", code % (root, SF), f"local[{n}]"], capture_output=True, text=True,
+                          timeout=300).stdout.split("LISTS")[1] for n in (2, 8)]
+    assert out[0] == out[1]
+
+
+def test_last_half_step_solves_the_normal_equations(spark):
+    rows = QUERIES["als_fit"](spark, SF).collect()
+    assert rows and all(r.solved for r in rows)
+
+
 def test_split_is_disjoint_and_complete(ratings):
     tr, te = als.train_test_split(ratings)
     assert tr.count() + te.count() == ratings.count()

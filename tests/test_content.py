@@ -19,3 +19,16 @@ def test_tokens_and_similarity(spark):
 def test_double_separator_gives_empty_token(spark):
     movies = spark.createDataFrame([(1, "a", "Action||Comedy")], "mid int, name string, genres string")
     assert content.content_words(movies).first().words == ["action", "", "comedy"]
+
+
+def test_limit_is_exact_and_signatures_lose_nothing(spark):
+    genres = ["Action|Comedy", "Action|Crime", "Drama|Western", "Horror", "Comedy|Drama"]
+    movies = spark.createDataFrame([(i, "m", genres[i * i % 5]) for i in range(1, 40)], "mid int, name string, genres string")
+    key = lambda r: (r.mid, r.rank, r.mid2)
+    full = content.content_similarity(movies, k=1000).collect()
+    for k in (1, 5):
+        assert {key(r) for r in content.content_similarity(movies, k=k).collect()} == {key(r) for r in full if r.rank <= k}
+    members, pairs = content.content_signatures(movies)
+    sid = {r.mid: r.sid for r in members.collect()}
+    similar = {(r.sid, r.sid2) for r in pairs.collect()}
+    assert {(r.mid, r.mid2) for r in full} == {(a, b) for a in sid for b in sid if a != b and (sid[a], sid[b]) in similar}

@@ -22,6 +22,8 @@ def test_job_chain(spark, tmp_path):
         loaders.render_lines(df, sep).write.text(paths[name])
     jobs.load_job(spark, paths["movies"], paths["ratings"], paths["tags"], root)
     assert jobs.read_table(spark, root, jobs.TAG_T).count() == fx.tags(spark, SF).count()
+    for name in (jobs.RATING_T, jobs.TAG_T):
+        assert jobs.read_table(spark, root, f"{name}_by_mid").count() == jobs.read_table(spark, root, name).count()
 
     jobs.statistics_job(spark, root)
     stored = flatten(jobs.read_table(spark, root, jobs.GENRES_TOP), ["genres"])
@@ -47,7 +49,7 @@ def test_job_chain(spark, tmp_path):
                            str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination()
     got = {r.uid: [x.mid for x in r.recs] for r in jobs.stream_recs_table(spark, root).collect()}
-    sims = jobs.read_table(spark, root, jobs.MOVIE_RECS).select("mid", F.inline("recs").alias("mid2", "sim"))
+    sims = flatten(jobs.read_table(spark, root, jobs.MOVIE_RECS), ["mid"]).toDF("mid", "rank", "mid2", "sim")
     truth = rerank.recommend_events(rerank.newest_per_user(events), sims, rerank.rated_pairs(events), recent)
     want = {r.uid: [x.mid for x in r.recs] for r in truth.collect()}
     assert got == want and len(got) == events.select("uid").distinct().count()

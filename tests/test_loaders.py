@@ -1,3 +1,5 @@
+import pytest
+
 from reelrank.sources import loaders
 
 
@@ -22,11 +24,29 @@ def test_ratings_and_tags(spark):
 
 
 def test_malformed_messages_are_dropped_or_flagged(spark):
-    msgs = lines(spark, " 1 | 2 | 4.5 | 100 ", "oops", "1|x|2|3", "1|2|3", "4|5|1.0|7")
+    msgs = lines(spark, " 1 | 2 | 4.5 | 100 ", "oops", "1|x|2|3", "1|2|3", "4|5|1.0|7", "5|6|2.0|8|", "6|7|3.0|9|x")
     good = loaders.parse_rating_messages(msgs).orderBy("uid").collect()
-    assert [(r.uid, r.mid, r.score, r.ts) for r in good] == [(1, 2, 4.5, 100), (4, 5, 1.0, 7)]
+    assert [(r.uid, r.mid, r.score, r.ts) for r in good] == [(1, 2, 4.5, 100), (4, 5, 1.0, 7), (5, 6, 2.0, 8), (6, 7, 3.0, 9)]
     flagged = loaders.parse_rating_messages(msgs, keep_bad=True)
-    assert flagged.where("not _ok").count() == 3
+    assert sorted(r.value for r in flagged.where("not _ok").collect()) == ["1|2|3", "1|x|2|3", "oops"]
+
+
+@pytest.mark.parametrize("parse, line", [
+    (loaders.parse_rating_lines, "1,2"), (loaders.parse_rating_lines, "1,x,3.0,4"), (loaders.parse_tag_lines, "1,2,tag"),
+    (loaders.parse_movie_lines, "7^x"), (loaders.parse_movie_lines, "a^^^^^^^^^")])
+def test_bad_lines_fail(spark, parse, line):
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="fewer than|not a valid"):
+                parse(lines(spark, line)).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_surplus_fields_are_ignored(spark):
+    r = loaders.parse_rating_lines(lines(spark, "1,2,3.5,4,5")).first()
+    assert (r.uid, r.mid, r.score, r.timestamp) == (1, 2, 3.5, 4)
 
 
 def test_messages_pass_extra_columns(spark):

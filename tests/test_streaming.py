@@ -4,7 +4,7 @@ from reelrank.operators import rerank
 from reelrank.sources import fixtures as fx
 from reelrank.sources import loaders
 from reelrank.sources.tables import KeyedStore
-from reelrank.operators.similarity import cosine_pairs
+from reelrank.operators.similarity import item_similarity
 from reelrank.streaming import recommender as streaming
 
 SF = "/root/testdata/sf0.001"
@@ -12,9 +12,9 @@ SF = "/root/testdata/sf0.001"
 
 def _batch_truth(spark):
     er = fx.event_ratings(spark, SF)
-    sims = cosine_pairs(fx.vectors(spark, SF))
+    sims = item_similarity(fx.vectors(spark, SF), threshold=0.25)
     rated, recent = rerank.rated_pairs(er), rerank.recent_ratings(er)
-    truth = rerank.recommend_events(rerank.newest_per_user(er), sims, rated, recent)
+    truth = rerank.recommend_events(rerank.newest_per_user(er), sims, rated, recent, threshold=0.3)
     return er, sims, rated, recent, truth
 
 
@@ -23,12 +23,14 @@ def test_stream_equals_batch(spark, tmp_path):
     msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id",
                                           (F.col("event_id") % 3).alias("part")), "|", " ",
                                 keep=("event_id", "part"))
-    bad = spark.createDataFrame([("not|a|message", 10**9, 0)], "value string, event_id long, part long")
+    bad = spark.createDataFrame([("not|a|message", 10**9, 0), ("x|1|2.0|3", 10**9 + 1, 0)], "value string, event_id long, part long")
     msgs.unionByName(bad).write.partitionBy("part").parquet(str(tmp_path / "src"))
     store = KeyedStore(spark, str(tmp_path / "recs"))
     q = streaming.start_stream(streaming.file_messages(spark, str(tmp_path / "src"), max_files_per_trigger=2),
-                               sims, rated, recent, store, str(tmp_path / "ckpt"), available_now=True)
+                               sims, rated, recent, store, str(tmp_path / "ckpt"), available_now=True,
+                               threshold=0.3, rejects=str(tmp_path / "rejects"))
     q.awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "rejects")).collect()) == ["not|a|message", "x|1|2.0|3"]
     assert q.lastProgress is not None
     got = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in store.current().collect()}
     want = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in truth.collect()}
@@ -48,6 +50,7 @@ def test_upsert_is_idempotent_and_newest_wins(spark, tmp_path):
     store.compact(1)
     store.compact(1)  # a replayed batch finds the committed snapshot
     assert store._snapshots() == [1]
+    assert not (tmp_path / "s" / "batches" / "batch_id=0").exists()  # folded batches are gone
     b2 = spark.createDataFrame([(2, [(8, 3.0)], 30, 5)], schema)
     store.upsert(b2, 2)
     cur = {r.uid: [x.mid for x in r.recs] for r in store.current().collect()}
@@ -111,9 +114,10 @@ def test_stream_compaction_keeps_result(spark, tmp_path):
     store = KeyedStore(spark, str(tmp_path / "recs"))
     q = streaming.start_stream(streaming.file_messages(spark, str(tmp_path / "src"), max_files_per_trigger=3),
                                sims, rated, recent, store, str(tmp_path / "ckpt"), available_now=True,
-                               compact_every=1)
+                               compact_every=1, threshold=0.3)
     q.awaitTermination()
-    assert store._snapshots()
+    assert 0 < len(store._snapshots()) <= 2
+    assert len([p for p in (tmp_path / "recs" / "batches").iterdir() if p.name.startswith("batch_id=")]) <= 1
     got = {r.uid: [x.mid for x in r.recs] for r in store.current().collect()}
     want = {r.uid: [x.mid for x in r.recs] for r in truth.collect()}
     assert got == want
@@ -133,7 +137,7 @@ def test_bucketed_lookup_tables_prune_and_match(spark, tmp_path):
     cached = er.select("uid", "mid", "score", "ts", "event_id").persist(StorageLevel.MEMORY_AND_DISK)
     events = rerank.newest_per_user(cached)
     users = events.select("uid").distinct()
-    recs = rerank.recommend_events(events, S, _for_users(R, users), _for_users(RC, users))
+    recs = rerank.recommend_events(events, S, _for_users(R, users), _for_users(RC, users), threshold=0.3)
     got = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in recs.collect()}
     want = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in truth.collect()}
     assert got == want
@@ -156,8 +160,25 @@ def test_stream_over_bucketed_tables_equals_batch(spark, tmp_path):
     store = KeyedStore(spark, str(tmp_path / "recs"))
     q = streaming.start_stream(streaming.file_messages(spark, str(tmp_path / "src"), max_files_per_trigger=4),
                                *(spark.read.parquet(paths[n]) for n in ("sims", "rated", "recent")),
-                               store, str(tmp_path / "ckpt"), available_now=True)
+                               store, str(tmp_path / "ckpt"), available_now=True, threshold=0.3)
     q.awaitTermination()
     got = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in store.current().collect()}
     want = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in truth.collect()}
     assert got == want
+
+
+def test_kafka_shape_gives_unique_event_ids(spark):
+    raw = spark.createDataFrame([(bytearray(b"1|2|3.0|4"), 7, p) for p in (0, 1, 5000)], "value binary, offset long, partition int")
+    events = loaders.parse_rating_messages(streaming.kafka_events(raw))
+    assert {tuple(r.event_id) for r in events.collect()} == {(7, 0), (7, 1), (7, 5000)}
+    assert rerank.newest_per_user(events).count() == 1
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from reelrank.session import checkpoint_root
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        checkpoint_root(session)
