@@ -20,12 +20,18 @@ HEADLINE = [
     "popular_movies", "popular_by_month", "average_movies", "genre_top_movies",
     "item_similarity", "user_topk", "content_similarity",
     "stream_candidates", "stream_scores", "stream_recs",
-    "als_user_recs", "als_item_recs",
+    "als_train", "als_user_recs", "als_item_recs",
 ]
 
 
 def main() -> None:
-    from reelrank.plans.queries import QUERIES
+    from reelrank.plans import queries
+
+    # the ALS lists are timed apart from the fit (rank 200) they all read
+    QUERIES = dict(queries.QUERIES) | {
+        "als_train": lambda s, d: queries._model(s, d, False).userFactors,
+        "als_user_recs": queries.als_user_lists, "als_item_recs": queries.als_item_lists,
+    }
     from reelrank.session import build_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
