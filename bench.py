@@ -32,7 +32,7 @@ def main() -> None:
         "als_train": lambda s, d: queries._model(s, d, False).userFactors,
         "als_user_recs": queries.als_user_lists, "als_item_recs": queries.als_item_lists,
     }
-    from reelrank.session import build_session
+    from reelrank.session import build_session, drop_scratch
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -46,6 +46,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - t0, 3)
         print(f"# {name}: {timings[name]}s", file=sys.stderr)
+    drop_scratch(spark)
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

@@ -94,14 +94,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/reelrank/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location under this application's part of the shared checkpoint folder."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/reelrank/{spark.sparkContext.applicationId}"
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete every table this package wrote under the shared folder, once the results that read
-    them are stored. Nothing else lives there."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/reelrank")
+    """Delete every table this application wrote under the shared folder, once the results that read
+    them are stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
