@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from reelrank.session import ship_package
 
-from .common import texts
+from .common import materialise, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a block of the chain, and in a training chain.
@@ -271,8 +271,9 @@ def fit(docs: DataFrame, rows_per_language: int = 400, chains_per_language: int
         order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(seed), *keys), *keys)
         return df.withColumn("n", F.row_number().over(order)).where(F.col("n") <= n).drop("n")
 
-    drawn = draw(usable.select("doc_id", "lang"), rows_per_language, "doc_id")
-    chains = usable.join(drawn.distinct(), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text").mapInArrow(
+    # stored first: Spark then knows how small it is and need not shuffle the texts to join it
+    drawn = materialise(draw(usable.select("doc_id", "lang"), rows_per_language, "doc_id").distinct(), "langid-sample")
+    chains = usable.join(drawn, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text").mapInArrow(
         _chains, "doc_id long, lang string, k long, chain string")
     sample = draw(chains, chains_per_language, "doc_id", "k").orderBy("lang", "doc_id", "k").collect()
     if not sample:
