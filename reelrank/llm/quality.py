@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import materialise, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 DIM = 1 << 18
@@ -145,6 +145,8 @@ def fit(docs: DataFrame, ratings: DataFrame, rows_per_grade: int = 2500, seed: i
     """
     order = Window.partitionBy("grade").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
     drawn = ratings.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_grade).select("doc_id", "grade")
+    # stored first: Spark then knows how small it is and need not shuffle the texts to join it
+    drawn = materialise(drawn, "quality-sample")
     sample = texts(docs).where("text IS NOT NULL").join(drawn, "doc_id").dropDuplicates(["doc_id"]).select(F.col("grade").cast("int").alias("grade"), "text").mapInArrow(
         _features, "grade int, x array<long>").toArrow()
     if not sample.num_rows:
