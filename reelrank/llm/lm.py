@@ -61,7 +61,7 @@ def numbered(found: list[str], vocabulary: dict[str, int]) -> np.ndarray:
 
 
 def _bigram_counts(vocabulary, slots: int):
-    """(text, target) -> partial (kind, target, at, n): kind 1 counts words, kind 2 bigram slots."""
+    """(text, target) -> partial (kind, at, background, target): kind 1 counts words, kind 2 bigram slots."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary.value
         words = np.zeros((2, len(known) + 2), np.int64)
@@ -74,11 +74,10 @@ def _bigram_counts(vocabulary, slots: int):
                     at, n = np.unique(slot(ids[:-1], ids[1:], slots), return_counts=True)
                     pairs[int(target), at] += n
         for kind, table in ((1, words), (2, pairs)):
-            for target in (0, 1):
-                at = np.flatnonzero(table[target])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(at), kind, np.int32)), pa.array(np.full(len(at), target == 1)),
-                    pa.array(at), pa.array(table[target, at])], ["kind", "target", "at", "n"])
+            at = np.flatnonzero(table.any(axis=0))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)),
+                pa.array(table[0, at]), pa.array(table[1, at])], ["kind", "at", "background", "target"])
     return run
 
 
@@ -135,13 +134,12 @@ def fit(docs: DataFrame, vocabulary_size: int = 1 << 16, slots: int = 1 << 20, m
     top = counted.orderBy(F.desc("n"), "word").limit(vocabulary_size).collect()
     vocabulary = {r.word: i for i, r in enumerate(top, 2)}
     shared = spark.sparkContext.broadcast(vocabulary)
-    sums = docs.mapInArrow(_bigram_counts(shared, slots), "kind int, target boolean, at long, n long").groupBy(
-        "kind", "target", "at").agg(F.sum("n").alias("n")).toArrow()
-    kind, target, at, n = (sums.column(c).to_numpy() for c in range(4))
-    target = target.astype(np.int64)
+    sums = docs.mapInArrow(_bigram_counts(shared, slots), "kind int, at int, background long, target long").groupBy(
+        "kind", "at").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toArrow()
+    kind, at, background, target = (sums.column(c).to_numpy() for c in range(4))
     words, pairs = np.zeros((2, len(vocabulary) + 2), np.int64), np.zeros((2, slots), np.int64)
-    words[target[kind == 1], at[kind == 1]] = n[kind == 1]
-    pairs[target[kind == 2], at[kind == 2]] = n[kind == 2]
+    for table, k in ((words, 1), (pairs, 2)):
+        table[0, at[kind == k]], table[1, at[kind == k]] = background[kind == k], target[kind == k]
     return Models(vocabulary, words, pairs, mass)
 
 
@@ -183,7 +181,8 @@ def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, target): target marks documents labelled of good quality and not toxic."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(
         F.col("doc_id").alias("good_id")).distinct()
-    return texts(docs).join(good, F.col("doc_id") == F.col("good_id"), "left").select("doc_id", "text", F.col("good_id").isNotNull().alias("target"))
+    # labels grow with the documents: both sides are shuffled at any size
+    return texts(docs).join(good.hint("merge"), F.col("doc_id") == F.col("good_id"), "left").select("doc_id", "text", F.col("good_id").isNotNull().alias("target"))
 
 
 def op4_lm_scoring(docs: DataFrame, labels: DataFrame) -> DataFrame:
