@@ -13,10 +13,13 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from itertools import islice
 
 import numpy as np
 
-LIMIT = 600_000
+LIMIT = 500_000
+#: Pieces that stay from one task to the next.
+LASTING = 100_000
 #: Pieces that are encoded in one call of the library.
 ROW = 256
 KEEP = 100
@@ -53,6 +56,11 @@ class Encoder:
         self._spaced[[i for token, i in vocabulary.items() if "\u0120" in token]] = True  # how a space is written
         self._inner: dict[str, bytes] = {}  # ids of " " + piece
 
+    def trim(self) -> None:
+        """Keep the pieces met first, the frequent ones among them, for the worker's next task."""
+        if len(self._inner) > LASTING:
+            self._inner = dict(islice(self._inner.items(), LASTING))
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -79,7 +87,8 @@ class Encoder:
         cut = [[] if i in whole else t.split(" ") for i, t in enumerate(texts)]
         inner = self._inner
         if len(inner) > self._limit:
-            inner.clear()
+            self.trim()
+            inner = self._inner
         new = list(set().union(*(p[1:] for p in cut)).difference(inner))
         long = [p for p in new if len(p) > KEEP]
         inner.update(self._encode_pieces(new))

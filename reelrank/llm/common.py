@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +23,18 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def slices(batch: pa.RecordBatch, column: int, rows: int = 256, size: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of at most ``rows`` rows and about ``size`` bytes in ``column`` (one row at
+    least), so that what a task holds besides the batch does not depend on the length of texts."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + size, side="right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
@@ -28,17 +45,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Remove every table ``materialise`` wrote under this session's shared folder.
-
-    Call it when the results that read them have been stored.
-    """
-    from reelrank.session import checkpoint_root
-
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/reelrank/llm")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long); root is the component's least node.
 

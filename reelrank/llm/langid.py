@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from reelrank.session import ship_package
 
-from .common import materialise, texts
+from .common import materialise, slices, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a block of the chain, and in a training chain.
@@ -234,8 +234,7 @@ def _predict(model_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model_of.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for part in slices(batch, 1):
                 pred, score = label_texts(labeller, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
@@ -298,8 +297,7 @@ def _filter(model_of, at: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model_of.value)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 128):
-                part = batch.slice(begin, 128)
+            for part in slices(batch, at):
                 scores = label_texts(labeller, part.column(at).to_pylist())[1]
                 yield part.filter(pa.array([s >= least for s in scores]))
     return run

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import materialise, texts
+from .common import materialise, slices, texts
 
 END = 2
 #: Items that one best-fit call packs at once; a task's input is taken in chunks of this many.
@@ -35,8 +35,7 @@ def _pieces(capacity: int, path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = bpe.encoder(path), np.array([END], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 1):
                 rows = []
                 for doc_id, ids in zip(part.column(0).to_pylist(), enc.ids_bytes(part.column(1).to_pylist())):
                     ids += end
@@ -45,6 +44,7 @@ def _pieces(capacity: int, path: str | None):
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        enc.trim()
     return run
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reelrank.session import path_exists, shared_path
 
 from . import bpe
-from .common import texts
+from .common import slices, texts
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
@@ -21,10 +21,10 @@ def _count(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = bpe.encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 1):
                 n = [len(x) // 4 for x in enc.ids_bytes(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(n, np.int64))], ["digest", "n_tokens"])
+        enc.trim()
     return run
 
 

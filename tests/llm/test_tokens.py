@@ -82,7 +82,7 @@ def test_packing(spark, sf, edge_docs, no_docs):
     assert used <= least * 1.02 + 1
     spread = docs.repartition(40)  # several rounds
     used, _ = check_packing(docs, packing.pack_documents(spread).collect())
-    assert used <= least * 1.02 + 1
+    assert used <= least * 1.05 + 1  # five documents a partition: hardly a choice in the first round
     check_packing(edge_docs, packing.op6_best_fit_packing(edge_docs).collect())
     assert packing.op6_best_fit_packing(no_docs).count() == 0
 
