@@ -8,18 +8,23 @@ windows always show as two anchor suffixes with the same ``span - REACH + 1`` le
 1. Every anchor gives the digest of its leading bytes and that of its surroundings (all bytes that
    a window with this anchor can cover). Leading bytes that occur once are done with. Surroundings
    that occur twice are repeated throughout.
-2. Of the rest, one suffix bundle (the surroundings themselves) for each distinct surroundings is
-   range-partitioned by its leading bytes, with splitters that Spark samples. A bucket sorts the
-   suffixes in its bundles by multikey quicksort, eight bytes a step, going on with ties only:
-   suffixes tied on ``span`` bytes are repeated. Equal leading bytes never lie on two sides of a
-   splitter, and the run that a read batch breaks off is carried into the next one, so no
-   comparison is lost at a boundary.
+2. Of the rest, one suffix bundle (the surroundings themselves) for each distinct surroundings goes
+   to a bucket by its leading bytes, between splitters taken from a sample of the texts. A bucket
+   sorts its bundles by leading bytes and compares those in a run of equal ones: in short runs
+   each with each, by how far they agree to the left and right of the anchor; long runs are sorted
+   by multikey quicksort, eight bytes a step, going on with ties only, once as suffixes from the
+   anchor on and once as prefixes read backwards from it. Agreement with the neighbour in either
+   order gives, for every distance, the classes of equal suffix and prefix parts, and bundles in the
+   same two classes share the window at that distance. Equal leading bytes never lie on two
+   sides of a splitter, and the run that a read batch breaks off is carried into the next one, so
+   no comparison is lost at a boundary.
 3. Leading bytes with more than ``crowd`` different surroundings would make one large sort. Their
    windows are counted one by one through 128-bit digests, spread over all tasks.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +32,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, texts
+from .common import materialise, slices, texts
 
 REACH = 136
 GRAM = 16
 #: Window starts that are handled at once; longer texts go in steps.
 STEP = 1 << 19
 #: Bundles that one sort takes, but for the rest of a run of equal leading bytes.
-SORT = 4000
+SORT = 8000
+#: Runs up to this long are compared each with each.
+SHORT = 6
+#: Share of the texts that splitters are taken from.
+SAMPLE = 0.02
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -87,25 +96,19 @@ class Anchors:
         sums = _sums(data)
         base = at - low
         grams = last - at + left
-        begin = np.arange(base, base + grams)
-        self.hash = _mix(_digest(sums, begin, begin + GRAM))
-        self.least = _sliding(self.hash, REACH, np.minimum)  # of window at + i
-        chosen = np.concatenate([np.zeros(left, np.uint64), self.least, np.zeros(left, np.uint64)])
-        place = np.flatnonzero(_sliding(chosen, REACH, np.maximum) == self.hash)
-        self.first, self.places = at, place + at
+        gram = sums[base + GRAM:base + GRAM + grams] - sums[base:base + grams]
+        gram *= _power(_INVERSE, base + grams)[base:]
+        order = (_mix(gram) >> np.uint64(32)).astype(np.uint32)
+        least = _sliding(order, REACH, np.minimum)  # of window at + i
+        chosen = np.concatenate([np.zeros(left, np.uint32), least, np.zeros(left, np.uint32)])
+        place = np.flatnonzero(_sliding(chosen, REACH, np.maximum) == order)
+        self.places = place + at
         begin = place + base
         self.keys = _mix(_digest(sums, begin, begin + lead) + np.uint64(lead))
         before, after = np.minimum(self.places, left), np.minimum(n - self.places, span)
         clip = before.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + after.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB)
         self.contexts = _mix(_digest(sums, begin - before, begin + after) + clip)
 
-    def windows(self, i: int) -> tuple[int, int]:
-        """Least and greatest distance from a window's start to its anchor, the i-th here."""
-        a = int(self.places[i]) - self.first
-        low = max(0, a - REACH + 1)
-        at = np.flatnonzero(self.least[low:a + 1] == self.hash[a])
-        return a - low - int(at[-1]), a - low - int(at[0])
-
 
 def anchors(text: np.ndarray, span: int) -> Iterator[Anchors]:
     for at in range(0, len(text) - span + 1, STEP):
@@ -156,105 +159,198 @@ def _grouped(emit):
     return run
 
 
-BUNDLE = "key long, ctx long, crowded boolean, context binary, at int, low int, high int"
+BUNDLE = "key long, ctx long, alone boolean, context binary, at int, bucket int"
+
 
+def _leading(text: np.ndarray, place: int) -> int:
+    """The eight bytes at ``place`` as a signed long that sorts as they do."""
+    return int.from_bytes(text[place:place + 8].tobytes(), "big") - (1 << 63)
 
-def _emit_bundles(span: int):
-    """(dk, text, wanted: [(key, ctx, crowded)]) -> bundles, one for each wanted digest."""
+
+def _emit_leading(span: int):
+    """(data) -> (lead): the eight leading bytes of every anchor suffix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            texts_here = [_bytes(v) for v in batch.column(0)]
+            leads = [_leading(t, p) for t in texts_here for x in anchors(t, span) for p in x.places.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(leads, pa.int64())], ["lead"])
+    return run
+
+
+def _emit_bundles(span: int, splitters: list[int]):
+    """(..., text, wanted: [(key, ctx, alone)]) -> bundles, one for each wanted digest."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, whole.num_columns - 2, 512)):
             rows = []
-            for value, wanted in zip(batch.column(1), batch.column(2).to_pylist()):
+            for value, wanted in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1).to_pylist()):
                 text = _bytes(value)
-                left = {(w["key"], w["ctx"]): w["crowded"] for w in wanted}
+                left = {(w["key"], w["ctx"]): w["alone"] for w in wanted}
                 contexts = np.array([c for _, c in left], np.int64)
                 for x in anchors(text, span):
-                    for i in np.flatnonzero(np.isin(x.contexts.view(np.int64), contexts)):
-                        name = (int(x.keys.view(np.int64)[i]), int(x.contexts.view(np.int64)[i]))
+                    found = np.flatnonzero(np.isin(x.contexts.view(np.int64), contexts))
+                    for name, a in zip(zip(x.keys.view(np.int64)[found].tolist(), x.contexts.view(np.int64)[found].tolist()),
+                                       x.places[found].tolist()):
                         if name in left:
-                            a = int(x.places[i])
                             before = min(a, REACH - 1)
-                            rows.append((*name, left.pop(name), text[a - before:a + span].tobytes(), before, *x.windows(i)))
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
+                            rows.append((*name, left.pop(name), text[a - before:a + span].tobytes(), before,
+                                         bisect_right(splitters, _leading(text, a))))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)],
-                                             ["key", "ctx", "crowded", "context", "at", "low", "high"])
+                                             ["key", "ctx", "alone", "context", "at", "bucket"])
     return run
 
 
-def multikey_ties(words: np.ndarray, group: np.ndarray, row: np.ndarray, start: np.ndarray, span: int,
-                  known: tuple[int, int]) -> np.ndarray:
-    """Which of the suffixes (row, start) agree with another of their group on ``span`` bytes.
+def multikey_order(words: np.ndarray, group: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Order of rows by group, then by their words from the first column on, then by ``last``.
 
-    Multikey quicksort with eight bytes as one character: sort each class by its next character,
-    split it where that changes, drop classes of one, go on with the next eight bytes. ``words``
-    holds the eight bytes from each column on; columns ``known`` are equal within a group.
+    Multikey quicksort with a word (eight bytes) as one character: sort each class of ties by its
+    next character, split it where that changes, go on with the classes that have more than one row.
     """
-    alive, cls = np.arange(len(row)), group
-    for depth in range(0, span, 8):
-        depth = min(depth, span - 8)
+    order = np.argsort(group, kind="stable")
+    cls = group[order]
+    cls = np.maximum.accumulate(np.where(np.append(True, cls[1:] != cls[:-1]), np.arange(len(cls)), 0))
+    for column in [*words.T, last]:
+        alive = np.flatnonzero(np.bincount(cls, minlength=len(cls))[cls] > 1)
         if not len(alive):
             break
-        col = start[alive] + depth
-        skip = (col >= known[0]) & (col + 8 <= known[1])
-        char = np.where(skip, 0, words[row[alive], col])
-        order = np.lexsort((char, cls))
-        alive, cls, char = alive[order], cls[order], char[order]
-        new = np.append(True, (cls[1:] != cls[:-1]) | (char[1:] != char[:-1]))
-        cls = np.cumsum(new)
-        tied = np.bincount(cls)[cls] > 1
-        alive, cls = alive[tied], cls[tied]
-    return alive
+        rows, mine = order[alive], cls[alive]
+        k = np.lexsort((column[rows], mine))
+        order[alive] = rows = rows[k]
+        char = column[rows]
+        new = np.append(True, (mine[1:] != mine[:-1]) | (char[1:] != char[:-1]))
+        cls[alive] = alive[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+    return order
+
+
+def _words(part: np.ndarray) -> np.ndarray:
+    """The bytes of each row as big-endian eight-byte words (zeros at the end)."""
+    wide = np.zeros((len(part), -(-part.shape[1] // 8) * 8), np.uint8)
+    wide[:, :part.shape[1]] = part
+    return wide.view(">u8").astype(np.uint64)
+
+
+def _neighbours(part: np.ndarray, size: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sort rows (of ``size`` bytes, zeros beyond) within runs: the order, and how many bytes each
+    agrees in with the one before it (-1 at the start of a run).
+
+    A row that ends early is the least of all that begin with it, so it never stands between two
+    rows that agree further.
+    """
+    order = multikey_order(_words(part), run, size)
+    sorted_part = part[order]
+    agree = np.full(len(part), -1, np.int64)
+    agree[1:] = np.minimum(_agree(sorted_part[1:] == sorted_part[:-1]), np.minimum(size[order][1:], size[order][:-1]))
+    agree[1:][run[order][1:] != run[order][:-1]] = -1
+    return order, agree
+
+
+def run_ties(grid: np.ndarray, before: np.ndarray, after: np.ndarray, run: np.ndarray, span: int) -> np.ndarray:
+    """(bundle x distance) mask of repeated windows within runs of any length."""
+    left = REACH - 1
+    right_order, right = _neighbours(np.ascontiguousarray(grid[:, left:]), after, run)
+    left_order, leftward = _neighbours(np.ascontiguousarray(grid[:, left - 1::-1]), before, run)
+    mask = np.zeros((len(grid), REACH), bool)
+    suffix, prefix = np.empty(len(grid), np.int64), np.empty(len(grid), np.int64)
+    for o in range(REACH):
+        valid = np.flatnonzero((before >= o) & (after >= span - o))
+        if len(valid) > 1:
+            suffix[right_order] = np.cumsum(right < span - o)
+            prefix[left_order] = np.cumsum(leftward < o)
+            pair = suffix[valid] * (len(grid) + 1) + prefix[valid]
+            k = np.argsort(pair)
+            same = pair[k][1:] == pair[k][:-1]
+            mask[valid[k[1:][same]], o] = True
+            mask[valid[k[:-1][same]], o] = True
+    return mask
 
 
 MASKS = "key long, ctx long, mask binary"
 
 
-def _sorted_ties(rows: list[dict], span: int) -> pa.RecordBatch:
-    """Sort the suffixes of bundles that come in order of their leading bytes."""
+def _agree(same: np.ndarray) -> np.ndarray:
+    """Leading True values of each row."""
+    return np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1))
+
+
+def pair_ties(grid: np.ndarray, before: np.ndarray, after: np.ndarray, runs: np.ndarray, span: int) -> np.ndarray:
+    """(bundle x distance) mask of repeated windows, comparing each bundle with each of its run.
+
+    Two bundles that agree on l bytes left and r bytes right of their anchors share the windows
+    whose start is span - r to l bytes ahead of the anchor. ``runs``: (first, size) of runs of at
+    most ``SHORT`` bundles.
+    """
+    left = REACH - 1
+    edge = np.zeros((len(grid), REACH + 1), np.int32)
+    for size in np.unique(runs[:, 1]):
+        first = runs[runs[:, 1] == size, 0]
+        for a in range(size):
+            for b in range(a + 1, size):
+                for k in range(0, len(first), SORT):
+                    i, j = first[k:k + SORT] + a, first[k:k + SORT] + b
+                    same = grid[i] == grid[j]
+                    l = np.minimum(_agree(same[:, left - 1::-1]), np.minimum(before[i], before[j]))
+                    r = np.minimum(_agree(same[:, left:]), np.minimum(after[i], after[j]))
+                    low = np.maximum(span - r, 0)
+                    hit = low <= l
+                    for x in (i[hit], j[hit]):  # a bundle comes once in each of the two
+                        edge[x, low[hit]] += 1
+                        edge[x, l[hit] + 1] -= 1
+    return np.cumsum(edge, axis=1)[:, :REACH] > 0
+
+
+def _sorted_ties(table: pa.Table, span: int) -> pa.RecordBatch:
+    """Compare the bundles of a table that is sorted by leading bytes."""
     left, lead, width = REACH - 1, span - REACH + 1, REACH - 1 + span
-    grid = np.zeros((len(rows), width + 8), np.uint8)
-    group = np.zeros(len(rows), np.int64)
-    before = None
-    for i, r in enumerate(rows):
-        at, context = r["at"], r["context"]
-        grid[i, left - at:left - at + len(context)] = np.frombuffer(context, np.uint8)
-        now = context[at:at + lead]
-        group[i] = group[i - 1] + (now != before) if i else 0
-        before = now
-    words = np.zeros((len(rows), width), np.uint64)
-    for j in range(8):
-        words |= grid[:, j:j + width].astype(np.uint64) << np.uint64(56 - 8 * j)
-    low, high = (np.array([r[c] for r in rows]) for c in ("low", "high"))
-    row = np.repeat(np.arange(len(rows)), high - low + 1)
-    distance = np.arange(len(row)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[row]
-    ties = multikey_ties(words, group[row] * REACH + distance, row, left - distance, span, (left, left + lead))
-    mask = np.zeros((len(rows), REACH), bool)
-    mask[row[ties], distance[ties]] = True
-    hit = np.flatnonzero(mask.any(axis=1))
-    return _masks([rows[i] for i in hit], mask[hit])
-
-
-def _masks(rows: list[dict], mask: np.ndarray) -> pa.RecordBatch:
+    context = table.column("context").combine_chunks()
+    before = table.column("at").to_numpy().astype(np.int64)
+    rows = len(before)
+    offsets = np.frombuffer(context.buffers()[1], np.int32)[context.offset:context.offset + rows + 1].astype(np.int64)
+    size = np.diff(offsets)
+    after = size - before
+    grid = np.zeros((rows, width + 8), np.uint8)
+    place = np.repeat(np.arange(rows) * (width + 8) + left - before - offsets[:-1], size) + np.arange(offsets[0], offsets[-1])
+    grid.ravel()[place] = np.frombuffer(context.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    first = np.flatnonzero(np.append(True, (grid[1:, left:left + lead] != grid[:-1, left:left + lead]).any(axis=1)))
+    runs = np.stack([first, np.diff(np.append(first, rows))], axis=1)
+    mask = pair_ties(grid[:, :width], before, after, runs[(runs[:, 1] > 1) & (runs[:, 1] <= SHORT)], span)
+    long = runs[runs[:, 1] > SHORT]
+    if len(long):
+        mine = np.concatenate([np.arange(a, a + n) for a, n in long])
+        run = np.repeat(np.arange(len(long)), long[:, 1])
+        mask[mine] = run_ties(grid[mine, :width], before[mine], after[mine], run, span)
+    hit = np.flatnonzero(mask.any(axis=1) & table.column("alone").to_numpy())
+    return _masks(table.column("key").to_numpy()[hit], table.column("ctx").to_numpy()[hit], mask[hit])
+
+
+def _masks(keys: np.ndarray, contexts: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
     packed = np.packbits(mask, axis=1)
     return pa.RecordBatch.from_arrays(
-        [pa.array([r["key"] for r in rows], pa.int64()), pa.array([r["ctx"] for r in rows], pa.int64()),
-         pa.array([p.tobytes() for p in packed], pa.binary())], ["key", "ctx", "mask"])
+        [pa.array(keys, pa.int64()), pa.array(contexts, pa.int64()), pa.array([p.tobytes() for p in packed], pa.binary())],
+        ["key", "ctx", "mask"])
 
 
 def _sort_bucket(span: int):
     lead = span - REACH + 1
 
+    def leading(table: pa.Table, i: int) -> bytes:
+        at = table.column("at")[i].as_py()
+        return table.column("context")[i].as_py()[at:at + lead]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        held: pa.Table | None = None
         for batch in batches:
-            for r in batch.to_pylist():
-                if len(held) >= SORT:
-                    a, b = held[-1], r
-                    if a["context"][a["at"]:a["at"] + lead] != b["context"][b["at"]:b["at"] + lead]:
-                        yield _sorted_ties(held, span)
-                        held = []
-                held.append(r)
-        if held:
+            for k in range(0, batch.num_rows, SORT):
+                part = pa.Table.from_batches([batch.slice(k, SORT)])
+                held = part if held is None else pa.concat_tables([held, part])
+                if held.num_rows >= SORT:
+                    # keep the last run back: the next rows may go on with it
+                    last, at = leading(held, held.num_rows - 1), held.num_rows - 1
+                    while at and leading(held, at - 1) == last:
+                        at -= 1
+                    if at:
+                        yield _sorted_ties(held.slice(0, at), span)
+                        held = held.slice(at)
+        if held is not None and held.num_rows:
             yield _sorted_ties(held, span)
     return run
 
@@ -269,13 +365,14 @@ def _emit_windows(span: int):
         for batch in batches:
             for r in batch.to_pylist():
                 data = np.frombuffer(r["context"], np.uint8)
-                o = np.arange(r["low"], r["high"] + 1)
+                o = np.arange(max(0, span - len(data) + r["at"]), r["at"] + 1)
                 begin = r["at"] - o
                 w1 = _mix(_digest(_sums(data), begin, begin + span))
                 w2 = _mix(_digest(_sums(data, _SECOND), begin, begin + span, _SECOND_INVERSE))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(np.full(len(o), r["key"])),
-                     pa.array(np.full(len(o), r["ctx"])), pa.array(o.astype(np.int32))], ["w1", "w2", "key", "ctx", "o"])
+                     pa.array(np.full(len(o), r["ctx"])), pa.array(np.full(len(o), r["alone"])), pa.array(o.astype(np.int32))],
+                    ["w1", "w2", "key", "ctx", "alone", "o"])
     return run
 
 
@@ -285,12 +382,12 @@ def _pack_masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask = np.zeros((batch.num_rows, REACH), bool)
         for i, o in enumerate(batch.column(2)):
             mask[i, np.asarray(o.values)] = True
-        yield _masks(batch.select(["key", "ctx"]).to_pylist(), mask)
+        yield _masks(batch.column(0).to_numpy(), batch.column(1).to_numpy(), mask)
 
 
 def _remove(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, 512)):
             out = []
             for value, hits in zip(batch.column(1), batch.column(2).to_pylist()):
                 text = _bytes(value)
@@ -309,17 +406,17 @@ def _remove(span: int):
 
 def _replace(span: int, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_columns - 2
+        for batch in (part for whole in batches for part in slices(whole, at, 512)):
+            n = batch.num_columns - 1
             out = []
-            for value, data, hits in zip(batch.column(at), batch.column(n), batch.column(n + 1).to_pylist()):
-                text = _bytes(data)
+            for value, hits in zip(batch.column(at), batch.column(n).to_pylist()):
+                text = _bytes(value)
                 begins, ends = repeated_runs(text, hits or [], span)
                 edges = [0, *(int(e) for pair in zip(begins, ends) for e in pair), len(text)]
                 kept = b"".join(text[b:e].tobytes() for b, e in zip(edges[::2], edges[1::2]))
                 out.append(kept.decode("utf-8", "ignore") if value.is_valid else None)
             columns = batch.columns[:n]
-            columns[at] = pa.array(out, columns[at].type)
+            columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:n])
     return run
 
@@ -335,21 +432,27 @@ def repeated_runs(text: np.ndarray, hits: list[dict], span: int) -> tuple[np.nda
     wanted = np.array(list(masks), np.int64)
     edge = np.zeros(len(text) + 1, np.int32)  # of covered bytes
     for x in anchors(text, span):
-        for i in np.flatnonzero(np.isin(x.contexts.view(np.int64), wanted)):
-            a, mask = int(x.places[i]), masks[int(x.contexts.view(np.int64)[i])]
-            if mask is None:
-                edge[max(0, a - REACH + 1)] += 1
-                edge[min(len(text), a + span)] -= 1
-            else:
-                for o in np.flatnonzero(np.unpackbits(np.frombuffer(mask, np.uint8))[:REACH]):
-                    edge[a - o] += 1
-                    edge[a - o + span] -= 1
+        contexts = x.contexts.view(np.int64)
+        found = np.flatnonzero(np.isin(contexts, wanted))
+        held = [masks[c] for c in contexts[found].tolist()]
+        whole = np.array([m is None for m in held], bool)
+        a = x.places[found[whole]]
+        np.add.at(edge, np.maximum(0, a - REACH + 1), 1)
+        np.add.at(edge, np.minimum(len(text), a + span), -1)
+        partly = x.places[found[~whole]]
+        if len(partly):
+            bits = np.unpackbits(np.frombuffer(b"".join(m for m in held if m is not None), np.uint8).reshape(len(partly), -1), axis=1)
+            turn = np.diff(np.pad(bits[:, :REACH].astype(np.int8), ((0, 0), (1, 1))), axis=1)
+            row, o = np.nonzero(turn)  # runs of distances: each covers one stretch
+            begins, ends = turn[row, o] == 1, turn[row, o] == -1
+            np.add.at(edge, partly[row[ends]] - (o[ends] - 1), 1)
+            np.add.at(edge, partly[row[begins]] - o[begins] + span, -1)
     covered = np.concatenate([[False], np.cumsum(edge[:-1]) > 0, [False]])
     turns = np.flatnonzero(covered[1:] != covered[:-1])
     return turns[::2], turns[1::2]
 
 
-def remove_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = 200, crowd: int = 20_000) -> DataFrame:
     """(doc_id, n_bytes, n_removed, kept: binary, spans) of every row.
 
     Removes each byte covered by a ``span``-byte string of the row's UTF-8 text that also starts
@@ -358,63 +461,72 @@ def remove_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataF
     count as empty; texts shorter than ``span`` lose nothing. A null doc_id stays null, other columns
     are ignored, an empty table gives no rows.
     """
-    whole, hits, (data, dk, found) = _hits(texts(docs), span, crowd)
-    return whole.join(hits, dk, "left").select("doc_id", data, found).mapInArrow(
+    whole, hits, (dk, found) = _hits(texts(docs), span, crowd)
+    return whole.join(hits, dk, "left").select("doc_id", "text", found).mapInArrow(
         _remove(span), "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<begin: long, end: long>>")
 
 
-def drop_repeats(docs: DataFrame, span: int = 200, crowd: int = 2000) -> DataFrame:
+def drop_repeats(docs: DataFrame, span: int = 200, crowd: int = 20_000) -> DataFrame:
     """``docs`` with repeated bytes taken out of ``text``, and ``n_chars``, if there, counted anew.
 
     All rows and columns stay. Bytes of a character that a removed run cuts go with it; a null
     text stays null.
     """
     texts(docs)
-    whole, hits, (data, dk, found) = _hits(docs, span, crowd)
-    out = whole.join(hits, dk, "left").select(*docs.columns, data, found).mapInArrow(
+    whole, hits, (dk, found) = _hits(docs, span, crowd)
+    out = whole.join(hits, dk, "left").select(*docs.columns, found).mapInArrow(
         _replace(span, docs.columns.index("text")), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
-def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame, tuple[str, str, str]]:
-    """``docs`` with their bytes and a routing key, (key, hits) of the texts that hold repeats, and
-    the names of the three columns (bytes, key, hits), none of which ``docs`` has."""
+def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame, tuple[str, str]]:
+    """``docs`` with the text as bytes and a routing key, (key, hits) of the texts that hold repeats,
+    and the names of these two columns, which ``docs`` does not have."""
     mark = "_"
     while any(c.startswith(mark) for c in docs.columns):
         mark += "_"
-    data, route, found_hits = f"{mark}bytes", f"{mark}dk", f"{mark}hits"
+    route, found_hits = f"{mark}dk", f"{mark}hits"
     if span < REACH + GRAM:
         raise ValueError(f"span must be at least {REACH + GRAM} bytes")
     spark = docs.sparkSession
-    content = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    whole = docs.withColumn(data, content).withColumn(
-        route, F.xxhash64("doc_id", data))  # only routes rows: two documents that share one do no harm
-    rows = whole.select(F.col(route).alias("dk"), F.col(data).alias("data")).mapInArrow(_grouped(_emit_anchors(span)), "dk long, key long, ctx long, n long")
+    # the routing key only brings rows together: two documents that share one do no harm
+    whole = docs.withColumn("text", F.col("text").cast("string").cast("binary")).withColumn(
+        route, F.xxhash64("doc_id", "text"))
+    rows = whole.select(F.col(route).alias("dk"), "text").mapInArrow(_grouped(_emit_anchors(span)), "dk long, key long, ctx long, n long")
     shared = rows.groupBy("key").agg(F.sum("n").alias("all"), (F.min("ctx") != F.max("ctx")).alias("mixed")).where(
         F.col("all") > 1).select("key", "mixed")
     found = materialise(rows.join(shared, "key"), "suffix-shared")
     mixed = found.where("mixed").groupBy("key", "ctx").agg(F.sum("n").alias("n"), F.min("dk").alias("dk"))
     crowds = mixed.groupBy("key").agg((F.count("*") > crowd).alias("crowded"))
-    mixed = materialise(mixed.join(crowds, "key"), "suffix-mixed")
+    mixed = materialise(mixed.join(crowds, "key").select("key", "ctx", (F.col("n") == 1).alias("alone"), "dk", "crowded"), "suffix-mixed")
 
-    wanted = mixed.groupBy("dk").agg(F.collect_list(F.struct("key", "ctx", "crowded")).alias("wanted"))
-    bundles = whole.select(F.col(route).alias("dk"), data).join(wanted, "dk").select("dk", data, "wanted").mapInArrow(_emit_bundles(span), BUNDLE)
-    bundles = materialise(bundles, "suffix-bundles")
-    lead = F.expr(f"substring(context, at + 1, {span - REACH + 1})")
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ties = bundles.where("NOT crowded").repartitionByRange(buckets, lead).sortWithinPartitions(lead).mapInArrow(
-        _sort_bucket(span), MASKS)
-    windows = bundles.where("crowded").mapInArrow(_grouped(_emit_windows(span)), "w1 long, w2 long, key long, ctx long, o int")
+    splitters = []
+    if buckets > 1:
+        leads = whole.select("text").sample(SAMPLE, 42).mapInArrow(_grouped(_emit_leading(span)), "lead long")
+        cuts = leads.agg(F.percentile_approx("lead", [i / buckets for i in range(1, buckets)], 100 * buckets)).first()[0]
+        splitters = sorted(set(cuts or []))
+
+    def bundles(crowded: bool) -> DataFrame:
+        wanted = mixed.where(F.col("crowded") == crowded).groupBy(F.col("dk").alias(route)).agg(
+            F.collect_list(F.struct("key", "ctx", "alone")).alias(found_hits))
+        # all columns go along, so that this and the last join of the texts share one shuffle
+        return whole.join(wanted, route).select(*docs.columns, route, F.col("text").alias("data"), found_hits).mapInArrow(
+            _emit_bundles(span, splitters), BUNDLE)
+
+    lead = F.expr(f"substring(context, at + 1, {span - REACH + 1})")
+    ties = bundles(False).repartitionById(buckets, F.col("bucket")).sortWithinPartitions(lead).select(
+        "key", "ctx", "alone", "context", "at").mapInArrow(_sort_bucket(span), MASKS)
+    windows = bundles(True).mapInArrow(_grouped(_emit_windows(span)), "w1 long, w2 long, key long, ctx long, alone boolean, o int")
     # with ties for the least hash a window has several anchors: it is counted once for each distance
     again = windows.groupBy("w1", "w2", "o").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2", "o")
-    crowd_ties = windows.join(again, ["w1", "w2", "o"]).groupBy("key", "ctx").agg(F.collect_list("o").alias("o")).mapInArrow(
+    crowd_ties = windows.where("alone").join(again, ["w1", "w2", "o"]).groupBy("key", "ctx").agg(F.collect_list("o").alias("o")).mapInArrow(
         _pack_masks, MASKS)
-    entire = mixed.where("n > 1").select("key", "ctx", F.lit(None).cast("binary").alias("mask"))
-    partial = ties.unionByName(crowd_ties).join(mixed.where("n = 1").select("key", "ctx"), ["key", "ctx"], "left_semi")
-    hits = found.where("mixed").join(entire.unionByName(partial), ["key", "ctx"]).select("dk", "ctx", "mask").unionByName(
+    entire = mixed.where("NOT alone").select("key", "ctx", F.lit(None).cast("binary").alias("mask"))
+    hits = found.where("mixed").join(entire.unionByName(ties).unionByName(crowd_ties), ["key", "ctx"]).select("dk", "ctx", "mask").unionByName(
         found.where("NOT mixed").select("dk", "ctx", F.lit(None).cast("binary").alias("mask")))
     hits = hits.groupBy(F.col("dk").alias(route)).agg(F.collect_list(F.struct("ctx", "mask")).alias(found_hits))
-    return whole, hits, (data, route, found_hits)
+    return whole, hits, (route, found_hits)
 
 
 def op3_suffix_dedup(docs: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def spliced(spark):
     return spark.createDataFrame(docs, "doc_id long, text string")
 
 
-@pytest.mark.parametrize("crowd", [2, 2000])
+@pytest.mark.parametrize("crowd", [2, 20_000])
 def test_against_all_windows(spliced, crowd):
     check(spliced, crowd=crowd)
 
@@ -86,16 +86,50 @@ def test_long_texts_go_in_steps(monkeypatch):
     assert digests() == once
 
 
-def test_multikey_ties_against_sets():
+def test_multikey_order_is_the_sorted_order():
     rng = np.random.default_rng(1)
-    grid = rng.integers(0, 2, (40, 72)).astype(np.uint8)
-    grid[5], grid[7] = grid[9], grid[9]
-    words = np.zeros((40, 64), np.uint64)
-    for j in range(8):
-        words |= grid[:, j:j + 64].astype(np.uint64) << np.uint64(56 - 8 * j)
-    for span in (8, 13, 40):
-        row = np.repeat(np.arange(40), 20)
-        start = np.tile(np.arange(20), 40)
-        got = set(S.multikey_ties(words, np.zeros(len(row), np.int64), row, start, span, (0, 0)).tolist())
-        seen = Counter(grid[r, s:s + span].tobytes() for r, s in zip(row, start))
-        assert got == {i for i, (r, s) in enumerate(zip(row, start)) if seen[grid[r, s:s + span].tobytes()] > 1}
+    rows = rng.integers(0, 2, (300, 21)).astype(np.uint8)
+    rows[100:200, :16] = rows[0, :16]
+    group, last = rng.integers(0, 3, 300), rng.integers(0, 5, 300)
+    order = S.multikey_order(S._words(rows), group, last)
+    want = sorted(range(300), key=lambda i: (group[i], rows[i].tobytes(), last[i]))
+    key = [(group[i], rows[i].tobytes(), last[i]) for i in order]
+    assert key == [(group[i], rows[i].tobytes(), last[i]) for i in want]
+
+
+@pytest.mark.parametrize("short, sort", [(1, 7), (3, 7), (24, 8000), (10**6, 50), (6, 8000)])
+def test_buckets_against_counted_windows(monkeypatch, short, sort):
+    monkeypatch.setattr(S, "SHORT", short)
+    monkeypatch.setattr(S, "SORT", sort)
+    rng = np.random.default_rng(4)
+    passage = rng.integers(97, 123, 700).astype(np.uint8)
+    left, lead = S.REACH - 1, SPAN - S.REACH + 1
+    rows = {}
+    for _ in range(60):
+        a, b = sorted(rng.integers(0, 700, 2))
+        passage[300:330] = 0  # zero bytes are text like any other
+        text = np.concatenate([rng.integers(97, 123, rng.integers(0, 80)).astype(np.uint8), passage[a:b],
+                               rng.integers(97, 123, rng.integers(0, 80)).astype(np.uint8)])
+        for x in S.anchors(text, SPAN):
+            for p, k, c in zip(x.places.tolist(), x.keys.view(np.int64).tolist(), x.contexts.view(np.int64).tolist()):
+                before = min(p, left)
+                rows[k, c] = (text[p - before:p + SPAN].tobytes(), before)
+    order = sorted(rows, key=lambda n: rows[n][0][rows[n][1]:rows[n][1] + lead])
+    seen = Counter()
+    for context, at in rows.values():
+        for o in range(max(0, SPAN - len(context) + at), at + 1):
+            seen[context[at - o:at - o + SPAN], o] += 1
+    want = {}
+    for n, (context, at) in rows.items():
+        mask = [0 <= at - o and at - o + SPAN <= len(context) and seen[context[at - o:at - o + SPAN], o] > 1 for o in range(S.REACH)]
+        if any(mask):
+            want[n] = np.packbits(np.array(mask)).tobytes()
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in order]), pa.array([c for _, c in order]), pa.array([rows[n][0] for n in order], pa.binary()),
+         pa.array([rows[n][1] for n in order], pa.int32()), pa.array([True] * len(order))], ["key", "ctx", "context", "at", "alone"])
+    got = {}
+    for out in S._sort_bucket(SPAN)(iter([batch.slice(i, 40) for i in range(0, len(order), 40)])):
+        for r in out.to_pylist():
+            got[r["key"], r["ctx"]] = r["mask"]
+    assert got == want and len(want) > 50
