@@ -17,7 +17,7 @@ from itertools import islice
 
 import numpy as np
 
-LIMIT = 500_000
+LIMIT = 400_000
 #: Pieces that stay from one task to the next.
 LASTING = 100_000
 #: Pieces that are encoded in one call of the library.

@@ -28,7 +28,7 @@ WORD = re.compile(r"[^\W\d_]+")
 BLOCK = 64
 DIM = 1 << 17
 #: Words whose emission scores a worker keeps.
-CACHE = 300_000
+CACHE = 150_000
 #: Longer words (no natural language has them) are described by their ends.
 LONG = 40
 
