@@ -222,14 +222,15 @@ def _stream_inputs(spark: SparkSession, sf_dir: str):
 
 
 def _lookups(spark: SparkSession, sf_dir: str, buckets: int = 8):
-    """Event ratings, and the three lookup tables stored in buckets by movie or user."""
+    """Event ratings, the three lookup tables stored in buckets by movie or user, and what lies beyond
+    the stored neighbours."""
     er, *frames = _stream_inputs(spark, sf_dir)
     stored = []
     for name, df, key in zip(("sims", "rated", "recent"), frames, ("mid", "uid", "uid")):
         path = shared_path(spark, f"stream-{name}")
         tables.write_lookup_table(df, path, key, buckets)
         stored.append(spark.read.parquet(path))
-    return (er, *stored)
+    return (er, *stored, rerank.BeyondStored(fx.vectors(spark, sf_dir).select("mid", "v"), least=STORED_SIM))
 
 
 def q_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,15 +245,15 @@ def q_recent_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    er, sims, rated, _ = _lookups(spark, sf_dir)
-    cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated)
+    er, sims, rated, _, beyond = _lookups(spark, sf_dir)
+    cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated, beyond=beyond)
     return cand.select("uid", "rank", "mid", round6(F.col("sim")).alias("sim"))
 
 
 def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    er, sims, rated, recent = _lookups(spark, sf_dir)
-    cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated)
-    scores = rerank.stream_scores(cand, sims, recent, RERANK_SIM)
+    er, sims, rated, recent, beyond = _lookups(spark, sf_dir)
+    cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated, beyond=beyond)
+    scores = rerank.stream_scores(cand, sims, recent, RERANK_SIM, beyond=beyond)
     return scores.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
 
 
@@ -274,8 +275,8 @@ def _flat_recs(current: DataFrame) -> DataFrame:
 def q_stream_recs_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event scored on its own and upserted in two batches (the first written twice: a replay
     must not change the table) around a compaction; the stored list is that of the newest event."""
-    er, sims, rated, recent = _lookups(spark, sf_dir)
-    recs = rerank.recommend_events(er, sims, rated, recent, threshold=RERANK_SIM)
+    er, sims, rated, recent, beyond = _lookups(spark, sf_dir)
+    recs = rerank.recommend_events(er, sims, rated, recent, threshold=RERANK_SIM, beyond=beyond)
     store = tables.KeyedStore(spark, shared_path(spark, "stream-recs-batch"))
     rows = recs.select("uid", "recs", "ts", "event_id").checkpoint(eager=True)
     odd = F.col("event_id") % 2 == 1
@@ -291,13 +292,13 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     parquet files partitioned by day, read by a file stream several files per micro-batch,
     re-ranked in ``foreachBatch`` and upserted per user. The stored list of a user is the one of
     their newest event, whatever order the files are read in."""
-    er, sims, rated, recent = _lookups(spark, sf_dir)
+    er, sims, rated, recent, beyond = _lookups(spark, sf_dir)
     src = shared_path(spark, "stream-messages")
     _write_messages(spark, er, src)
     store = tables.KeyedStore(spark, shared_path(spark, "stream-recs"))
     query = streaming.start_stream(
         streaming.file_messages(spark, src, max_files_per_trigger=10), sims, rated, recent, store,
-        checkpoint_location=shared_path(spark, "stream-checkpoint"), available_now=True, threshold=RERANK_SIM)
+        checkpoint_location=shared_path(spark, "stream-checkpoint"), available_now=True, threshold=RERANK_SIM, beyond=beyond)
     query.awaitTermination()
     return _flat_recs(store.current())
 
