@@ -22,6 +22,8 @@ from .common import materialise, texts
 #: ASCII white space, punctuation and controls become spaces; other bytes stay.
 _ASCII = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 _OTHER = re.compile(r"[^\w\x00-\x7f]+")
+#: Shorter items must begin and end with a word: inside words they would be chance.
+SHORT = 25
 HITS = "doc_id long, item_id long, distance int, budget int, begin long, end long"
 
 
@@ -97,14 +99,45 @@ def myers(pattern_masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def edits(a: str, b: str) -> int:
+    """Edit distance of two whole strings."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def between_words(item: str, k: int, text: str, origins: list[int]) -> tuple[int, int, int] | None:
+    """(distance, begin, end) of the best run of whole words within ``k`` edits of ``item`` that
+    begins within ``k`` of one of ``origins``."""
+    best = None
+    for origin in sorted(set(origins)):
+        for b in range(max(0, origin - k), min(origin + k, len(text)) + 1):
+            if b and text[b - 1] != " ":
+                continue
+            for e in range(max(b + 1, b + len(item) - k), min(b + len(item) + k, len(text)) + 1):
+                if e < len(text) and text[e] != " ":
+                    continue
+                d = 0 if text[b:e] == item else edits(item, text[b:e]) if k else 1
+                if d <= k and (best is None or d < best[0]):
+                    best = (d, b, e)
+    return best
+
+
 class Matcher:
-    """Finds the items of one block, a list of (item_id, normalised text), in normalised texts."""
+    """Finds the items of one block, a list of (item_id, normalised text), in normalised texts.
+
+    Items shorter than ``least`` count only as a whole text, those shorter than ``bounded`` only
+    where they begin and end with a word of the text.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, least: int):
+    def __init__(self, items: list[tuple[int, str]], rate: float, least: int, bounded: int = 0):
         import ahocorasick
 
         self.whole: dict[str, list[int]] = defaultdict(list)
-        self.items, self.ids = [], defaultdict(list)
+        self.items, self.ids, self.bounded = [], defaultdict(list), bounded
         for item_id, text in items:
             if text and len(text) < least:
                 self.whole[text].append(item_id)
@@ -116,7 +149,8 @@ class Matcher:
             self.items.append((text, k, masks(text)))
             cuts = split(text, k)
             tests: dict[tuple[int, int, int], tuple] = {}
-            for (at, piece), above in zip(cuts, ancestors([*(a for a, _ in cuts), len(text)])):
+            parents = ancestors([*(a for a, _ in cuts), len(text)]) if len(text) >= bounded else [[]] * len(cuts)
+            for (at, piece), above in zip(cuts, parents):
                 for node in above:
                     if node not in tests:
                         tests[node] = (*node, masks(text[node[0]:node[1]]))
@@ -142,6 +176,10 @@ class Matcher:
                         spans[item].append(origin - self.items[item][1])
         for item, starts in spans.items():
             pattern, k, found = self.items[item]
+            if len(pattern) < self.bounded:
+                if (hit := between_words(pattern, k, text, [s + k for s in starts])) is not None:
+                    out.extend((i, hit[0], k, hit[1], hit[2]) for i in self.ids[pattern])
+                continue
             size, best = len(pattern) + 2 * k, (k + 1, 0, 0)
             starts.sort()
             begin = end = None
@@ -160,9 +198,9 @@ class Matcher:
         return out
 
 
-def _scan(items, rate: float, least: int):
+def _scan(items, rate: float, least: int, bounded: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items.value, rate, least)
+        matcher = Matcher(items.value, rate, least, bounded)
         for batch in batches:
             rows = [(doc_id, *hit) for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1))
                     for hit in matcher.find(normalise(text.as_py()))]
@@ -174,12 +212,12 @@ def _scan(items, rate: float, least: int):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least: int = 25,
-                 block_bytes: int = 8 << 20) -> DataFrame:
+                 block_bytes: int = 8 << 20, bounded: int = 0) -> DataFrame:
     """(doc_id, item_id, distance, budget, begin, end): the items that each document holds.
 
     ``begin`` and ``end`` are places in the normalised text of the occurrence with the fewest
-    edits. Items shorter than ``least`` normalised characters can't be told from chance and count
-    only as the whole text of a document; items that are null or hold no word match nothing, as
+    edits. Items shorter than ``least`` normalised characters count only as the whole text of a
+    document, items shorter than ``bounded`` only where they begin and end with a word; items that are null or hold no word match nothing, as
     do null and empty documents. Repeated items and documents are reported each; a null doc_id
     stays null; other columns are ignored; an empty table on either side gives no rows.
 
@@ -202,15 +240,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least
     for b in range(blocks if total else 0):
         block = sized.where(F.pmod("draw", F.lit(blocks)) == b).select("item_id", "text").collect()
         shipped = spark.sparkContext.broadcast([(r.item_id, normalise(r.text)) for r in block])
-        out = out.unionByName(plain.mapInArrow(_scan(shipped, rate, least), HITS))
+        out = out.unionByName(plain.mapInArrow(_scan(shipped, rate, least, bounded), HITS))
     return out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1) -> DataFrame:
     """The rows of ``docs``, all their columns, that hold no benchmark item (rows without doc_id stay)."""
-    bad = materialise(contaminated(docs, benchmark, rate).select("doc_id").distinct(), "decontam")
+    bad = materialise(contaminated(docs, benchmark, rate, least=0, bounded=SHORT).select("doc_id").distinct(), "decontam")
     return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
 
 def op2_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    return contaminated(docs, benchmark)
+    """All items, of any length, inside all documents; items under ``SHORT`` characters between words."""
+    return contaminated(docs, benchmark, least=0, bounded=SHORT)
