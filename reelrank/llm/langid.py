@@ -29,12 +29,25 @@ BLOCK = 64
 DIM = 1 << 17
 #: Words whose emission scores a worker keeps.
 CACHE = 150_000
-#: Longer words (no natural language has them) are described by their ends.
+#: Longer runs of letters (as in scripts without spaces) are several words of the chain.
 LONG = 40
+#: Stands at the end of a part where its run goes on.
+ON = "\0"
+
+
+def parts(run: str) -> list[str]:
+    """A long run in nearly equal parts, each with the three letters after it, so that every n-gram of
+    the run begins in one of them."""
+    n = -(-len(run) // LONG)
+    at = [i * len(run) // n for i in range(n + 1)]
+    return [(ON if a else "") + run[a:b + 3] + (ON if b < len(run) else "") for a, b in zip(at, at[1:])]
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    found = WORD.findall(text.lower()) if text else []
+    if found and max(map(len, found)) > LONG:
+        found = [p for w in found for p in (parts(w) if len(w) > LONG else (w,))]
+    return found
 
 
 def has_letter(found: list[str]) -> bool:
@@ -45,9 +58,9 @@ def feature_rows(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(indices, row starts) of the hashed features of words, one row after the other.
 
     Features are the 2-, 3- and 4-grams of ``^word$`` (those with a mark are its affixes) and the
-    word itself. Index ``DIM`` stands for no feature.
+    word itself. A part of a run has no mark where the run goes on. Index ``DIM`` stands for no feature.
     """
-    marked = [f"^{w if len(w) <= LONG else w[:LONG // 2] + w[-LONG // 2:]}$" for w in found]
+    marked = [f"^{w}$".replace("^" + ON, "").replace(ON + "$", "") for w in found]
     codes = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").astype(np.uint64)
     size = np.fromiter(map(len, marked), np.int64, len(marked))
     ends = np.cumsum(size)
