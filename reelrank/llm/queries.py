@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lm, packing, quality, sharding, simhash, suffix, tokencount, topk
+from . import decontam, langid, lm, packing, quality, sharding, simhash, suffix, tokencount, topk, urlfilter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": _documents(tokencount.op8_token_counts),
     "op9_sharding": _documents(sharding.op9_sharding),
     "op10_language_id": _documents(langid.op10_language_id),
+    "op11_url_filters": lambda spark, sf_dir: urlfilter.op11_url_filters(table(spark, sf_dir, "pages")),
 }
 
-ORACLES: dict[str, str] = {"op7_exact_topk": topk.OP7_SQL}
+ORACLES: dict[str, str] = {"op7_exact_topk": topk.OP7_SQL, "op11_url_filters": urlfilter.OP11_SQL}
