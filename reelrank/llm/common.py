@@ -72,3 +72,14 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
         e = materialise(small, name)
     return e.select(a.alias("node"), b.alias("root")).unionByName(
         e.select(b.alias("node"), b.alias("root")).distinct())
+
+
+def spread_join(rows: DataFrame, keys: list[str], table: DataFrame, salt: str) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row a key, on ``keys``, where one key may hold a third of ``rows``.
+
+    The table is first dealt to the (key, salt) pairs that ``rows`` has, so a key's rows are joined by
+    as many tasks as it has salts, and a key of ``table`` is shipped once a salt. Rows without a
+    partner are dropped; keys must not be null.
+    """
+    there = rows.select(*keys, salt).distinct().join(table, keys)
+    return rows.join(there, [*keys, salt])
