@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lm, packing, quality, sharding, simhash, spelling, suffix, tokencount, topk, urlfilter
+from . import convtrie, decontam, langid, lm, packing, quality, sharding, simhash, spelling, suffix, tokencount, topk, urlfilter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,8 @@ QUERIES: dict[str, Query] = {
     "op10_language_id": _documents(langid.op10_language_id),
     "op11_url_filters": lambda spark, sf_dir: urlfilter.op11_url_filters(table(spark, sf_dir, "pages")),
     "op12_spelling_variants": _documents(spelling.op12_spelling_variants),
+    "op13_conversation_trie": lambda spark, sf_dir: convtrie.op13_conversation_trie(table(spark, sf_dir, "conversations")),
 }
 
 ORACLES: dict[str, str] = {"op7_exact_topk": topk.OP7_SQL, "op11_url_filters": urlfilter.OP11_SQL,
-                           "op12_spelling_variants": spelling.OP12_SQL}
+                           "op12_spelling_variants": spelling.OP12_SQL, "op13_conversation_trie": convtrie.OP13_SQL}

@@ -6,7 +6,7 @@ from reelrank.llm.queries import ORACLES, QUERIES
 
 def test_all_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 13)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_oracles(spark, sf):
