@@ -25,8 +25,8 @@ STREAM_INTERVAL = "2 seconds"
 # -------------------------------------------------------------------------------------------
 
 DEFAULT_SEED = 42
-# Neighbours stored per movie: a documented limit of the similarity lists, which keeps them linear
-# in the number of movies. Every operator that builds lists takes it as an argument.
+# Content neighbours listed per movie: a documented limit, as movies of the same genres are all similar;
+# ``content_signatures`` holds everything. Item lists are whole unless a limit is asked for.
 STORED_NEIGHBOURS = 100
 # ALS user/item blocks. Factors are initialised block by block, so the count is part of the model:
 # it is fixed here (pass another for a larger cluster) and never derived from the machine.

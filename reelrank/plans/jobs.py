@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import ALS_ITERATIONS, ALS_RANK, ALS_REG, DEFAULT_SEED, STORED_NEIGHBOURS, USER_TOP_K
+from ..constants import ALS_ITERATIONS, ALS_RANK, ALS_REG, DEFAULT_SEED, ITEM_SIM_THRESHOLD, STORED_NEIGHBOURS, USER_TOP_K
 from ..operators import als, content, rerank, stats
-from ..operators.similarity import similarity_lists
+from ..operators.pivots import VectorIndex
+from ..operators.similarity import cut_neighbours, similarity_lists, similarity_rows
 from ..schemas import MOVIE, RATING
+from ..session import path_exists
 from ..sources import loaders, tables
 from ..streaming import recommender
 
@@ -29,6 +31,7 @@ RATE_MORE, RATE_MORE_RECENTLY, AVERAGE, GENRES_TOP = (
     "RateMoreMovies", "RateMoreRecentlyMovies", "AverageMovies", "GenresTopMovies")
 USER_RECS, MOVIE_RECS, CONTENT_RECS, STREAM_RECS = (
     "User_Recs", "Movie_Recs", "Content_Movie_Recs", "StreamRecs")
+MOVIE_RECS_CUT, MOVIE_VECTORS = "Movie_Recs_Cut", "Movie_Vectors"
 
 
 def _path(root: str, table: str) -> str:
@@ -65,19 +68,31 @@ def statistics_job(spark: SparkSession, root: str) -> None:
 
 def offline_job(spark: SparkSession, root: str, rank: int = ALS_RANK, iters: int = ALS_ITERATIONS,
                 reg: float = ALS_REG, seed: int = DEFAULT_SEED, k: int = USER_TOP_K,
-                neighbours: int = STORED_NEIGHBOURS) -> None:
-    """OfflineRecommender: ALS on all ratings → per-user top k and item-item similarity lists."""
+                neighbours: int | None = None) -> None:
+    """OfflineRecommender: ALS on all ratings → per-user top k and item-item similarity lists, whole as in
+    the reference. With ``neighbours`` lists are cut there, and the completeness index and the movie
+    vectors are stored too, from which the stream gets what the lists have lost."""
     ratings = tables.read_typed(spark, _path(root, RATING_T), RATING)
     model = als.als_fit(ratings, rank=rank, iters=iters, reg=reg, seed=seed)
     tables.overwrite_table(als.user_recs(model, k=k), _path(root, USER_RECS))
-    tables.overwrite_table(similarity_lists(als.item_similarity(model, k=neighbours)), _path(root, MOVIE_RECS))
+    if neighbours is None:
+        lists = als.item_similarity(model)
+        for name in (MOVIE_RECS_CUT, MOVIE_VECTORS):
+            tables.drop_table(spark, _path(root, name))
+    else:
+        factors = model.itemFactors.select(F.col("id").alias("mid"), F.col("features").alias("v"))
+        lists, cut = cut_neighbours(factors, neighbours)
+        tables.write_lookup_table(cut, _path(root, MOVIE_RECS_CUT), "mid")
+        if not cut.isEmpty():
+            VectorIndex.write(factors, _path(root, MOVIE_VECTORS))
+    tables.overwrite_table(similarity_lists(lists), _path(root, MOVIE_RECS))
 
 
 def content_job(spark: SparkSession, root: str, neighbours: int = STORED_NEIGHBOURS) -> None:
     """ContentBasedRecommender: genre TF-IDF cosine lists per movie."""
     movies = tables.read_typed(spark, _path(root, MOVIE_T), MOVIE)
     ranked = content.content_similarity(movies, k=neighbours)
-    tables.overwrite_table(similarity_lists(ranked), _path(root, CONTENT_RECS))
+    tables.overwrite_table(similarity_lists(ranked).drop("part"), _path(root, CONTENT_RECS))
 
 
 def streaming_job(spark: SparkSession, root: str, messages: DataFrame, recent: DataFrame,
@@ -87,9 +102,10 @@ def streaming_job(spark: SparkSession, root: str, messages: DataFrame, recent: D
     user's rated movies, scoring with the user's ``recent`` ratings (uid, pos, mid, score);
     StreamRecs keeps the newest list per user. The lookups are written once as bucketed tables, so
     a micro-batch reads only the buckets of its users and movies."""
-    sims = read_table(spark, root, MOVIE_RECS).select(
-        "mid", F.posexplode("recs").alias("_pos", "_rec")).select(
-        "mid", (F.col("_pos") + 1).alias("rank"), F.col("_rec.mid").alias("mid2"), F.col("_rec.score").alias("sim"))
+    sims = similarity_rows(read_table(spark, root, MOVIE_RECS))
+    beyond = None
+    if path_exists(spark, _path(root, MOVIE_VECTORS)):
+        beyond = rerank.BeyondStored(read_table(spark, root, MOVIE_RECS_CUT), VectorIndex(spark, _path(root, MOVIE_VECTORS)), ITEM_SIM_THRESHOLD)
     rated = rerank.rated_pairs(tables.read_typed(spark, _path(root, RATING_T), RATING))
     looked_up = []
     for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
@@ -99,7 +115,7 @@ def streaming_job(spark: SparkSession, root: str, messages: DataFrame, recent: D
     sims, rated, recent = looked_up
     store = tables.KeyedStore(spark, _path(root, STREAM_RECS))
     return recommender.start_stream(messages, sims, rated, recent, store, checkpoint_location,
-                                    available_now=available_now, rejects=_path(root, "RejectedMessages"))
+                                    available_now=available_now, rejects=_path(root, "RejectedMessages"), beyond=beyond)
 
 
 def stream_recs_table(spark: SparkSession, root: str) -> DataFrame:

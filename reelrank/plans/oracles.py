@@ -35,13 +35,13 @@ CTE = {
     "vectors": """vectors AS (
   SELECT CAST(vec_id AS INTEGER) AS mid, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)""",
     "averages": """averages AS (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid)""",
-    # the 100 best neighbours with cosine > 0.25, self pairs excluded
+    # all neighbours with cosine > 0.25, self pairs excluded
     "vnorm": """vnorm AS (SELECT mid, v, sqrt(list_dot_product(v, v)) AS n FROM vectors)""",
     "sims": """sims AS (
   SELECT mid, mid2, sim, row_number() OVER (PARTITION BY mid ORDER BY round(sim, 12) DESC, mid2) AS rank
   FROM (SELECT a.mid, b.mid AS mid2, list_dot_product(a.v, b.v) / (a.n * b.n) AS sim
         FROM vnorm a JOIN vnorm b ON a.mid <> b.mid WHERE a.n > 0 AND b.n > 0)
-  WHERE sim > 0.25 QUALIFY rank <= 100)""",
+  WHERE sim > 0.25)""",
     # --- fixed values: bucket of each genre word under Spark 4's HashingTF(numFeatures=20) ---
     "buckets": """buckets(token, dim) AS (VALUES
   ('action', 13), ('adventure', 13), ('animation', 13), ('comedy', 12), ('crime', 11),
@@ -99,6 +99,8 @@ def _with(names: list[str], body: str) -> str:
 
 _EMPTY = ", ".join(f"'' AS {c}" for c in ("descri", "timelong", "issue", "shoot", "language"))
 
+_CAND_OUT = "SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(sim, 6) AS sim FROM cand"
+
 _SCORES_OUT = """
 SELECT uid, CAST(row_number() OVER (PARTITION BY uid, event_id ORDER BY round(score, 12) DESC, mid) AS INTEGER) AS rank,
        mid, round(score, 6) AS score FROM scores"""
@@ -188,9 +190,10 @@ FROM sig JOIN (SELECT mid, count(*) AS n FROM content_pairs GROUP BY mid) USING
     "tables_by_movie": _with(["ratings", "tags"], """
 SELECT 'rating' AS "table", mid, count(*) AS n, min(uid) AS first_uid FROM ratings GROUP BY mid
 UNION ALL SELECT 'tag', mid, count(*), min(uid) FROM tags GROUP BY mid"""),
-    "stream_candidates": _with(["event_ratings", "vectors", "vnorm", "sims", "event", "cand"], """
-SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(sim, 6) AS sim FROM cand"""),
+    "stream_candidates": _with(["event_ratings", "vectors", "vnorm", "sims", "event", "cand"], _CAND_OUT),
+    "stream_candidates_cut": _with(["event_ratings", "vectors", "vnorm", "sims", "event", "cand"], _CAND_OUT),
     "stream_scores": _with(_STREAM, _SCORES_OUT),
+    "stream_scores_cut": _with(_STREAM, _SCORES_OUT),
     "stream_recs_upsert": _with(_STREAM, _SCORES_OUT),
     "stream_recs": _with(_STREAM, _SCORES_OUT),
     "train_test_split": _with(["ratings", "split"],

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..constants import ALS_REG, ITEM_SIM_THRESHOLD, STORED_NEIGHBOURS, USER_TOP_K
 from ..functions.scalar import cosine, round6
-from ..operators import als, content, rerank, similarity, stats
+from ..operators import als, content, maxproduct, rerank, similarity, stats
+from ..operators.pivots import VectorIndex
 from ..operators.topk import flatten
 from ..schemas import RATING, TAG
 from ..session import checkpoint_root, shared_path
@@ -166,7 +167,7 @@ def q_similarity_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_user_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = fx.vectors(spark, sf_dir)
-    top = similarity.topk_dot(v.withColumnRenamed("mid", "uid"), v, k=20, min_score=0.0)
+    top = maxproduct.topk_dot(v.withColumnRenamed("mid", "uid"), v, k=20, min_score=0.0)
     return top.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
 
 
@@ -174,7 +175,7 @@ def q_user_topk_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2 + P13: top 20 by dot product > 0 among the items a user has not rated (exact)."""
     v = fx.vectors(spark, sf_dir)
     seen = fx.event_ratings(spark, sf_dir).select("uid", "mid")
-    top = similarity.topk_dot(v.withColumnRenamed("mid", "uid"), v, k=20, min_score=0.0, exclude=seen)
+    top = maxproduct.topk_dot(v.withColumnRenamed("mid", "uid"), v, k=20, min_score=0.0, exclude=seen)
     return top.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
 
 
@@ -211,26 +212,28 @@ def q_content_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming re-rank, as batch functions and as a stream -------------------------------------
 
-def _stream_inputs(spark: SparkSession, sf_dir: str):
-    """Event ratings, the similarity table, rated pairs and recent ratings. The similarity table
-    is an offline product (the reference stores it); it is checkpointed once into the shared
-    folder instead of being recomputed by each join that reads it."""
-    checkpoint_root(spark)
-    er = fx.event_ratings(spark, sf_dir)
-    sims = _vector_sims(spark, sf_dir).checkpoint(eager=True)
-    return (er, sims, rerank.rated_pairs(er), rerank.recent_ratings(er))
+def _stored_lookup(spark: SparkSession, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    path = shared_path(spark, f"stream-{name}")
+    tables.write_lookup_table(df, path, key, buckets)
+    return spark.read.parquet(path)
 
 
-def _lookups(spark: SparkSession, sf_dir: str, buckets: int = 8):
-    """Event ratings, the three lookup tables stored in buckets by movie or user, and what lies beyond
-    the stored neighbours."""
-    er, *frames = _stream_inputs(spark, sf_dir)
-    stored = []
-    for name, df, key in zip(("sims", "rated", "recent"), frames, ("mid", "uid", "uid")):
-        path = shared_path(spark, f"stream-{name}")
-        tables.write_lookup_table(df, path, key, buckets)
-        stored.append(spark.read.parquet(path))
-    return (er, *stored, rerank.BeyondStored(fx.vectors(spark, sf_dir).select("mid", "v"), least=STORED_SIM))
+def _lookups(spark: SparkSession, sf_dir: str, buckets: int = 8, k: int | None = None):
+    """Event ratings and the three lookup tables (similarity, rated pairs, recent ratings), stored in buckets by
+    movie or user; with ``k`` the similarity lists are cut there, and what lies beyond them comes too."""
+    checkpoint_root(spark)
+    er = fx.event_ratings(spark, sf_dir)
+    beyond = None
+    if k is None:
+        sims = _vector_sims(spark, sf_dir)
+    else:
+        vectors = fx.vectors(spark, sf_dir).select("mid", "v")
+        sims, cut = similarity.cut_neighbours(vectors, k, STORED_SIM)
+        beyond = rerank.BeyondStored(
+            _stored_lookup(spark, cut, "cut", "mid", buckets),
+            VectorIndex.write(vectors, shared_path(spark, "stream-vectors"), block_rows=256, buckets=buckets), STORED_SIM)
+    frames = (("sims", sims, "mid"), ("rated", rerank.rated_pairs(er), "uid"), ("recent", rerank.recent_ratings(er), "uid"))
+    return (er, *(_stored_lookup(spark, df, name, key, buckets) for name, df, key in frames), beyond)
 
 
 def q_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,19 +247,41 @@ def q_recent_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rerank.parse_recent_items(items)
 
 
-def q_stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    er, sims, rated, _, beyond = _lookups(spark, sf_dir)
+#: Length of the lists in the queries on cut tables.
+SHORT_LISTS = 10
+
+
+def _candidates(spark: SparkSession, sf_dir: str, k: int | None) -> DataFrame:
+    er, sims, rated, _, beyond = _lookups(spark, sf_dir, k=k)
     cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated, beyond=beyond)
     return cand.select("uid", "rank", "mid", round6(F.col("sim")).alias("sim"))
 
 
-def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    er, sims, rated, recent, beyond = _lookups(spark, sf_dir)
+def _scores(spark: SparkSession, sf_dir: str, k: int | None) -> DataFrame:
+    er, sims, rated, recent, beyond = _lookups(spark, sf_dir, k=k)
     cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated, beyond=beyond)
     scores = rerank.stream_scores(cand, sims, recent, RERANK_SIM, beyond=beyond)
     return scores.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
 
 
+def q_stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _candidates(spark, sf_dir, None)
+
+
+def q_stream_candidates_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 from lists of ten neighbours: the rest comes from the vector index, the rows are those of whole lists."""
+    return _candidates(spark, sf_dir, SHORT_LISTS)
+
+
+def q_stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir, None)
+
+
+def q_stream_scores_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 from lists of ten neighbours: lost pairs are computed from their vectors."""
+    return _scores(spark, sf_dir, SHORT_LISTS)
+
+
 def _write_messages(spark: SparkSession, er: DataFrame, path: str) -> None:
     """Event ratings as ``uid | mid | score | ts`` messages (with event_id), parquet partitioned by
     day. Rebalancing on the day gives about one file per day (AQE splits a busy day over
@@ -459,7 +484,9 @@ QUERIES: dict[str, Query] = {
     "recent_items": q_recent_items,
     "recent_ratings_stream": q_recent_ratings_stream,
     "stream_candidates": q_stream_candidates,
+    "stream_candidates_cut": q_stream_candidates_cut,
     "stream_scores": q_stream_scores,
+    "stream_scores_cut": q_stream_scores_cut,
     "stream_recs_upsert": q_stream_recs_upsert,
     "stream_recs": q_stream_recs,
     "train_test_split": q_train_test_split,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import list_subdirs, path_exists
+from ..session import list_subdirs, path_exists, shared_path
 
 
 #: Buckets of a lookup table where the caller names no other number.
@@ -26,6 +26,14 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared folder and read back: the lineage is cut and a lost
+    executor costs a re-read."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """K2: remove a stored table if it exists."""
     if path_exists(spark, path):

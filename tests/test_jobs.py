@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from reelrank.operators import rerank
+from reelrank.operators.similarity import similarity_rows
 from reelrank.operators.topk import flatten
 from reelrank.plans import jobs
 from reelrank.plans.queries import QUERIES
 from reelrank.sources import fixtures as fx
-from reelrank.sources import loaders
+from reelrank.sources import loaders, tables
 from reelrank.streaming import recommender
 
 SF = "/root/testdata/sf0.001"
@@ -49,7 +50,16 @@ def test_job_chain(spark, tmp_path):
                            str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination()
     got = {r.uid: [x.mid for x in r.recs] for r in jobs.stream_recs_table(spark, root).collect()}
-    sims = flatten(jobs.read_table(spark, root, jobs.MOVIE_RECS), ["mid"]).toDF("mid", "rank", "mid2", "sim")
+    sims = similarity_rows(jobs.read_table(spark, root, jobs.MOVIE_RECS))
     truth = rerank.recommend_events(rerank.newest_per_user(events), sims, rerank.rated_pairs(events), recent)
     want = {r.uid: [x.mid for x in r.recs] for r in truth.collect()}
     assert got == want and len(got) == events.select("uid").distinct().count()
+
+    # lists cut at two neighbours: the same stream table from the completeness index and the vectors
+    jobs.offline_job(spark, root, rank=6, iters=3, neighbours=2)
+    assert jobs.read_table(spark, root, jobs.MOVIE_RECS).agg(F.max(F.size("recs"))).first()[0] == 2
+    tables.drop_table(spark, f"{root}/{jobs.STREAM_RECS}")
+    q = jobs.streaming_job(spark, root, recommender.file_messages(spark, str(tmp_path / "msgs")), recent,
+                           str(tmp_path / "ckpt-cut"), available_now=True)
+    q.awaitTermination()
+    assert {r.uid: [x.mid for x in r.recs] for r in jobs.stream_recs_table(spark, root).collect()} == want

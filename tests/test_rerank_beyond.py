@@ -1,35 +1,60 @@
 """Lookups in a similarity table that is cut must give what the whole table gives."""
 
+import re
+
 import numpy as np
 import pytest
 
 from reelrank.operators import rerank
-from reelrank.operators.similarity import item_similarity
+from reelrank.operators.pivots import VectorIndex
+from reelrank.operators.similarity import cut_neighbours, item_similarity
+from reelrank.sources.tables import write_lookup_table
 
 
 @pytest.fixture(scope="module")
-def case(spark):
+def case(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("beyond"))
     rng = np.random.default_rng(5)
     v = spark.createDataFrame([(i, (rng.normal(size=4) + 1).tolist()) for i in range(120)], "mid int, v array<double>")
     rows = [(u, int(m), float(rng.integers(1, 6)), int(t), u * 1000 + t) for u in range(6)
             for t, m in enumerate(rng.permutation(120)[:(0, 3, 20, 40, 70, 90)[u] + 1])]
     er = spark.createDataFrame(rows, "uid int, mid int, score double, ts long, event_id long").cache()
-    whole = item_similarity(v, 0.25, k=1000, block_rows=50).cache()
-    cut = item_similarity(v, 0.25, k=10, block_rows=50).cache()
-    return er, whole, cut, rerank.BeyondStored(v, stored=10, least=0.25)
+    whole = item_similarity(v, 0.25, block_rows=50).cache()
+    lists, cut = cut_neighbours(v, 10, 0.25, block_rows=50)
+    read = {}
+    for name, df, key in (("sims", lists, "mid"), ("cut", cut, "mid"), ("rated", rerank.rated_pairs(er), "uid"), ("recent", rerank.recent_ratings(er), "uid")):
+        write_lookup_table(df, f"{root}/{name}", key, 4)
+        read[name] = spark.read.parquet(f"{root}/{name}")
+    index = VectorIndex.write(v, f"{root}/vectors", block_rows=20, buckets=4)
+    return er, whole, read, rerank.BeyondStored(read["cut"], index, 0.25)
 
 
-def test_cut_table_gives_whole_candidates_and_scores(case):
-    er, whole, cut, beyond = case
-    events, rated, recent = rerank.newest_per_user(er), rerank.rated_pairs(er), rerank.recent_ratings(er)
+def rows_of(df):
+    return sorted((r.uid, r.rank, r.mid, round(r[-1], 9)) for r in df.collect())
 
-    def rows(df):
-        return sorted((r.uid, r.rank, r.mid, round(r[-1], 9)) for r in df.collect())
 
+def test_cut_table_gives_whole_candidates_and_scores(case):
+    er, whole, read, beyond = case
+    events, rated, recent = rerank.newest_per_user(er), rerank.rated_pairs(er), rerank.recent_ratings(er)
     want = rerank.stream_candidates(events, whole, rated).cache()
     assert max(r.n for r in want.groupBy("uid").count().toDF("uid", "n").collect()) == 20
-    assert rows(rerank.stream_candidates(events, cut, rated, beyond=beyond)) == rows(want)
-    assert rows(rerank.stream_candidates(events, cut, rated)) != rows(want)
-    scores = rows(rerank.stream_scores(want, whole, recent, 0.3))
-    assert rows(rerank.stream_scores(want, cut, recent, 0.3, beyond=beyond)) == scores
-    assert rows(rerank.stream_scores(want, cut, recent, 0.3)) != scores
+    for rd, rc in ((rated, recent), (read["rated"], read["recent"])):
+        assert rows_of(rerank.stream_candidates(events, read["sims"], rd, beyond=beyond)) == rows_of(want)
+        scores = rows_of(rerank.stream_scores(want, whole, rc, 0.3))
+        assert rows_of(rerank.stream_scores(want, read["sims"], rc, 0.3, beyond=beyond)) == scores
+    assert rows_of(rerank.stream_candidates(events, read["sims"], rated)) != rows_of(want)
+    assert rows_of(rerank.stream_scores(want, read["sims"], recent, 0.3)) != scores
+
+
+def test_every_scan_of_a_batch_is_pruned(spark, case):
+    """A micro-batch reads only the buckets and cells its events touch, and no job runs while it is planned."""
+    er, _, read, beyond = case
+    events = rerank.newest_per_user(er)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    recs = rerank.recommend_events(events, read["sims"], read["rated"], read["recent"], threshold=0.3, beyond=beyond)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    plan = spark._jvm.PythonSQLUtils.explainString(recs._jdf.queryExecution(), "formatted")
+    scans = re.findall(r"Location: InMemoryFileIndex \[[^\]]*?/(sims|cut|by-id|by-cell)[^\]]*\]\n(?:.*\n)*?ReadSchema", plan)
+    blocks = re.findall(r"(Location: InMemoryFileIndex \[[^\]]*?/(?:sims|cut|by-id|by-cell)[^\]]*\](?:\n.*)*?\nReadSchema)", plan)
+    assert set(scans) == {"sims", "cut", "by-id", "by-cell"}
+    assert all("dynamicpruningexpression" in b for b in blocks), [b for b in blocks if "dynamicpruning" not in b]
