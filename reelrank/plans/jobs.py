@@ -39,20 +39,19 @@ def _path(root: str, table: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(_path(root, table))
+    return tables.read_table(spark, _path(root, table))
 
 
 def load_job(spark: SparkSession, movies_path: str, ratings_path: str, tags_path: str,
              root: str) -> None:
-    """Parse the three text inputs, drop the stored tables and write new ones: Movie by mid, Rating
-    and Tag in two layouts each, by uid and by mid (the two keys they are looked up by)."""
+    """Parse the three text inputs and replace the stored tables: Movie by mid, Rating and Tag in two
+    layouts each, by uid and by mid (the two keys they are looked up by). The old tables stay
+    readable until the new ones are complete, and go as a whole then."""
     for name, lines, keys in ((MOVIE_T, loaders.load_movies(spark, movies_path), ("mid",)),
                               (RATING_T, loaders.load_ratings(spark, ratings_path), ("uid", "mid")),
                               (TAG_T, loaders.load_tags(spark, tags_path), ("uid", "mid"))):
         for i, key in enumerate(keys):
-            path = _path(root, f"{name}_by_{key}" if i else name)
-            tables.drop_table(spark, path)
-            tables.overwrite_table(lines, path, key=key)
+            tables.overwrite_table(lines, _path(root, f"{name}_by_{key}" if i else name), key=key)
 
 
 def statistics_job(spark: SparkSession, root: str) -> None:
@@ -111,9 +110,9 @@ def streaming_job(spark: SparkSession, root: str, messages: DataFrame, recent: D
     for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
         path = _path(root, f"_lookup_{name}")
         tables.write_lookup_table(df, path, key, buckets)
-        looked_up.append(spark.read.parquet(path))
+        looked_up.append(tables.read_table(spark, path))
     sims, rated, recent = looked_up
-    store = tables.KeyedStore(spark, _path(root, STREAM_RECS))
+    store = tables.KeyedStore(spark, _path(root, STREAM_RECS), schema=recommender.recs_schema(messages))
     return recommender.start_stream(messages, sims, rated, recent, store, checkpoint_location,
                                     available_now=available_now, rejects=_path(root, "RejectedMessages"), beyond=beyond)
 

@@ -186,6 +186,8 @@ FROM sig JOIN (SELECT mid, count(*) AS n FROM content_pairs GROUP BY mid) USING
     "recent_ratings": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
     "recent_items": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
     "recent_ratings_stream": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
+    "published_versions": _with(["ratings", "tags"], """
+SELECT uid, mid, "timestamp", 'old' AS version FROM tags UNION ALL SELECT uid, mid, "timestamp", 'new' FROM ratings"""),
     "drop_and_reload": _with(["tags"], "SELECT uid, mid, tag, \"timestamp\" FROM tags"),
     "tables_by_movie": _with(["ratings", "tags"], """
 SELECT 'rating' AS "table", mid, count(*) AS n, min(uid) AS first_uid FROM ratings GROUP BY mid

@@ -115,6 +115,16 @@ def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_typed(spark, path, RATING)
 
 
+def q_published_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: tags are stored and read, then ratings are published in their place. The reader still has the tags, a
+    new one gets the ratings."""
+    path = shared_path(spark, "published-table")
+    tables.overwrite_table(fx.tags(spark, sf_dir).select("uid", "mid", "timestamp"), path, key="uid")
+    held = tables.read_table(spark, path)
+    tables.overwrite_table(fx.ratings(spark, sf_dir).select("uid", "mid", "timestamp"), path, key="mid")
+    return held.withColumn("version", F.lit("old")).unionByName(tables.read_table(spark, path).withColumn("version", F.lit("new")))
+
+
 def q_drop_and_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: a stored table is dropped before another is loaded in its place; none of it remains."""
     path = shared_path(spark, "reloaded-table")
@@ -215,7 +225,7 @@ def q_content_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_lookup(spark: SparkSession, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     path = shared_path(spark, f"stream-{name}")
     tables.write_lookup_table(df, path, key, buckets)
-    return spark.read.parquet(path)
+    return tables.read_table(spark, path)
 
 
 def _lookups(spark: SparkSession, sf_dir: str, buckets: int = 8, k: int | None = None):
@@ -253,13 +263,15 @@ SHORT_LISTS = 10
 
 def _candidates(spark: SparkSession, sf_dir: str, k: int | None) -> DataFrame:
     er, sims, rated, _, beyond = _lookups(spark, sf_dir, k=k)
-    cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated, beyond=beyond)
+    events = tables.stored(rerank.newest_per_user(er), "newest-events")
+    cand = rerank.stream_candidates(events, sims, rated, beyond=beyond)
     return cand.select("uid", "rank", "mid", round6(F.col("sim")).alias("sim"))
 
 
 def _scores(spark: SparkSession, sf_dir: str, k: int | None) -> DataFrame:
     er, sims, rated, recent, beyond = _lookups(spark, sf_dir, k=k)
-    cand = rerank.stream_candidates(rerank.newest_per_user(er), sims, rated, beyond=beyond)
+    events = tables.stored(rerank.newest_per_user(er), "newest-events")
+    cand = tables.stored(rerank.stream_candidates(events, sims, rated, beyond=beyond), "candidates")
     scores = rerank.stream_scores(cand, sims, recent, RERANK_SIM, beyond=beyond)
     return scores.select("uid", "rank", "mid", round6(F.col("score")).alias("score"))
 
@@ -334,7 +346,7 @@ def q_recent_ratings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     er = fx.event_ratings(spark, sf_dir)
     src = shared_path(spark, "recent-messages")
     _write_messages(spark, er, src)
-    store = tables.KeyedStore(spark, shared_path(spark, "recent-store"), order=("batch_id",))
+    store = state.recent_store(spark, shared_path(spark, "recent-store"), buckets=8)
     query = state.start_recent_stream(streaming.file_messages(spark, src, max_files_per_trigger=10), store,
                                       shared_path(spark, "recent-checkpoint"), available_now=True)
     query.awaitTermination()
@@ -468,6 +480,7 @@ QUERIES: dict[str, Query] = {
     "load_tags": q_load_tags,
     "parse_rating_messages": q_parse_rating_messages,
     "table_roundtrip": q_table_roundtrip,
+    "published_versions": q_published_versions,
     "drop_and_reload": q_drop_and_reload,
     "tables_by_movie": q_tables_by_movie,
     "vector_cosine": q_vector_cosine,

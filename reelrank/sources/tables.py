@@ -1,12 +1,15 @@
-"""Stored tables: typed reads (S4), overwrite with a lookup layout (K1–K3), keyed upsert (K4).
+"""Stored tables: typed reads (S4), published versions with a lookup layout (K1–K3), keyed upsert (K4).
 
-The reference keeps its tables in a document store. Here they are Parquet directories on the
-shared file system; every write replaces its target atomically per directory.
+The reference keeps its tables in a document store. Here they are Parquet folders on the shared file
+system. A table that is replaced is written beside the old one as a new version, and a pointer file,
+renamed into place, makes it the current one: a reader finds the old table or the new, never half of
+one or none, and a write that fails leaves the old one as it was.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +25,7 @@ LOOKUP_BUCKETS = 64
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a stored table and pin it to the declared record schema (``.as[T]``)."""
-    df = spark.read.parquet(path)
+    df = read_table(spark, path)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
@@ -34,16 +37,84 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# --- versions and the pointer to the current one ----------------------------------------------
+
+_POINTER = "_CURRENT"
+_VERSION = re.compile(r"v(\d{8})-[0-9a-f]{8}")
+
+
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Name of the version the table's pointer names; None if nothing was published."""
+    hpath, fs = _fs(spark, f"{path.rstrip('/')}/{_POINTER}")
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        name = bytearray(stream.readNBytes(64)).decode().strip()
+    finally:
+        stream.close()
+    if not _VERSION.fullmatch(name):
+        raise ValueError(f"{path}: the pointer names no version: {name!r}")
+    return name
+
+
+def _number(version: str | None) -> int:
+    return int(_VERSION.fullmatch(version).group(1)) if version else 0
+
+
+def new_version(spark: SparkSession, path: str) -> str:
+    """A folder name for the next version; nobody reads it before ``publish_version``."""
+    return f"v{_number(current_version(spark, path)) + 1:08d}-{uuid.uuid4().hex[:8]}"
+
+
+def publish_version(spark: SparkSession, path: str, version: str) -> None:
+    """Make a completely written version the current one, and delete what is older than the one before.
+
+    The pointer is written beside its place and renamed over it, which HDFS and local file systems do
+    in one step. A reader that planned its scan on the version before still finds its files."""
+    root = path.rstrip("/")
+    draft, fs = _fs(spark, f"{root}/{_POINTER}.{version}")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    target, _ = _fs(spark, f"{root}/{_POINTER}")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(draft), context.makeQualified(target), options)
+    for name in list_subdirs(spark, root):
+        if _VERSION.fullmatch(name) and _number(name) < _number(version) - 1:
+            drop_table(spark, f"{root}/{name}")
+
+
+def table_path(spark: SparkSession, path: str) -> str:
+    """The folder of the current version; ``path`` itself for a folder that was not published."""
+    version = current_version(spark, path)
+    return f"{path.rstrip('/')}/{version}" if version else path
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(table_path(spark, path))
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
-    """K2: remove a stored table if it exists."""
+    """K2: remove a stored table with all its versions if it exists."""
     if path_exists(spark, path):
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        hpath, fs = _fs(spark, path)
+        fs.delete(hpath, True)
 
 
 def overwrite_table(df: DataFrame, path: str, key: Sequence[str] | str | None = None) -> None:
-    """K1 + K3: replace the table at ``path``.
+    """K1 + K3: replace the table at ``path`` by a new version.
 
     With ``key`` the rows are rebalanced on the key and sorted within each file (the Parquet
     counterpart of the reference's lookup indexes): row groups cover narrow key ranges, so a
@@ -56,7 +127,9 @@ def overwrite_table(df: DataFrame, path: str, key: Sequence[str] | str | None =
     if key:
         keys = [key] if isinstance(key, str) else list(key)
         out = df.hint("rebalance", *keys).sortWithinPartitions(*keys)
-    out.write.mode("overwrite").parquet(path)
+    version = new_version(df.sparkSession, path)
+    out.write.parquet(f"{path.rstrip('/')}/{version}")
+    publish_version(df.sparkSession, path, version)
 
 
 def bucket_name(key: str, buckets: int) -> str:
@@ -77,78 +150,113 @@ def find_bucket(df: DataFrame, key: str) -> tuple[str, int] | None:
     return None
 
 
-def with_bucket(df: DataFrame, col: str, like: DataFrame, key: str) -> tuple[DataFrame, list[str]]:
-    """Add to ``df`` the bucket column that ``like`` has for ``key``, computed from ``df[col]``;
-    returns the frame and the extra join key (empty when ``like`` is not bucketed)."""
-    info = find_bucket(like, key)
+def parts_of(table: DataFrame, part: str, values: DataFrame, value) -> DataFrame:
+    """``table``, partitioned by the column ``part``, limited at run time to the partitions among the ``value``s of
+    ``values``.
+
+    The values are a scalar subquery (one array, no longer than the table has partitions) in the scan's
+    partition filter: Spark evaluates it before the scan and lists only those directories, whatever join
+    strategy it takes afterwards. (Dynamic pruning of a join is dropped where the small side is not
+    broadcast.)"""
+    return table.where(F.array_contains(values.agg(F.collect_set(value)).scalar(), F.col(part)))
+
+
+def buckets_of(table: DataFrame, key: str, values: DataFrame, col: str) -> DataFrame:
+    """``table`` without its bucket column, limited to the buckets of ``key`` that ``values[col]`` falls into; a
+    table that is not bucketed on ``key`` comes back as it is."""
+    info = find_bucket(table, key)
     if info is None:
-        return df, []
+        return table
     name, n = info
-    return df.withColumn(name, bucket_of(col, n)), [name]
+    return parts_of(table, name, values, bucket_of(col, n)).drop(name)
 
 
 def write_lookup_table(df: DataFrame, path: str, key: str, buckets: int = LOOKUP_BUCKETS) -> None:
     """A lookup table partitioned into bucket directories by a hash of ``key`` and sorted by key
-    within each file. A join that carries the bucket column lets Spark's dynamic partition
-    pruning read only the buckets the other (small) side touches — a micro-batch then scans a
-    slice of the table, not all of it. ``rebalance`` on the bucket gives about one file per
+    within each file. ``buckets_of`` reads only the buckets some keys fall into: a micro-batch then
+    scans a slice of the table, not all of it. ``rebalance`` on the bucket gives about one file per
     bucket; AQE splits a bucket that holds a hot key. The caller sets ``buckets`` for its
     table; nothing else depends on the size."""
     name = bucket_name(key, buckets)
+    version = new_version(df.sparkSession, path)
     (df.withColumn(name, bucket_of(key, buckets)).hint("rebalance", name)
      .sortWithinPartitions(name, key)
-     .write.mode("overwrite").partitionBy(name).parquet(path))
+     .write.partitionBy(name).parquet(f"{path.rstrip('/')}/{version}"))
+    publish_version(df.sparkSession, path, version)
+
+
+#: Rows of the StreamRecs store; ``event_id`` may be of another type (a struct for Kafka).
+RECS_SCHEMA = "uid int, recs array<struct<mid:int,score:double>>, ts long, event_id long"
 
 
 class KeyedStore:
     """K4: keyed upsert of recommendation lists (StreamRecs) on Parquet.
 
-    Every micro-batch writes its rows into ``batch_id=<id>``; rewriting the same batch id (a
-    replay after a failure) overwrites only that partition, so the sink is idempotent. The
-    current table is the newest row per key by event time (ts, event_id, then batch id), so an
-    older event that arrives late cannot replace the list of a newer one. ``compact`` folds the
-    batches into a snapshot and removes what it holds, so both the reads and the listing stay
-    proportional to the number of keys and of batches since.
+    Every micro-batch writes its rows into a folder ``batch_id=<id>``; writing the same batch again (a
+    replay after a failure) replaces that folder, so the sink is idempotent, and a folder counts once
+    its write committed. The current table is the newest row per key by event time (ts, event_id, then
+    batch id), so an older event that arrives late cannot replace the list of a newer one. ``compact``
+    folds the batches into a snapshot and removes what it holds, so reads and listings stay
+    proportional to the number of keys and of batches since. Batches and snapshots lie in buckets by a
+    hash of the key: looking up some keys reads their buckets only.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str = "uid",
-                 order: Sequence[str] = ("ts", "event_id", "batch_id")):
+                 order: Sequence[str] = ("ts", "event_id", "batch_id"), schema: str | T.StructType = RECS_SCHEMA,
+                 buckets: int = 16):
         self.spark, self.path, self.key, self.order = spark, path.rstrip("/"), key, list(order)
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.buckets = int(buckets)
 
     @property
     def _batches(self) -> str:
         return f"{self.path}/batches"
 
+    def _write(self, df: DataFrame, path: str) -> None:
+        name = bucket_name(self.key, self.buckets)
+        df.withColumn(name, bucket_of(self.key, self.buckets)).hint("rebalance", name).write.mode("overwrite").partitionBy(name).parquet(path)
+
+    def _read(self, root: str, folders: list[str], part: str) -> DataFrame:
+        """The rows of committed ``folders`` of ``root``, which are named ``part=<number>``."""
+        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+        if part != "batch_id":
+            schema = schema.add(part, T.LongType())
+        schema = schema.add(bucket_name(self.key, self.buckets), T.IntegerType())
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*folders)
+
     def upsert(self, df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self._batches))
+        self._write(df.select(*self.schema.names), f"{self._batches}/batch_id={int(batch_id)}")
+
+    def _committed(self, root: str, part: str) -> list[int]:
+        """Numbers of the folders ``part=<number>`` whose write committed ``_SUCCESS``, by one listing."""
+        hpath, fs = _fs(self.spark, f"{root}/{part}=*/_SUCCESS")
+        found = fs.globStatus(hpath) or []
+        return sorted(int(f.getPath().getParent().getName().split("=", 1)[1]) for f in found)
 
     def _snapshots(self) -> list[int]:
-        """Ids of complete snapshots (a snapshot counts once its write committed ``_SUCCESS``)."""
-        ids = [int(d.split("=", 1)[1]) for d in list_subdirs(self.spark, self.path)
-               if d.startswith("snapshot=")]
-        return sorted(i for i in ids
-                      if path_exists(self.spark, f"{self.path}/snapshot={i}/_SUCCESS"))
-
-    def current(self, upto_batch: int | None = None) -> DataFrame:
-        """The newest row per key (over all batches, or over batches <= ``upto_batch``)."""
-        parts = []
+        return self._committed(self.path, "snapshot")
+
+    def current(self, upto_batch: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """The newest row per key (over all batches, or over batches <= ``upto_batch``); with ``keys`` (a frame
+        with the key column) of those keys only, read from their buckets."""
         snaps = [i for i in self._snapshots() if upto_batch is None or i < upto_batch]
-        floor = -1
-        if snaps:
-            floor = snaps[-1]
-            parts.append(self.spark.read.parquet(f"{self.path}/snapshot={floor}"))
-        if any(d.startswith("batch_id=") for d in list_subdirs(self.spark, self._batches)):
-            batches = self.spark.read.parquet(self._batches).where(F.col("batch_id") > floor)
-            if upto_batch is not None:
-                batches = batches.where(F.col("batch_id") <= upto_batch)
-            parts.append(batches)
+        floor = snaps[-1] if snaps else None
+        since = [i for i in self._committed(self._batches, "batch_id")
+                 if (floor is None or i > floor) and (upto_batch is None or i <= upto_batch)]
+        parts = []
+        if floor is not None:
+            parts.append(self._read(self.path, [f"{self.path}/snapshot={floor}"], "snapshot").drop("snapshot"))
+        if since:
+            parts.append(self._read(self._batches, [f"{self._batches}/batch_id={i}" for i in since], "batch_id"))
         if not parts:
-            return self.spark.createDataFrame([], "uid int, recs array<struct<mid:int,score:double>>")
-        rows = parts[0]
+            return self.spark.createDataFrame([], T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())]))
+        if keys is not None:
+            parts = [buckets_of(p, self.key, keys, self.key) for p in parts]
+        rows = parts[0].select(*self.schema.names, "batch_id")
         for p in parts[1:]:
-            rows = rows.unionByName(p, allowMissingColumns=True)
+            rows = rows.unionByName(p.select(*rows.columns))
+        if keys is not None:
+            rows = rows.join(keys.select(self.key).distinct(), self.key, "left_semi")
         payload = [c for c in rows.columns if c != self.key]
         # newest row per key; max_by is a partial aggregate, a hot key is combined map-side
         newest = rows.groupBy(self.key).agg(
@@ -166,9 +274,9 @@ class KeyedStore:
         """
         upto = int(upto_batch)
         if upto not in self._snapshots():
-            self.current(upto_batch=upto).write.mode("overwrite").parquet(f"{self.path}/snapshot={upto}")
-        for d in list_subdirs(self.spark, self._batches):
-            if d.startswith("batch_id=") and int(d.split("=", 1)[1]) <= upto:
-                drop_table(self.spark, f"{self._batches}/{d}")
+            self._write(self.current(upto_batch=upto), f"{self.path}/snapshot={upto}")
+        for i in self._committed(self._batches, "batch_id"):
+            if i <= upto:
+                drop_table(self.spark, f"{self._batches}/batch_id={i}")
         for i in self._snapshots()[:-2]:
             drop_table(self.spark, f"{self.path}/snapshot={i}")

@@ -4,11 +4,12 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelrank.operators import rerank
 from reelrank.operators.pivots import VectorIndex
 from reelrank.operators.similarity import cut_neighbours, item_similarity
-from reelrank.sources.tables import write_lookup_table
+from reelrank.sources.tables import read_table, write_lookup_table
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def case(spark, tmp_path_factory):
     read = {}
     for name, df, key in (("sims", lists, "mid"), ("cut", cut, "mid"), ("rated", rerank.rated_pairs(er), "uid"), ("recent", rerank.recent_ratings(er), "uid")):
         write_lookup_table(df, f"{root}/{name}", key, 4)
-        read[name] = spark.read.parquet(f"{root}/{name}")
+        read[name] = read_table(spark, f"{root}/{name}")
     index = VectorIndex.write(v, f"{root}/vectors", block_rows=20, buckets=4)
     return er, whole, read, rerank.BeyondStored(read["cut"], index, 0.25)
 
@@ -46,15 +47,36 @@ def test_cut_table_gives_whole_candidates_and_scores(case):
     assert rows_of(rerank.stream_scores(want, read["sims"], recent, 0.3)) != scores
 
 
-def test_every_scan_of_a_batch_is_pruned(spark, case):
-    """A micro-batch reads only the buckets and cells its events touch, and no job runs while it is planned."""
-    er, _, read, beyond = case
-    events = rerank.newest_per_user(er)
+def test_plans_read_only_what_the_events_touch(spark, case):
+    """No job runs while candidates and scores are planned, and every scan of a stored table has the touched
+    partitions as a filter."""
+    er, whole, read, beyond = case
+    events = rerank.newest_per_user(er).cache()
     before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
-    recs = rerank.recommend_events(events, read["sims"], read["rated"], read["recent"], threshold=0.3, beyond=beyond)
+    cand = rerank.stream_candidates(events, read["sims"], read["rated"], beyond=beyond)
+    scores = rerank.stream_scores(events, read["sims"], read["recent"], 0.3, beyond=beyond)
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
-    plan = spark._jvm.PythonSQLUtils.explainString(recs._jdf.queryExecution(), "formatted")
-    scans = re.findall(r"Location: InMemoryFileIndex \[[^\]]*?/(sims|cut|by-id|by-cell)[^\]]*\]\n(?:.*\n)*?ReadSchema", plan)
-    blocks = re.findall(r"(Location: InMemoryFileIndex \[[^\]]*?/(?:sims|cut|by-id|by-cell)[^\]]*\](?:\n.*)*?\nReadSchema)", plan)
-    assert set(scans) == {"sims", "cut", "by-id", "by-cell"}
-    assert all("dynamicpruningexpression" in b for b in blocks), [b for b in blocks if "dynamicpruning" not in b]
+    for df, tables in ((cand, {"sims", "cut", "rated", "by-id", "by-cell"}), (scores, {"sims", "cut", "recent", "by-id"})):
+        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        scans = [b for b in re.split(r"\n\n+", plan) if "Location: InMemoryFileIndex" in b]
+        names = [re.search(r"/(sims|cut|rated|recent|by-id|by-cell)\b", b).group(1) for b in scans]
+        assert set(names) == tables
+        assert all(re.search(r"PartitionFilters: .*array_contains\(Subquery", b) for b in scans), scans
+
+
+def test_other_buckets_are_not_opened(spark, tmp_path):
+    from reelrank.sources.tables import bucket_of, buckets_of
+    path = tmp_path / "t"
+    write_lookup_table(spark.range(200).selectExpr("CAST(id AS INT) AS mid", "id AS x"), str(path), "mid", 8)
+    keys = spark.createDataFrame([(5,), (6,), (5,)], "k int")
+    hit = {r[0] for r in keys.select(bucket_of("k", 8)).collect()}
+    table = read_table(spark, str(path))
+    for d in path.glob("v*/mid_b8=*"):
+        if int(d.name.split("=")[1]) not in hit:
+            for f in d.glob("*.parquet"):
+                f.write_bytes(b"broken")
+            for f in d.glob(".*.crc"):
+                f.unlink()
+    rows = buckets_of(table, "mid", keys, "k").join(keys, F.col("mid") == F.col("k"), "left_semi").collect()
+    assert sorted(r.x for r in rows) == [5, 6]
+    assert buckets_of(table, "mid", keys.where("k > 9"), "k").count() == 0

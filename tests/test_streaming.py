@@ -83,7 +83,7 @@ def test_recent_state_stream_keeps_newest(spark, tmp_path):
     src = str(tmp_path / "src")
     spark.createDataFrame(rows1, "value string, event_id long").write.parquet(src + "/a=1")
     spark.createDataFrame(rows2, "value string, event_id long").write.parquet(src + "/a=2")
-    store = KeyedStore(spark, str(tmp_path / "store"), order=("batch_id",))
+    store = state.recent_store(spark, str(tmp_path / "store"), buckets=4)
     q = state.start_recent_stream(streaming.file_messages(spark, src, max_files_per_trigger=1), store,
                                   str(tmp_path / "ckpt"), k=21, available_now=True)
     q.awaitTermination()
@@ -123,31 +123,8 @@ def test_stream_compaction_keeps_result(spark, tmp_path):
     assert got == want
 
 
-def test_bucketed_lookup_tables_prune_and_match(spark, tmp_path):
-    from pyspark import StorageLevel
-    from reelrank.sources.tables import find_bucket, write_lookup_table
-    from reelrank.streaming.recommender import _for_users
-    er, sims, rated, recent, truth = _batch_truth(spark)
-    paths = {}
-    for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
-        paths[name] = str(tmp_path / name)
-        write_lookup_table(df, paths[name], key, buckets=8)
-    S, R, RC = (spark.read.parquet(paths[n]) for n in ("sims", "rated", "recent"))
-    assert find_bucket(S, "mid") == ("mid_b8", 8) and find_bucket(R, "uid") == ("uid_b8", 8)
-    cached = er.select("uid", "mid", "score", "ts", "event_id").persist(StorageLevel.MEMORY_AND_DISK)
-    events = rerank.newest_per_user(cached)
-    users = events.select("uid").distinct()
-    recs = rerank.recommend_events(events, S, _for_users(R, users), _for_users(RC, users), threshold=0.3)
-    got = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in recs.collect()}
-    want = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in truth.collect()}
-    assert got == want
-    plan = spark._jvm.PythonSQLUtils.explainString(recs._jdf.queryExecution(), "formatted")
-    assert "dynamicpruningexpression" in plan
-    cached.unpersist()
-
-
 def test_stream_over_bucketed_tables_equals_batch(spark, tmp_path):
-    from reelrank.sources.tables import write_lookup_table
+    from reelrank.sources.tables import read_table, write_lookup_table
     er, sims, rated, recent, truth = _batch_truth(spark)
     paths = {}
     for name, df, key in (("sims", sims, "mid"), ("rated", rated, "uid"), ("recent", recent, "uid")):
@@ -159,7 +136,7 @@ def test_stream_over_bucketed_tables_equals_batch(spark, tmp_path):
     msgs.write.partitionBy("part").parquet(str(tmp_path / "src"))
     store = KeyedStore(spark, str(tmp_path / "recs"))
     q = streaming.start_stream(streaming.file_messages(spark, str(tmp_path / "src"), max_files_per_trigger=4),
-                               *(spark.read.parquet(paths[n]) for n in ("sims", "rated", "recent")),
+                               *(read_table(spark, paths[n]) for n in ("sims", "rated", "recent")),
                                store, str(tmp_path / "ckpt"), available_now=True, threshold=0.3)
     q.awaitTermination()
     got = {r.uid: [(x.mid, round(x.score, 9)) for x in r.recs] for r in store.current().collect()}
@@ -182,3 +159,106 @@ def test_shared_folder_is_required_on_a_cluster():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context)
     with pytest.raises(RuntimeError):
         checkpoint_root(session)
+
+
+def _recent_rows(spark, src, store, ckpt, **kw):
+    from reelrank.streaming import state
+    state.start_recent_stream(streaming.file_messages(spark, src, max_files_per_trigger=1), store, ckpt, available_now=True, **kw).awaitTermination()
+    return sorted((r.uid, r.pos, r.mid) for r in state.recent_table(store).collect())
+
+
+def test_recent_state_restarts_compacts_and_takes_a_hot_user(spark, tmp_path):
+    """A third of all rows are one user's; the stream stops, starts again and folds every second batch."""
+    import random
+
+    from reelrank.streaming import state
+    rng = random.Random(4)
+    rows = [(1 if i % 3 == 0 else rng.randrange(2, 40), rng.randrange(100), rng.randrange(1, 6) / 1.0, rng.randrange(500), i) for i in range(900)]
+    events = spark.createDataFrame(rows, "uid int, mid int, score double, ts long, event_id long")
+    src, store = str(tmp_path / "src"), state.recent_store(spark, str(tmp_path / "store"), buckets=8)
+    half = loaders.render_lines(events, "|", keep=("event_id",))
+    half.where("event_id < 300").coalesce(2).write.parquet(src + "/a=1")
+    first = _recent_rows(spark, src, store, str(tmp_path / "ckpt"), compact_every=2)
+    assert first == sorted((r.uid, r.pos, r.mid) for r in rerank.recent_ratings(events.where("event_id < 300")).collect())
+    half.where("event_id >= 300").coalesce(3).write.parquet(src + "/a=2")
+    again = state.recent_store(spark, str(tmp_path / "store"), buckets=8)
+    assert _recent_rows(spark, src, again, str(tmp_path / "ckpt"), compact_every=2) == sorted(
+        (r.uid, r.pos, r.mid) for r in rerank.recent_ratings(events).collect())
+    assert again._snapshots()
+    few = events.where("uid = 7").select("uid")
+    plan = spark._jvm.PythonSQLUtils.explainString(again.current(keys=few)._jdf.queryExecution(), "formatted")
+    scans = [b for b in plan.split("\n\n") if "Location: InMemoryFileIndex" in b and "uid_b8" in b]
+    assert scans and all("array_contains(Subquery" in b for b in scans)
+    assert {r.uid for r in again.current(keys=few).collect()} == {7}
+
+
+def test_store_reads_only_committed_batches(spark, tmp_path):
+    store = KeyedStore(spark, str(tmp_path / "s"), buckets=4)
+    rows = spark.createDataFrame([(1, [(5, 1.0)], 10, 1), (2, [], 10, 2)], store.schema)
+    assert store.current().count() == 0
+    store.upsert(rows, 0)
+    store.upsert(rows.withColumn("ts", F.lit(99).cast("long")).where("uid = 1"), 1)
+    (tmp_path / "s" / "batches" / "batch_id=1" / "_SUCCESS").unlink()  # batch 1 broke off
+    assert {r.uid: r.ts for r in store.current().collect()} == {1: 10, 2: 10}
+    store.upsert(rows.where("uid = 2").withColumn("ts", F.lit(50).cast("long")), 1)  # and ran again: nothing of it is left
+    assert {r.uid: r.ts for r in store.current().collect()} == {1: 10, 2: 50}
+    store.upsert(rows.where("false"), 2)
+    store.compact(2)
+    assert {r.uid: r.ts for r in store.current().collect()} == {1: 10, 2: 50}
+
+
+def test_publish_keeps_readers_and_survives_a_crash(spark, tmp_path, monkeypatch):
+    from reelrank.sources import tables
+    path = str(tmp_path / "t")
+    tables.overwrite_table(spark.range(5), path)
+    held = tables.read_table(spark, path)
+    tables.overwrite_table(spark.range(100, 103), path)
+    assert held.count() == 5 and sorted(r.id for r in tables.read_table(spark, path).collect()) == [100, 101, 102]
+
+    def crash(*args):
+        raise RuntimeError("gone")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "publish_version", crash)
+        try:
+            tables.overwrite_table(spark.range(7), path)
+        except RuntimeError:
+            pass
+    assert tables.read_table(spark, path).count() == 3  # the version that was not published is not seen
+    for n in (8, 9, 10):
+        tables.overwrite_table(spark.range(n).withColumn("x", F.lit(1)), path)
+    assert tables.read_table(spark, path).count() == 10 and "x" in tables.read_table(spark, path).columns
+    left = [d.name for d in (tmp_path / "t").iterdir() if d.is_dir()]
+    assert len(left) == 2  # the current one and the one before
+    tables.drop_table(spark, path)
+    assert tables.current_version(spark, path) is None
+
+
+def test_timed_batches_with_observed_counts_and_graceful_stop(spark, tmp_path):
+    import time
+    er, sims, rated, recent, _ = _batch_truth(spark)
+    msgs = loaders.render_lines(er.select("uid", "mid", "score", "ts", "event_id"), "|", " ", keep=("event_id",)).cache()
+    bad = spark.createDataFrame([("nothing", 10**9), ("1|2", 10**9 + 1)], "value string, event_id long")
+    src, store, metrics = str(tmp_path / "src"), KeyedStore(spark, str(tmp_path / "recs"), buckets=4), streaming.BatchMetrics()
+    msgs.where("event_id % 2 = 0").unionByName(bad).coalesce(1).write.parquet(src + "/a=1")
+    q = streaming.start_stream(streaming.file_messages(spark, src, max_files_per_trigger=1), sims, rated, recent, store,
+                               str(tmp_path / "ckpt"), interval="2 seconds", threshold=0.3, metrics=metrics)
+    try:
+        q.processAllAvailable()
+        msgs.where("event_id % 2 = 1").coalesce(1).write.parquet(src + "/a=2")
+        streaming.stop_gracefully(q)
+        assert not q.isActive and q.exception() is None
+        for _ in range(50):  # progress comes on the listener's own thread
+            if metrics.ended and len(metrics.batches) == 2:
+                break
+            time.sleep(0.2)
+    finally:
+        q.stop()
+        spark.streams.removeListener(metrics)
+    assert sorted(metrics.batches) == [0, 1]
+    for batch_id, rest in ((0, 0), (1, 1)):
+        mine = er.where(F.col("event_id") % 2 == rest)
+        stored = spark.read.parquet(str(tmp_path / "recs" / "batches" / f"batch_id={batch_id}"))
+        n = mine.count()
+        assert metrics.batches[batch_id] == {
+            "messages": n + 2 * (rest == 0), "rejects": 2 * (rest == 0), "lists": mine.select("uid").distinct().count(),
+            "entries": stored.agg(F.sum(F.size("recs"))).first()[0]}
