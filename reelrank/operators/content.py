@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from ..constants import CONTENT_FEATURES, ITEM_SIM_THRESHOLD, STORED_NEIGHBOURS
 from ..session import checkpoint_root
+from ..sources.tables import stored
 from .similarity import cosine_pairs
+from .sparse import sparse_cosine_pairs, sparse_long
 from .topk import rank_within
 
 
@@ -85,6 +87,23 @@ def content_signatures(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
     return members, pairs
 
 
+def content_signatures_wide(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
+                            n_features: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+    """``content_signatures`` for any number of features: vectors stay sparse, and similar ones are found by
+    inverted lists over dimensions (``sparse.sparse_cosine_pairs``) instead of block products.
+
+    A vector without a weight (every term in all movies) is similar to nothing, itself included."""
+    tf = stored(content_tf(content_words(movies), n_features).select("mid", "rawFeatures"), "wide-tf")
+    model = IDF(inputCol="rawFeatures", outputCol="features").fit(tf)
+    feats = model.transform(tf).select("mid", "features", F.unwrap_udt("features").alias("sig"))
+    feats = feats.withColumn("sig", F.struct("sig.type", "sig.indices", "sig.values"))
+    sigs = stored(feats.groupBy("sig").agg(F.min("mid").alias("sid"), F.first("features").alias("features")), "wide-signatures")
+    members = feats.select("mid", "sig").join(sigs.select("sig", "sid"), "sig").select("sid", "mid")
+    entries = stored(sparse_long(sigs, "sid", "features"), "wide-entries")
+    same = entries.select("sid").distinct().select("sid", F.col("sid").alias("sid2"), F.lit(1.0).alias("sim"))
+    return stored(members, "wide-members"), sparse_cosine_pairs(entries, threshold).unionByName(same)
+
+
 def content_similarity(movies: DataFrame, threshold: float = ITEM_SIM_THRESHOLD,
                        n_features: int = CONTENT_FEATURES, block_rows: int = 1024,
                        k: int = STORED_NEIGHBOURS) -> DataFrame:

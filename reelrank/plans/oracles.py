@@ -5,7 +5,7 @@ The domain views of FIXTURES.md §2 are inlined as CTEs over the driver's raw ta
 
 from __future__ import annotations
 
-from ..constants import GENRES
+from ..constants import ALS_GRID_RANKS, ALS_GRID_REGS, GENRES
 
 _G = "[" + ", ".join(f"'{g}'" for g in GENRES) + "]"
 
@@ -183,6 +183,20 @@ SELECT mid, CAST(row_number() OVER (PARTITION BY mid ORDER BY round(sim, 12) DES
 , sig AS (SELECT mid, list((dim, tf) ORDER BY dim) AS s FROM tf GROUP BY mid)
 SELECT sig.mid, min(sig.mid) OVER (PARTITION BY s) AS sid, 1 + n AS n_similar
 FROM sig JOIN (SELECT mid, count(*) AS n FROM content_pairs GROUP BY mid) USING (mid)"""),
+    "content_signatures_wide": _with(["movies", "words"], """
+, terms AS (SELECT mid, token AS dim, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT mid, unnest(words) AS token FROM words) GROUP BY ALL),
+weights AS (
+  SELECT t.mid, t.dim, t.tf, t.tf * ln((n.m + 1.0) / (d.df + 1.0)) AS w
+  FROM terms t JOIN (SELECT dim, count(*) AS df FROM terms GROUP BY dim) d USING (dim), (SELECT count(*) AS m FROM movies) n),
+lengths AS (SELECT mid, sqrt(sum(w * w)) AS n, list((dim, tf) ORDER BY dim) AS s FROM weights GROUP BY mid),
+close AS (
+  SELECT d.mid, d.mid2 FROM (
+    SELECT a.mid, b.mid AS mid2, sum(a.w * b.w) AS dot FROM weights a JOIN weights b ON a.dim = b.dim GROUP BY a.mid, b.mid) d
+  JOIN lengths x ON x.mid = d.mid JOIN lengths y ON y.mid = d.mid2 WHERE x.n > 0 AND y.n > 0 AND d.dot / (x.n * y.n) > 0.6)
+SELECT l.mid, min(l.mid) OVER (PARTITION BY s) AS sid, c.n AS n_similar
+FROM lengths l JOIN (SELECT mid, count(*) AS n FROM close GROUP BY mid) c USING (mid)"""),
+    "unrated_tags": _with(["ratings", "tags"], """
+SELECT uid, mid, tag, "timestamp" FROM tags t WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.uid = t.uid AND r.mid = t.mid)"""),
     "recent_ratings": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
     "recent_items": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
     "recent_ratings_stream": _with(["event_ratings", "recent"], "SELECT uid, pos, mid, score FROM recent"),
@@ -206,9 +220,11 @@ UNION ALL SELECT 'tag', mid, count(*), min(uid) FROM tags GROUP BY mid"""),
 SELECT uid, least(20, (SELECT count(DISTINCT mid) FROM ratings)) AS n_recs, true AS ok FROM ratings GROUP BY uid"""),
     "als_item_recs": _with(["ratings"], "SELECT DISTINCT mid, true AS ok FROM ratings"),
     "als_predict_pairs": _with(["ratings", "split"], _SCORED + """
-SELECT uid, mid, count(*) AS n, true AS finite FROM scored GROUP BY uid, mid"""),
-    "als_rmse": _with(["ratings", "split"], _SCORED + "SELECT count(*) AS n, true AS in_scale FROM scored"),
-    "als_grid_search": "SELECT CAST(15 AS BIGINT) AS n_models, true AS best_is_least",
+SELECT uid, mid, count(*) AS n, true AS same FROM scored GROUP BY uid, mid"""),
+    "als_rmse": _with(["ratings", "split"], _SCORED + "SELECT count(*) AS n, true AS same FROM scored"),
+    "als_grid_search": f"""
+SELECT CAST(rank AS INTEGER) AS rank, CAST("lambda" AS DOUBLE) AS "lambda", true AS measured, true AS best_is_least
+FROM (SELECT unnest({list(ALS_GRID_RANKS)}) AS rank), (SELECT unnest({list(ALS_GRID_REGS)}) AS "lambda")""",
     "rating_rmse": _with(["ratings", "split"], """
 SELECT round(sqrt(avg(pow(t.score - m.prediction, 2))), 6) AS rmse, count(*) AS n
 FROM (SELECT * FROM split WHERE NOT is_train) t

@@ -185,6 +185,20 @@ def write_lookup_table(df: DataFrame, path: str, key: str, buckets: int = LOOKUP
     publish_version(df.sparkSession, path, version)
 
 
+def write_catalog_table(df: DataFrame, name: str, key: Sequence[str], buckets: int = LOOKUP_BUCKETS) -> DataFrame:
+    """K3 as a catalog table: hashed into ``buckets`` by the whole ``key`` and sorted by it within each.
+
+    A join or aggregate on exactly that key reads the buckets as they lie, without a shuffle of this
+    side; the other side is shuffled to the bucket count. Give at least as many buckets as
+    ``spark.sql.shuffle.partitions``, or Spark prefers to shuffle both. The data lie under the shared
+    folder; the name, made unique, lives in the session's catalog."""
+    spark = df.sparkSession
+    unique = f"{name}_{uuid.uuid4().hex[:12]}"
+    parts = df.repartition(int(buckets), *key)  # one file a bucket
+    parts.write.bucketBy(int(buckets), *key).sortBy(*key).option("path", shared_path(spark, f"catalog-{name}")).saveAsTable(unique)
+    return spark.table(unique)
+
+
 #: Rows of the StreamRecs store; ``event_id`` may be of another type (a struct for Kafka).
 RECS_SCHEMA = "uid int, recs array<struct<mid:int,score:double>>, ts long, event_id long"
 

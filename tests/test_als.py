@@ -110,3 +110,32 @@ def test_user_recs_exclude_seen_equals_brute_force(ratings, model):
         want = [int(mids[j]) for j in order if s[j] > 0 and int(mids[j]) not in seen.get(uid, set())][:5]
         assert lst == want
         assert not set(lst) & seen.get(uid, set())
+
+
+def test_grid_equals_a_loop_over_the_same_split(ratings):
+    fitted = als.als_grid_fit(ratings, ranks=[2, 5], regs=[0.01, 0.3], iters=3)
+    grid = {(r["rank"], r["lambda"]): r["rmse"] for r in als.grid_table(ratings.sparkSession, fitted).collect()}
+    data = ratings.select("uid", "mid", F.col("score").cast("float").alias("score")).repartition(als.ALS_BLOCKS, "uid").sortWithinPartitions("uid", "mid", "score")
+    drawn = data.withColumn("draw", F.rand(als.DEFAULT_SEED)).cache()
+    train, test = drawn.where("draw < 0.8").drop("draw").cache(), drawn.where("draw >= 0.8").drop("draw").cache()
+    loop = {}
+    for rank in (2, 5):
+        for reg in (0.01, 0.3):
+            model = als.als_estimator(rank, 3, reg).fit(train)
+            loop[rank, reg] = als.rmse_of(als.predict_pairs(model, test.select("uid", "mid").distinct()), test).first()["rmse"]
+    assert set(grid) == set(loop) and all(abs(grid[k] - loop[k]) < 1e-3 for k in grid)
+    assert min(grid, key=grid.get) == min(loop, key=loop.get)
+    assert fitted.bestModel.rank == min(grid, key=grid.get)[0]
+
+
+@pytest.mark.parametrize("name", ["als_user_recs", "als_item_recs"])
+def test_list_checks_see_a_wrong_value(spark, name, monkeypatch):
+    from reelrank.plans import queries
+    assert all(r.ok for r in QUERIES[name](spark, SF).collect())
+    if name == "als_user_recs":
+        right = queries.als_user_lists
+        monkeypatch.setattr(queries, "als_user_lists", lambda s, d: right(s, d).withColumn("score", F.col("score") + F.when(F.col("uid") % 5 == 0, 1e-3).otherwise(0)))
+    else:
+        right = queries.als_item_lists
+        monkeypatch.setattr(queries, "als_item_lists", lambda s, d: right(s, d).where("NOT (rank = 1 AND mid % 5 = 0)"))
+    assert not all(r.ok for r in QUERIES[name](spark, SF).collect())

@@ -61,3 +61,29 @@ def test_render_then_load_roundtrip(spark, tmp_path):
     loaders.render_lines(df, ",").write.text(path)
     back = loaders.load_ratings(spark, path).orderBy("uid").collect()
     assert [tuple(r) for r in back] == [(1, 2, 3.5, 10), (4, 5, 1.0, 20)]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_catalog_table_is_joined_as_it_lies(spark):
+    """The anti join shuffles the tags only; the stored pairs keep their buckets."""
+    from reelrank.plans.queries import QUERIES
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["unrated_tags"](spark, SF)
+        df.collect()
+        lines = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0].splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    at = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+    above, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < level:
+            level = depth(line)
+            above.append(line)
+    join = next(i for i, line in enumerate(above) if "SortMergeJoin" in line)
+    assert join > 0 and not any("Exchange" in line or "Shuffle" in line for line in above[:join])
