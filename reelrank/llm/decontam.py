@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, texts
+from .common import freeing, materialise, texts
 
 #: ASCII white space, punctuation and controls become spaces; other bytes stay.
 _ASCII = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -240,7 +240,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, least
     for b in range(blocks if total else 0):
         block = sized.where(F.pmod("draw", F.lit(blocks)) == b).select("item_id", "text").collect()
         shipped = spark.sparkContext.broadcast([(r.item_id, normalise(r.text)) for r in block])
-        out = out.unionByName(plain.mapInArrow(_scan(shipped, rate, least, bounded), HITS))
+        out = out.unionByName(plain.mapInArrow(freeing(_scan(shipped, rate, least, bounded)), HITS))
     return out
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from reelrank.session import ship_package
 
-from .common import materialise, slices, texts
+from .common import freeing, materialise, slices, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a block of the chain, and in a training chain.
@@ -303,7 +303,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM x languages floats and a square matrix
     return texts(docs).withColumn("held_out", held_out()).mapInArrow(
-        _predict(shared), "doc_id long, held_out boolean, lang_pred string, score double")
+        freeing(_predict(shared)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def _filter(model_of, at: int, least: float):
@@ -326,7 +326,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFr
     if not model.languages:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_filter(shared, docs.columns.index("text"), least), docs.schema)
+    return docs.mapInArrow(freeing(_filter(shared, docs.columns.index("text"), least)), docs.schema)
 
 
 def op10_language_id(docs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import materialise, slices, texts
+from .common import freeing, materialise, slices, texts
 
 END = 2
 #: Items that one best-fit call packs at once; a task's input is taken in chunks of this many.
@@ -51,7 +51,7 @@ def _pieces(capacity: int, path: str | None):
 def pieces(docs: DataFrame, capacity: int = 1024, tokenizer_path: str | None = None) -> DataFrame:
     """Token pieces of every document: its ids and an end id, cut if longer than ``capacity``."""
     return texts(docs).withColumn("text", F.coalesce("text", F.lit(""))).mapInArrow(
-        _pieces(capacity, tokenizer_path), PIECES)
+        freeing(_pieces(capacity, tokenizer_path)), PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

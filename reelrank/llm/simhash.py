@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialise, texts
+from .common import connected_components, freeing, materialise, texts
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Generator polynomial of the [23, 12] Golay code: x^11+x^10+x^6+x^5+x^4+x^2+1.
@@ -62,7 +62,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
-    return texts(docs).mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    return texts(docs).mapInArrow(freeing(_fingerprints(shingle)), "doc_id long, fp long")
 
 
 @lru_cache(1)

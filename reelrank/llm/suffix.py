@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices, texts
+from .common import freeing, materialise, slices, texts
 
 REACH = 136
 GRAM = 16
@@ -44,6 +44,8 @@ SORT = 8000
 SHORT = 6
 #: Share of the texts that splitters are taken from.
 SAMPLE = 0.02
+#: Least number of rows that makes a key hot.
+HOT = 10_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -177,12 +179,12 @@ def _emit_leading(span: int):
     return run
 
 
-def _emit_bundles(span: int, splitters: list[int]):
-    """(..., text, wanted: [(key, ctx, alone)]) -> bundles, one for each wanted digest."""
+def _emit_bundles(span: int, splitters: list[int], at: int):
+    """(..., text in column ``at``, ..., wanted: [(key, ctx, alone)]) -> bundles, one for each wanted digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, whole.num_columns - 2, 512)):
+        for batch in (part for whole in batches for part in slices(whole, at, 512)):
             rows = []
-            for value, wanted in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1).to_pylist()):
+            for value, wanted in zip(batch.column(at), batch.column(batch.num_columns - 1).to_pylist()):
                 text = _bytes(value)
                 left = {(w["key"], w["ctx"]): w["alone"] for w in wanted}
                 contexts = np.array([c for _, c in left], np.int64)
@@ -463,7 +465,7 @@ def remove_repeats(docs: DataFrame, span: int = 200, crowd: int = 20_000) -> Dat
     """
     whole, hits, (dk, found) = _hits(texts(docs), span, crowd)
     return whole.join(hits, dk, "left").select("doc_id", "text", found).mapInArrow(
-        _remove(span), "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<begin: long, end: long>>")
+        freeing(_remove(span)), "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<begin: long, end: long>>")
 
 
 def drop_repeats(docs: DataFrame, span: int = 200, crowd: int = 20_000) -> DataFrame:
@@ -475,10 +477,18 @@ def drop_repeats(docs: DataFrame, span: int = 200, crowd: int = 20_000) -> DataF
     texts(docs)
     whole, hits, (dk, found) = _hits(docs, span, crowd)
     out = whole.join(hits, dk, "left").select(*docs.columns, found).mapInArrow(
-        _replace(span, docs.columns.index("text")), docs.schema)
+        freeing(_replace(span, docs.columns.index("text"))), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
+def _hot_join(rows: DataFrame, table: DataFrame, keys: list[str], hot: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row a key and its number of ``rows``. Keys with more than ``hot`` rows
+    are broadcast, so none of their rows meet in one task."""
+    many = F.broadcast(table.where(F.col("rows") > hot).drop("rows"))
+    few = table.where(F.col("rows") <= hot).drop("rows")
+    return rows.join(many, keys).unionByName(rows.join(many.select(*keys), keys, "left_anti").join(few, keys).select(*rows.join(many, keys).columns))
+
+
 def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame, tuple[str, str]]:
     """``docs`` with the text as bytes and a routing key, (key, hits) of the texts that hold repeats,
     and the names of these two columns, which ``docs`` does not have."""
@@ -492,13 +502,20 @@ def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame,
     # the routing key only brings rows together: two documents that share one do no harm
     whole = docs.withColumn("text", F.col("text").cast("string").cast("binary")).withColumn(
         route, F.xxhash64("doc_id", "text"))
-    rows = whole.select(F.col(route).alias("dk"), "text").mapInArrow(_grouped(_emit_anchors(span)), "dk long, key long, ctx long, n long")
-    shared = rows.groupBy("key").agg(F.sum("n").alias("all"), (F.min("ctx") != F.max("ctx")).alias("mixed")).where(
-        F.col("all") > 1).select("key", "mixed")
-    found = materialise(rows.join(shared, "key"), "suffix-shared")
-    mixed = found.where("mixed").groupBy("key", "ctx").agg(F.sum("n").alias("n"), F.min("dk").alias("dk"))
-    crowds = mixed.groupBy("key").agg((F.count("*") > crowd).alias("crowded"))
-    mixed = materialise(mixed.join(crowds, "key").select("key", "ctx", (F.col("n") == 1).alias("alone"), "dk", "crowded"), "suffix-mixed")
+    rows = materialise(whole.select(F.col(route).alias("dk"), "text").mapInArrow(
+        freeing(_grouped(_emit_anchors(span))), "dk long, key long, ctx long, n long"), "suffix-anchors")
+    # no more than a million keys can have as many rows: these are joined by broadcast, where the rows lie
+    hot = max(HOT, rows.count() // 1_000_000)
+    shared = materialise(rows.groupBy("key").agg(
+        F.sum("n").alias("all"), (F.min("ctx") != F.max("ctx")).alias("mixed"), F.count("*").alias("rows")).where(
+        F.col("all") > 1).select("key", "mixed", "rows"), "suffix-keys")
+    found = materialise(_hot_join(rows, shared, ["key"], hot), "suffix-shared")
+    mixed = materialise(found.where("mixed").groupBy("key", "ctx").agg(
+        F.sum("n").alias("n"), F.min("dk").alias("dk"), F.count("*").alias("rows")), "suffix-pairs")
+    crowds = mixed.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > crowd).select("key", "rows", F.lit(True).alias("crowded"))
+    crowds = materialise(crowds, "suffix-crowds")
+    mixed = mixed.join(F.broadcast(crowds.drop("rows")) if crowds.count() <= 1_000_000 else crowds.drop("rows"), "key", "left")
+    mixed = mixed.withColumn("crowded", F.coalesce("crowded", F.lit(False))).withColumn("alone", F.col("n") == 1)
 
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     splitters = []
@@ -511,21 +528,27 @@ def _hits(docs: DataFrame, span: int, crowd: int) -> tuple[DataFrame, DataFrame,
         wanted = mixed.where(F.col("crowded") == crowded).groupBy(F.col("dk").alias(route)).agg(
             F.collect_list(F.struct("key", "ctx", "alone")).alias(found_hits))
         # all columns go along, so that this and the last join of the texts share one shuffle
-        return whole.join(wanted, route).select(*docs.columns, route, F.col("text").alias("data"), found_hits).mapInArrow(
-            _emit_bundles(span, splitters), BUNDLE)
+        return whole.join(wanted, route).select(*docs.columns, route, found_hits)
+
+    text_at = docs.columns.index("text")
 
     lead = F.expr(f"substring(context, at + 1, {span - REACH + 1})")
-    ties = bundles(False).repartitionById(buckets, F.col("bucket")).sortWithinPartitions(lead).select(
-        "key", "ctx", "alone", "context", "at").mapInArrow(_sort_bucket(span), MASKS)
-    windows = bundles(True).mapInArrow(_grouped(_emit_windows(span)), "w1 long, w2 long, key long, ctx long, alone boolean, o int")
+    ties = bundles(False).mapInArrow(freeing(_emit_bundles(span, splitters, text_at)), BUNDLE).repartitionById(buckets, F.col("bucket")).sortWithinPartitions(lead).select(
+        "key", "ctx", "alone", "context", "at").mapInArrow(freeing(_sort_bucket(span)), MASKS)
+    emit, window = _emit_bundles(span, splitters, text_at), _grouped(_emit_windows(span))
+    windows = bundles(True).mapInArrow(freeing(lambda batches: window(emit(batches))), "w1 long, w2 long, key long, ctx long, alone boolean, o int")
     # with ties for the least hash a window has several anchors: it is counted once for each distance
     again = windows.groupBy("w1", "w2", "o").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2", "o")
     crowd_ties = windows.where("alone").join(again, ["w1", "w2", "o"]).groupBy("key", "ctx").agg(F.collect_list("o").alias("o")).mapInArrow(
         _pack_masks, MASKS)
-    entire = mixed.where("NOT alone").select("key", "ctx", F.lit(None).cast("binary").alias("mask"))
-    hits = found.where("mixed").join(entire.unionByName(ties).unionByName(crowd_ties), ["key", "ctx"]).select("dk", "ctx", "mask").unionByName(
-        found.where("NOT mixed").select("dk", "ctx", F.lit(None).cast("binary").alias("mask")))
-    hits = hits.groupBy(F.col("dk").alias(route)).agg(F.collect_list(F.struct("ctx", "mask")).alias(found_hits))
+    none = F.lit(None).cast("binary").alias("mask")
+    marks = mixed.where("NOT alone").select("key", "ctx", none, "rows")
+    for part in (ties, crowd_ties):
+        marks = marks.unionByName(part.withColumn("rows", F.lit(1).cast("long")))
+    hits = _hot_join(found.where("mixed").select("dk", "key", "ctx"), marks, ["key", "ctx"], hot).select("dk", "ctx", "mask").unionByName(
+        found.where("NOT mixed").select("dk", "ctx", none))
+    # rows that repeat exactly share dk: their hits are the same and are kept once
+    hits = hits.groupBy(F.col("dk").alias(route)).agg(F.collect_set(F.struct("ctx", "mask")).alias(found_hits))
     return whole, hits, (route, found_hits)
 
 

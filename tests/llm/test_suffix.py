@@ -133,3 +133,29 @@ def test_buckets_against_counted_windows(monkeypatch, short, sort):
         for r in out.to_pylist():
             got[r["key"], r["ctx"]] = r["mask"]
     assert got == want and len(want) > 50
+
+
+def test_hot_keys_and_repeated_rows(spark, monkeypatch):
+    """With a key hot from its third row on, most joins are broadcast; rows that repeat exactly share a routing key."""
+    monkeypatch.setattr(S, "HOT", 2)
+    rng = random.Random(12)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(260))
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(50, 300))) + line + str(i) * 40) for i in range(30)]
+    rows += [(7, line * 3)] * 9 + [(None, line)] * 4 + [(100 + i, rows[3][1]) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept.decode()) for r in S.remove_repeats(docs).collect())
+    monkeypatch.setattr(S, "HOT", 10_000)
+    assert got == Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept.decode()) for r in S.remove_repeats(docs).collect())
+    assert got == Counter((i, len(t), len(t) - len(k), k) for (i, t), k in zip(rows, plain_kept([t for _, t in rows], 200)))
+
+
+def plain_kept(texts, span):
+    seen = Counter(t[i:i + span] for t in texts for i in range(len(t) - span + 1))
+    out = []
+    for t in texts:
+        gone = set()
+        for i in range(len(t) - span + 1):
+            if seen[t[i:i + span]] > 1:
+                gone.update(range(i, i + span))
+        out.append("".join(c for i, c in enumerate(t) if i not in gone))
+    return out
