@@ -15,6 +15,38 @@ def distance(p, t):
     return min(prev)
 
 
+def whole_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def whole_words(p, t, k):
+    """Least edits of ``p`` to any run of words of ``t``, if at most ``k``."""
+    words = t.split()
+    found = [whole_distance(p, " ".join(words[a:b])) for a in range(len(words)) for b in range(a + 1, len(words) + 1)
+             if abs(len(" ".join(words[a:b])) - len(p)) <= k]
+    return min((d for d in found if d <= k), default=None)
+
+
+def test_myers_from_is_the_distance_of_prefixes():
+    random.seed(5)
+    for _ in range(300):
+        p = "".join(random.choice("abc") for _ in range(random.randint(1, 80)))
+        t = "".join(random.choice("abc") for _ in range(random.randint(0, 40)))
+        assert list(D.myers_from(D.masks(p), len(p), t)) == [whole_distance(p, t[:n]) for n in range(1, len(t) + 1)]
+
+
+def test_begin_with_inserted_letters():
+    item = "seven wizards mix quartz and jade potions under the pale moon"
+    text = "and so seven wixxzards mix quartz and jade potions under the pale moon again"
+    (_, d, _, b, e, _), = D.Matcher([(1, item, 1)], 0.1).find(text)
+    assert (d, b, e) == (2, 7, len(text) - 6)
+
+
 def test_myers_is_the_edit_distance():
     random.seed(3)
     for _ in range(400):
@@ -35,10 +67,12 @@ def test_matcher_finds_all_within_budget():
             s[at:at + random.randint(0, 1)] = random.choice("abcdefgh ")
         pad = [" ".join(random.choice(words) for _ in range(random.randint(0, 12))) for _ in range(2)]
         texts.append(D.normalise(pad[0] + " " + "".join(s) + " " + pad[1]))
-    matcher = D.Matcher(items, 0.1, 25)
+    matcher = D.Matcher([(i, p, 1) for i, p in items], 0.1)
     for t in texts:
         want = {(i, distance(p, t)) for i, p in items if distance(p, t) <= int(0.1 * len(p))}
-        assert {(i, d) for i, d, *_ in matcher.find(t)} == want
+        got = matcher.find(t)
+        assert {(i, d) for i, d, *_ in got} == want
+        assert all(whole_distance(items[i][1], t[b:e]) == d for i, d, _, b, e, _ in got)
 
 
 def brute(docs, benchmark, rate):
@@ -48,7 +82,7 @@ def brute(docs, benchmark, rate):
         t = D.normalise(r.text)
         for i, p in items:
             if len(p) < 25:
-                hit = 0 if p and p == t else None
+                hit = whole_words(p, t, int(rate * len(p))) if p and len(t) < 1000 else 0 if p and f" {p} " in f" {t} " else None
             else:
                 k = int(rate * len(p))
                 hit = 0 if p in t else None
@@ -77,10 +111,13 @@ def test_edges(edge_docs, no_docs, edge_bench):
     for block in (8 << 20, 1):
         got = D.contaminated(edge_docs, edge_bench, block_bytes=block).collect()
         assert sorted(((r.doc_id, r.item_id, r.distance) for r in got), key=str) == brute(edge_docs, edge_bench, 0.1)
+    got = D.op2_decontamination(edge_docs, edge_bench).collect()
+    assert sorted(((r.doc_id, r.item_id, r.distance) for r in got), key=str) == brute(edge_docs, edge_bench, 0.1)
     assert {r.doc_id for r in got} == {4, 5, None, 13}
-    assert D.contaminated(no_docs, edge_bench).count() == 0
-    assert D.contaminated(edge_docs, edge_bench.where("false")).count() == 0
-    kept = D.decontaminate(edge_docs, edge_bench)
-    assert kept.columns == edge_docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(
-        (r.doc_id for r in edge_docs.collect() if r.doc_id not in (4, 5, 13)), key=str)
+    assert D.op2_decontamination(no_docs, edge_bench).count() == 0
+    assert D.op2_decontamination(edge_docs, edge_bench.where("false")).count() == 0
+    hit = [r.text for r in edge_docs.collect() if r.doc_id in (4, 5, 13)]
+    for block in (8 << 20, 1):  # every row by its own text, rows without an id too
+        kept = D.decontaminate(edge_docs, edge_bench, block_bytes=block)
+        assert kept.columns == edge_docs.columns
+        assert sorted(map(str, kept.collect())) == sorted(str(r) for r in edge_docs.collect() if r.text is None or r.text not in hit)

@@ -2,12 +2,7 @@ import random
 
 from reelrank.llm import decontam as D
 
-
-def whole_words(p, t, k):
-    """Least edits of ``p`` to any run of words of ``t``, if at most ``k``."""
-    words = t.split()
-    found = [D.edits(p, " ".join(words[a:b])) for a in range(len(words)) for b in range(a + 1, len(words) + 1)]
-    return min((d for d in found if d <= k), default=None)
+from test_decontam import whole_distance, whole_words
 
 
 def test_short_items_by_enumeration():
@@ -15,7 +10,7 @@ def test_short_items_by_enumeration():
     words = ["".join(random.choice("abc") for _ in range(random.randint(1, 6))) for _ in range(25)]
     items = {" ".join(random.choice(words) for _ in range(random.randint(1, 6)))[:24].strip() for _ in range(40)}
     items = list(enumerate(sorted(items)))
-    matcher = D.Matcher(items, 0.1, 0, D.SHORT)
+    matcher = D.Matcher([(i, p, 1) for i, p in items], 0.1)
     hits = 0
     for _ in range(120):
         s = " ".join(random.choice(words) for _ in range(6)) + " " + random.choice(items)[1] + " " + random.choice(words)
@@ -26,7 +21,7 @@ def test_short_items_by_enumeration():
         want = {(i, d) for i, p in items if (d := whole_words(p, t, int(0.1 * len(p)))) is not None}
         got = matcher.find(t)
         assert {(i, d) for i, d, *_ in got} == want
-        assert all(D.edits(dict(items)[i], t[b:e]) == d for i, d, _, b, e in got)
+        assert all(whole_distance(dict(items)[i], t[b:e]) == d for i, d, _, b, e, _ in got)
         hits += len(want)
     assert hits > 100
 
