@@ -175,18 +175,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs``, all their columns, of one document a group: that with the least doc_id.
+    """The rows of ``docs``, all their columns, of one row a group: that with the least doc_id (rows
+    without one last; of rows that repeat a doc_id one stays).
 
-    Of rows that repeat a kept doc_id one stays; rows without a doc_id stay.
+    Every row is judged by its own text: rows without a doc_id, or with a doc_id that other texts have
+    too, belong to the group of their text.
     """
-    groups = near_duplicates(docs, shingle, max_bits).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
-    groups = materialise(groups, "simhash-groups")
-    gone = materialise(groups.where("NOT stays").select("doc_id"), "simhash-gone")
-    repeated = materialise(groups.where("n > 1").select("doc_id"), "simhash-repeated")
-    stay = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return stay.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        stay.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    key = "_row"
+    while key in docs.columns:
+        key = f"_{key}"
+    keyed = materialise(docs.withColumn(key, F.monotonically_increasing_id()), "simhash-input")
+    groups = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), shingle, max_bits).select(
+        F.col("doc_id").alias(key), F.col("component_id").alias("group"))
+    ids = keyed.select(key, F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col(key).alias("c")).alias("order"))
+    first = groups.join(ids, key).groupBy("group").agg(F.min("order").alias("first")).select(F.col("first.c").alias(key))
+    gone = materialise(groups.join(first, key, "left_anti").select(key), "simhash-gone")
+    return keyed.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def op1_simhash(docs: DataFrame) -> DataFrame:

@@ -93,5 +93,14 @@ def test_keep_one(edge_docs, no_docs):
     kept = S.keep_one(edge_docs)
     assert kept.columns == edge_docs.columns
     ids = sorted((r.doc_id for r in kept.collect()), key=str)
-    assert ids.count(4) == 1 and 7 not in ids and 6 in ids and ids.count(None) == 2
+    # rows without an id are copies of rows with one: of the letterless texts the first stays
+    assert ids.count(4) == 1 and 7 not in ids and 6 in ids and ids.count(None) == 0 and 1 in ids and 2 not in ids
     assert S.keep_one(no_docs).count() == 0
+
+
+def test_every_row_is_judged_by_its_own_text(spark):
+    texts = ["one two three four five", "quite another text with other words", "a third one that nobody has seen yet"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[1]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (3, texts[0])]
+    kept = S.keep_one(spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, _row int"))
+    assert kept.columns == ["doc_id", "text", "_row"]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, texts[0]), (1, texts[1]), (None, texts[2])], key=str)
