@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from reelrank.session import path_exists, shared_path
 
 from . import bpe
-from .common import slices, texts
+from .common import freeing, slices, spread_join, texts
 
+#: Tasks that share the rows of one text.
+SALTS = 64
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
 
@@ -58,11 +60,13 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer_path: str | None =
     if path_exists(spark, cache_path):
         misses = misses.join(cached().select("digest").distinct(), "digest", "left_anti")
     misses = misses.groupBy("digest").agg(F.first("text").alias("text"))
-    misses.select("digest", "text").mapInArrow(_count(tokenizer_path), "digest binary, n_tokens long").select(
+    misses.select("digest", "text").mapInArrow(freeing(_count(tokenizer_path)), "digest binary, n_tokens long").select(
         "digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
     counts = cached().groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
-    return seen.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest").join(
-        counts, "digest").select("doc_id", "n_bytes", "n_tokens")
+    # copies of one text may be a third of all rows
+    rows = seen.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest").withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return spread_join(rows, ["digest"], counts, "salt").select("doc_id", "n_bytes", "n_tokens")
 
 
 def op8_token_counts(docs: DataFrame, limit: int = 512) -> DataFrame:
