@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelrank.session import shared_path, ship_package
@@ -60,6 +60,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def draw_least(df: DataFrame, n: int, group: str, keys: list[str], seed: int) -> DataFrame:
+    """The ``n`` rows of each ``group`` with the least seeded hash of ``keys`` (ties: least keys).
+
+    Rows are counted by group and the hash's first 16 bits; of a group only the rows up to the part in
+    which the nth lies are ranked, about ``n`` and a 65,536th of the group, however many rows it has.
+    """
+    marked = df.withColumn("_hash", F.xxhash64(F.lit(seed), *keys)).withColumn("_part", F.shiftright("_hash", 48))
+    parts = marked.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    last = materialise(parts.where(F.col("_before") < n).groupBy(group).agg(F.max("_part").alias("_last")), "draw-parts")
+    # one row a group
+    few = marked.join(F.broadcast(last) if last.count() <= 100_000 else last, group).where("_part <= _last")
+    rank = Window.partitionBy(group).orderBy("_hash", *keys)
+    return few.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= n).drop("_hash", "_part", "_last", "_n")
+
+
 def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long); root is the component's least node.
 

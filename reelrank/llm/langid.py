@@ -16,12 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.session import ship_package
 
-from .common import freeing, materialise, slices, texts
+from .common import draw_least, freeing, materialise, slices, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a block of the chain, and in a training chain.
@@ -74,6 +74,10 @@ def feature_rows(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at[:len(gram)] = (mixed >> np.uint64(64 - DIM.bit_length() + 1)).astype(np.int64)
         at[left < n] = DIM
         columns.append(at)
+    # the letters after a cut are the next part's: n-grams that begin there are counted with it
+    beyond = np.repeat(np.fromiter((w.endswith(ON) for w in found), bool, len(found)), size) & (left <= 3)
+    for column in columns:
+        column[beyond] = DIM
     whole = np.full(len(codes), DIM, np.int64)
     whole[ends - size] = [zlib.crc32(w.encode()) & (DIM - 1) for w in found]
     columns.append(whole)
@@ -279,15 +283,12 @@ def fit(docs: DataFrame, rows_per_language: int = 400, chains_per_language: int
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where(
         ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
 
-    def draw(df: DataFrame, n: int, *keys: str) -> DataFrame:
-        order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(seed), *keys), *keys)
-        return df.withColumn("n", F.row_number().over(order)).where(F.col("n") <= n).drop("n")
-
     # stored first: Spark then knows how small it is and need not shuffle the texts to join it
-    drawn = materialise(draw(usable.select("doc_id", "lang"), rows_per_language, "doc_id").distinct(), "langid-sample")
+    drawn = materialise(draw_least(usable.select("doc_id", "lang"), rows_per_language, "lang", ["doc_id"], seed).distinct(), "langid-sample")
     chains = usable.join(drawn, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text").mapInArrow(
         _chains, "doc_id long, lang string, k long, chain string")
-    sample = draw(chains, chains_per_language, "doc_id", "k").orderBy("lang", "doc_id", "k").collect()
+    chains = materialise(chains, "langid-chains")
+    sample = draw_least(chains, chains_per_language, "lang", ["doc_id", "k"], seed).orderBy("lang", "doc_id", "k").collect()
     if not sample:
         return Model([], np.zeros((DIM, 0), np.float32), np.zeros((0, 0)))
     return train([(r.lang, r.chain.split(" ")) for r in sample], seed=seed)
@@ -316,15 +317,23 @@ def _filter(model_of, at: int, least: float):
     return run
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all their columns, whose language is told with a score of ``least``.
+#: How far a score must lie above that of a uniform guess, as a share of the way to certainty.
+ABOVE_CHANCE = 1 / 15
+
+
+def keep_identified(docs: DataFrame, model: Model, above_chance: float = ABOVE_CHANCE) -> DataFrame:
+    """The rows of ``docs``, all their columns, whose language is told.
 
-    Rejected are texts that are null or have no letter (score 0) and texts in which no learned
-    language reaches that mean posterior. A model without languages rejects nothing.
+    Rejected are texts that are null or have no letter (score 0) and texts whose best language's mean
+    posterior lies less than ``above_chance`` of the way from 1 / languages, which says nothing, to 1. The
+    rule does not depend on how many languages were learned; with one, any letter will do. A model
+    without languages rejects nothing.
     """
     ship_package(docs.sparkSession)
     if not model.languages:
         return docs
+    chance = 1 / len(model.languages)
+    least = max(chance + above_chance * (1 - chance), 1e-9) if len(model.languages) > 1 else 1e-9
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(freeing(_filter(shared, docs.columns.index("text"), least)), docs.schema)
 

@@ -11,10 +11,10 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, texts
+from .common import draw_least, freeing, materialise, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 DIM = 1 << 18
@@ -143,11 +143,11 @@ def fit(docs: DataFrame, ratings: DataFrame, rows_per_grade: int = 2500, seed: i
 
     ``ratings`` is (doc_id, grade from 0). None if no rated row has a text.
     """
-    order = Window.partitionBy("grade").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
-    drawn = ratings.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_grade).select("doc_id", "grade")
     # stored first: Spark then knows how small it is and need not shuffle the texts to join it
-    drawn = materialise(drawn, "quality-sample")
-    sample = texts(docs).where("text IS NOT NULL").join(drawn, "doc_id").dropDuplicates(["doc_id"]).select(F.col("grade").cast("int").alias("grade"), "text").mapInArrow(
+    drawn = materialise(draw_least(ratings.select("doc_id", "grade"), rows_per_grade, "grade", ["doc_id"], seed), "quality-sample")
+    # of rows with one doc_id the least text is taken, and rows come in order: the model is the same each time
+    sample = texts(docs).where("text IS NOT NULL").join(drawn, "doc_id").groupBy("doc_id").agg(
+        F.min("grade").alias("grade"), F.min("text").alias("text")).orderBy("doc_id").select(F.col("grade").cast("int").alias("grade"), "text").mapInArrow(
         _features, "grade int, x array<long>").toArrow()
     if not sample.num_rows:
         return None
@@ -181,7 +181,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         none = F.lit(None).cast("double")
         return plain.select("doc_id", none.alias("expected_grade"), none.alias("p_not_lowest"), none.alias("p_highest"))
-    return plain.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)), SCORED)  # DIM doubles
+    return plain.mapInArrow(freeing(_score(docs.sparkSession.sparkContext.broadcast(model))), SCORED)  # DIM doubles
 
 
 def op5_quality(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:

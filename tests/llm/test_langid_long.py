@@ -15,6 +15,12 @@ def test_every_ngram_of_a_long_run_is_read():
         assert max(len(w.strip(langid.ON)) for w in found) <= langid.LONG + 3
         whole = features([run]) - {langid.zlib.crc32(run.encode()) & (langid.DIM - 1)}
         assert whole <= features(found)
+        grams = [f for f in langid.feature_rows([run])[0].tolist() if f != langid.DIM]
+        grams.remove(langid.zlib.crc32(run.encode()) & (langid.DIM - 1))
+        parts = [f for f in langid.feature_rows(found)[0].tolist() if f != langid.DIM]
+        for w in found:
+            parts.remove(langid.zlib.crc32(w.encode()) & (langid.DIM - 1))
+        assert sorted(grams) == sorted(parts) or n <= 40  # each n-gram once
         assert len(found) == -(-n // langid.LONG)
 
 
