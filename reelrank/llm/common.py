@@ -63,10 +63,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def draw_least(df: DataFrame, n: int, group: str, keys: list[str], seed: int) -> DataFrame:
     """The ``n`` rows of each ``group`` with the least seeded hash of ``keys`` (ties: least keys).
 
-    Rows are counted by group and the hash's first 16 bits; of a group only the rows up to the part in
-    which the nth lies are ranked, about ``n`` and a 65,536th of the group, however many rows it has.
+    Rows are counted by group and the hash's first 12 bits; of a group only the rows up to the part in
+    which the nth lies are ranked, about ``n`` and a 4,096th of the group.
     """
-    marked = df.withColumn("_hash", F.xxhash64(F.lit(seed), *keys)).withColumn("_part", F.shiftright("_hash", 48))
+    marked = df.withColumn("_hash", F.xxhash64(F.lit(seed), *keys)).withColumn("_part", F.shiftright("_hash", 52))
     parts = marked.groupBy(group, "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
