@@ -278,15 +278,15 @@ def q_recent_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 SHORT_LISTS = 10
 
 
-def _candidates(spark: SparkSession, sf_dir: str, k: int | None) -> DataFrame:
-    er, sims, rated, _, beyond = _lookups(spark, sf_dir, k=k)
+def _candidates(spark: SparkSession, sf_dir: str, k: int | None, lookups: tuple | None = None) -> DataFrame:
+    er, sims, rated, _, beyond = lookups or _lookups(spark, sf_dir, k=k)
     events = tables.stored(rerank.newest_per_user(er), "newest-events")
     cand = rerank.stream_candidates(events, sims, rated, beyond=beyond)
     return cand.select("uid", "rank", "mid", round6(F.col("sim")).alias("sim"))
 
 
-def _scores(spark: SparkSession, sf_dir: str, k: int | None) -> DataFrame:
-    er, sims, rated, recent, beyond = _lookups(spark, sf_dir, k=k)
+def _scores(spark: SparkSession, sf_dir: str, k: int | None, lookups: tuple | None = None) -> DataFrame:
+    er, sims, rated, recent, beyond = lookups or _lookups(spark, sf_dir, k=k)
     events = tables.stored(rerank.newest_per_user(er), "newest-events")
     cand = tables.stored(rerank.stream_candidates(events, sims, rated, beyond=beyond), "candidates")
     scores = rerank.stream_scores(cand, sims, recent, RERANK_SIM, beyond=beyond)
@@ -341,12 +341,12 @@ def q_stream_recs_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_recs(store.current())
 
 
-def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_stream_recs(spark: SparkSession, sf_dir: str, lookups: tuple | None = None) -> DataFrame:
     """The whole streaming job over stored lookup tables in buckets by movie and user. Messages are
     parquet files partitioned by day, read by a file stream several files per micro-batch,
     re-ranked in ``foreachBatch`` and upserted per user. The stored list of a user is the one of
     their newest event, whatever order the files are read in."""
-    er, sims, rated, recent, beyond = _lookups(spark, sf_dir)
+    er, sims, rated, recent, beyond = lookups or _lookups(spark, sf_dir)
     src = shared_path(spark, "stream-messages")
     _write_messages(spark, er, src)
     store = tables.KeyedStore(spark, shared_path(spark, "stream-recs"))
