@@ -176,21 +176,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of ``docs``, all their columns, of one row a group: that with the least doc_id (rows
-    without one last; of rows that repeat a doc_id one stays).
+    without one last; of rows that repeat exactly one stays).
 
     Every row is judged by its own text: rows without a doc_id, or with a doc_id that other texts have
-    too, belong to the group of their text.
+    too, belong to the group of their text. Rows are told apart by a 64-bit hash of doc_id and text.
     """
     key = "_row"
     while key in docs.columns:
         key = f"_{key}"
-    keyed = materialise(docs.withColumn(key, F.monotonically_increasing_id()), "simhash-input")
-    groups = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), shingle, max_bits).select(
-        F.col("doc_id").alias(key), F.col("component_id").alias("group"))
-    ids = keyed.select(key, F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col(key).alias("c")).alias("order"))
-    first = groups.join(ids, key).groupBy("group").agg(F.min("order").alias("first")).select(F.col("first.c").alias(key))
-    gone = materialise(groups.join(first, key, "left_anti").select(key), "simhash-gone")
-    return keyed.join(gone, key, "left_anti").select(*docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    rows = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), shingle, max_bits).groupBy(
+        F.col("doc_id").alias(key), F.col("component_id").alias("group")).agg(F.count("*").alias("n"))
+    ids = keyed.select(key, F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col(key).alias("c")).alias("order")).distinct()
+    rows = materialise(rows.join(ids, key), "simhash-groups")
+    first = rows.groupBy("group").agg(F.min("order").alias("first")).select(F.col("first.c").alias(key))
+    gone = materialise(rows.join(first, key, "left_anti").select(key), "simhash-gone")
+    repeated = materialise(rows.where("n > 1").select(key), "simhash-repeated")
+    stay = keyed.join(gone, key, "left_anti")
+    return stay.join(repeated, key, "left_anti").select(*docs.columns).unionByName(
+        stay.join(repeated, key, "left_semi").dropDuplicates([key]).select(*docs.columns))
 
 
 def op1_simhash(docs: DataFrame) -> DataFrame:
