@@ -11,9 +11,7 @@ from __future__ import annotations
 import pickle
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +25,6 @@ from reelrank.session import ship_package
 from .common import materialise, texts
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-#: Distinct words a task counts before it hands them on.
-FLUSH = 200_000
-UNKNOWN, START = 0, 1
 #: Bytes of text in a block, and of all text for each bucket of keys.
 BLOCK_BYTES, BUCKET_BYTES = 14 << 20, 4 << 20
 #: Tokens that are scored together.
@@ -41,158 +36,6 @@ def tokens(text: str | None) -> list[str]:
     return TOKEN.findall(text.lower()) if text else []
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, target) -> partial (word, target, n)."""
-    counts = (Counter(), Counter())
-
-    def rows() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([
-            pa.array([w for c in counts for w in c], pa.string()),
-            pa.array([t == 1 for t, c in enumerate(counts) for _ in c], pa.bool_()),
-            pa.array([n for c in counts for n in c.values()], pa.int64())], ["word", "target", "n"])
-        for c in counts:
-            c.clear()
-        return out
-
-    for batch in batches:
-        for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
-            counts[target].update(tokens(text.as_py()))
-            if len(counts[0]) + len(counts[1]) > FLUSH:
-                yield rows()
-    yield rows()
-
-
-def slot(before: np.ndarray, after: np.ndarray, slots: int) -> np.ndarray:
-    """Table slot of each bigram of word numbers; ``slots`` is a power of two."""
-    x = (before.astype(np.uint64) << np.uint64(32) | after.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ x >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9)
-    return (x >> np.uint64(65 - slots.bit_length())).astype(np.int64)
-
-
-def numbered(found: list[str], vocabulary: dict[str, int]) -> np.ndarray:
-    """Word numbers of a text after the start mark."""
-    get = vocabulary.get
-    return np.fromiter((START, *(get(w, UNKNOWN) for w in found)), np.int64, len(found) + 1)
-
-
-def _bigram_counts(vocabulary, slots: int):
-    """(text, target) -> partial (kind, at, background, target): kind 1 counts words, kind 2 bigram slots."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary.value
-        words = np.zeros((2, len(known) + 2), np.int64)
-        pairs = np.zeros((2, slots), np.int64)
-        for batch in batches:
-            for text, target in zip(batch.column(0), batch.column(1).to_pylist()):
-                ids = numbered(tokens(text.as_py()), known)
-                if len(ids) > 1:
-                    words[int(target)] += np.bincount(ids, minlength=words.shape[1])
-                    at, n = np.unique(slot(ids[:-1], ids[1:], slots), return_counts=True)
-                    pairs[int(target), at] += n
-        for kind, table in ((1, words), (2, pairs)):
-            at = np.flatnonzero(table.any(axis=0))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)),
-                pa.array(table[0, at]), pa.array(table[1, at])], ["kind", "at", "background", "target"])
-    return run
-
-
-@dataclass
-class Models:
-    """Counts of both corpora: words[c, word], pairs[c, slot]; c is 0 for background, 1 for target."""
-
-    vocabulary: dict[str, int]
-    words: np.ndarray
-    pairs: np.ndarray
-    mass: float
-
-    def losses(self, ids: np.ndarray, member: bool | None = None) -> np.ndarray:
-        """(2 x tokens): natural-log loss of each word after the one before it.
-
-        ``member`` tells which corpus counted this very text (True: target); its own counts are
-        taken out of that corpus, as no text may be its own evidence. None: neither.
-
-        P(w | v) = (c(v w) + mass * P(w)) / (c(v) + mass), P(w) = (c(w) + 1) / (N + V). Counts of
-        the larger corpus are scaled to the size of the smaller, so that both models trust their
-        counts alike; a slot that collisions fill counts no more than c(v).
-        """
-        at = slot(ids[:-1], ids[1:], self.pairs.shape[1])
-        words, pairs, totals = self.words[:, ids].astype(np.float64), self.pairs[:, at].astype(np.float64), self._totals.astype(np.float64)
-        if member is not None:
-            for counts, names in ((words, ids), (pairs, at)):
-                _, place, own = np.unique(names, return_inverse=True, return_counts=True)
-                counts[int(member)] -= own[place]
-            totals[int(member)] -= len(ids) - 1
-        scale = self._scale[:, None]
-        history = words[:, :-1] * scale
-        single = (words[:, 1:] * scale + 1) / (totals[:, None] * scale + self.words.shape[1])
-        pair = np.minimum(pairs * scale, history)
-        return -np.log((pair + self.mass * single) / (history + self.mass))
-
-    def __post_init__(self):
-        self._totals = self.words.sum(axis=1) - self.words[:, START]
-        least = self._totals.min()
-        self._scale = np.where(self._totals > 0, least / np.maximum(self._totals, 1), 1.0) if least > 0 else np.ones(2)
-
-
-def fit(docs: DataFrame, vocabulary_size: int = 1 << 16, slots: int = 1 << 20, mass: float = 4.0) -> Models:
-    """Both models from all rows of ``docs`` (text, target: boolean), held in bounded space.
-
-    An approximation for scoring new texts with a model that fits a task; ``corpus_scores`` has no bounds.
-    The vocabulary is the ``vocabulary_size`` most frequent words of all texts (ties by word); the
-    rest are one unknown word. All bigrams are counted, in ``slots`` hashed slots a model. Both
-    bounds are parameters of the model, so what comes to the driver and is broadcast to score
-    (about 40 MB) does not grow with the corpus; the counting itself reads and shuffles all of it.
-    """
-    spark = docs.sparkSession
-    ship_package(spark)
-    docs = docs.select("text", "target")
-    counted = docs.mapInArrow(_word_counts, "word string, target boolean, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(vocabulary_size).collect()
-    vocabulary = {r.word: i for i, r in enumerate(top, 2)}
-    shared = spark.sparkContext.broadcast(vocabulary)
-    sums = docs.mapInArrow(_bigram_counts(shared, slots), "kind int, at int, background long, target long").groupBy(
-        "kind", "at").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toArrow()
-    kind, at, background, target = (sums.column(c).to_numpy() for c in range(4))
-    words, pairs = np.zeros((2, len(vocabulary) + 2), np.int64), np.zeros((2, slots), np.int64)
-    for table, k in ((words, 1), (pairs, 2)):
-        table[0, at[kind == k]], table[1, at[kind == k]] = background[kind == k], target[kind == k]
-    return Models(vocabulary, words, pairs, mass)
-
-
-def _scores(models_of):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = models_of.value
-        for batch in batches:
-            n, target, background = [], [], []
-            for text, member in zip(batch.column(1), batch.column(2).to_pylist()):
-                ids = numbered(tokens(text.as_py()), models.vocabulary)
-                n.append(len(ids) - 1)
-                loss = models.losses(ids, member).mean(axis=1) if len(ids) > 1 else (None, None)
-                background.append(loss[0])
-                target.append(loss[1])
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n, pa.int64()), pa.array(target, pa.float64()),
-                pa.array(background, pa.float64())], ["doc_id", "n_tokens", "target_loss", "background_loss"])
-    return run
-
-
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score) of every row of ``docs``.
-
-    Losses are means over a text's tokens in nats; score = target - background, lower for texts
-    more like the target. A boolean column ``target`` tells which corpus the row was counted in;
-    without it, or where it is null, the row is new to both. Null and empty texts have no tokens and null losses. Repeated rows score
-    alike, a null doc_id stays null, other columns are ignored, an empty table gives no rows.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    member = F.col("target") if "target" in docs.columns else F.lit(None).cast("boolean")
-    ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       member.alias("target")).mapInArrow(
-        _scores(shared), "doc_id long, n_tokens long, target_loss double, background_loss double").withColumn(
-        "score", F.col("target_loss") - F.col("background_loss"))
-
-
 def _good(labels: DataFrame) -> DataFrame:
     return labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(
         F.col("doc_id").alias("good_id")).distinct()

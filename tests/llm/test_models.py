@@ -1,6 +1,5 @@
 import math
 import zlib
-from collections import Counter
 
 import numpy as np
 import pytest
@@ -81,45 +80,6 @@ def test_language_edges(edge_docs, no_docs):
 
 # language-model scoring
 
-def test_scores_against_plain_models(spark, sf):
-    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
-    rows = lm.marked(docs, labels).collect()
-    words = Counter(w for r in rows for w in lm.tokens(r.text))
-    keep = {w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:300]}
-    slots, mass = 1 << 12, 4.0
-    models = lm.fit(lm.marked(docs, labels), vocabulary_size=300, slots=slots, mass=mass)
-    assert set(models.vocabulary) == keep
-    single, pair = [Counter(), Counter()], [Counter(), Counter()]
-    chains = []
-    for r in rows:
-        ids = [lm.START, *(models.vocabulary.get(w, lm.UNKNOWN) for w in lm.tokens(r.text))]
-        at = lm.slot(np.array(ids[:-1]), np.array(ids[1:]), slots).tolist() if len(ids) > 1 else []
-        chains.append((r, ids, at))
-        if at:
-            single[r.target].update(ids)
-            pair[r.target].update(at)
-    totals = [sum(n for w, n in c.items() if w != lm.START) for c in single]
-    scale = [min(totals) / t for t in totals]
-    got = {r.doc_id: r for r in lm.score(lm.marked(docs, labels), models).collect()}
-    for r, ids, at in chains:
-        if not at:
-            assert got[r.doc_id].score is None and got[r.doc_id].n_tokens == 0
-            continue
-        means = []
-        for c in (0, 1):
-            own = c == r.target
-            w1, w2 = Counter(ids) if own else Counter(), Counter(at) if own else Counter()
-            n = totals[c] - (len(at) if own else 0)
-            loss = 0
-            for a, b, s in zip(ids, ids[1:], at):
-                h = (single[c][a] - w1[a]) * scale[c]
-                p1 = ((single[c][b] - w1[b]) * scale[c] + 1) / (n * scale[c] + 302)
-                loss -= math.log((min((pair[c][s] - w2[s]) * scale[c], h) + mass * p1) / (h + mass))
-            means.append(loss / len(at))
-        x = got[r.doc_id]
-        assert x.n_tokens == len(at) and math.isclose(x.background_loss, means[0]) and math.isclose(x.target_loss, means[1])
-
-
 def test_lm_edges(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(4, 1, 0), (4, 1, 0), (5, 0, 0), (6, 1, 1), (None, 1, 0), (8, None, None)], "doc_id long, quality int, toxic int")
     rows = lm.op4_lm_scoring(edge_docs, labels).collect()
