@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,14 +13,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelrank.session import ship_package
+
 from . import bpe
 from .common import freeing, materialise, slices, texts
 
 END = 2
 #: Items that one best-fit call packs at once; a task's input is taken in chunks of this many.
 CHUNK = 200_000
-#: Partitions merged into one by each round.
-FAN_IN = 8
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -107,29 +107,57 @@ def _pack(capacity: int, level: int):
 PACKED = "item long, bin long, offset long, total long"
 
 
+def going_on(bins: dict[int, int], capacity: int) -> dict[int, int]:
+    """How many of the ``bins`` (total -> number) go on to the next round.
+
+    All of at most half the capacity, and of the fuller ones, fullest first, as many as can be given one of
+    those to themselves, the largest that fits. What is left over could only meet bins it does not fit with.
+    """
+    on = {t: n for t, n in bins.items() if 2 * t <= capacity}
+    free, small = dict(on), sorted(on)
+    for total in sorted((t for t in bins if 2 * t > capacity), reverse=True):
+        left = bins[total]
+        while left:
+            j = bisect_right(small, capacity - total) - 1
+            if j < 0:
+                break
+            n = min(left, free[small[j]])
+            on[total], left = on.get(total, 0) + n, left - n
+            free[small[j]] -= n
+            if not free[small[j]]:
+                small.pop(j)
+    return on
+
+
 def pack(items: DataFrame, capacity: int = 1024, full: float = 0.99) -> DataFrame:
     """(item, sequence_id, offset) for ``items`` (item: unique long, length: 1 to capacity).
 
-    Every partition packs its items best-fit. Bins filled to ``full`` of the capacity are emitted,
-    and so are those that not even the emptiest bin of the round would fit into. The other bins
-    become items of the next round, over an eighth as many partitions, until a round has run over
-    a single partition. Best-fit calls take at most ``CHUNK`` items, so a task holds a bounded
-    number however many bins stay underfull.
+    Every partition packs its items best-fit. Bins filled to ``full`` of the capacity are emitted. Of the
+    others, those that can find a partner (``going_on``, of each total a share drawn by hash) become items
+    of the next round, which merges as many partitions as give a task ``CHUNK`` of them, until a round has
+    run over a single chunk or leaves nine tenths of its items. Best-fit calls take at most ``CHUNK`` items,
+    so a task holds a bounded number however many bins stay underfull.
     """
-    spark = items.sparkSession
+    ship_package(items.sparkSession)
     tasks = items.rdd.getNumPartitions()
     rounds = [materialise(items.select("item", "length").mapInPandas(_pack(capacity, 1), PACKED), "pack-1")]
-    while tasks > 1:
-        tasks = -(-tasks // FAN_IN)
-        under = rounds[-1].where(F.col("total") < capacity * full)
-        least = under.agg(F.min("total")).first()[0]
-        if least is None:
-            break
-        left = under.where(F.col("total") + least <= capacity).groupBy(F.col("bin").alias("item")).agg(
+    rows = rounds[0].count()
+    while tasks > 1 or rows > CHUNK:
+        under = rounds[-1].where(F.col("total") < capacity * full).groupBy(F.col("bin").alias("item")).agg(
             F.first("total").alias("length"))
-        level = len(rounds) + 1
+        # one row for each total, at most the capacity
+        bins = {r.length: r["count"] for r in under.groupBy("length").count().collect()}
+        on = going_on(bins, capacity)
+        left, before = sum(on.values()), rows
+        after = -(-left // CHUNK)
+        if left < 2 or (after >= tasks and left > 0.9 * before):
+            break
+        share = F.broadcast(items.sparkSession.createDataFrame(
+            [(t, -(-(n << 30) // bins[t])) for t, n in on.items()], "length long, share long"))
+        drawn = under.join(share, "length").where(F.pmod(F.xxhash64("item"), F.lit(1 << 30)) < F.col("share"))
+        tasks, rows, level = after, left, len(rounds) + 1
         rounds.append(materialise(
-            left.repartition(tasks).mapInPandas(_pack(capacity, level), PACKED), f"pack-{level}"))
+            drawn.select("item", "length").coalesce(tasks).mapInPandas(_pack(capacity, level), PACKED), f"pack-{level}"))
     # from the last round to the first: where each bin that went on has come to lie
     place = rounds[-1].select("item", F.col("bin").alias("sequence_id"), "offset")
     for packed in reversed(rounds[:-1]):

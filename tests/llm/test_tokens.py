@@ -97,3 +97,26 @@ def test_tree_rounds_merge_partitions(spark):
     assert len(rows) == 5000 and max(load.values()) <= 1024
     best = len(set(packing.best_fit(np.array([1 + (i * 7919) % 1024 for i in range(5000)]), 1024)[0].tolist()))
     assert len(load) <= 1.05 * best and total == sum(1 + (i * 7919) % 1024 for i in range(5000))
+
+
+def test_bins_without_a_partner_stay():
+    assert packing.going_on({900: 1000, 700: 1000, 60: 1}, 1024) == {60: 1, 900: 1}
+    assert packing.going_on({1000: 5, 600: 3, 500: 2, 400: 2}, 1024) == {500: 2, 400: 2, 600: 2}
+    assert packing.going_on({600: 9}, 1024) == {} and packing.going_on({}, 1024) == {}
+
+
+def test_one_small_bin_does_not_send_all(spark):
+    """Items of over half the capacity on many partitions and one that fits with any of them."""
+    items = spark.range(0, 6000, 1, 16).selectExpr("id AS item", "CASE WHEN id = 17 THEN 60L ELSE 600 + (id * 7919) % 300 END AS length")
+    rows = packing.pack(items).collect()
+    assert len(rows) == 6000 and len({r.sequence_id for r in rows}) == 5999
+
+
+def test_many_small_items_fill_their_bins(spark, monkeypatch):
+    """Rounds over several chunks, too: 512 equal items a bin, whatever the partitions held."""
+    monkeypatch.setattr(packing, "CHUNK", 300)
+    rows = packing.pack(spark.range(0, 4000, 1, 50).selectExpr("id AS item", "2L AS length")).collect()
+    load = defaultdict(int)
+    for r in rows:
+        load[r.sequence_id] += 2
+    assert sum(load.values()) == 8000 and max(load.values()) <= 1024 and len(load) <= 10
