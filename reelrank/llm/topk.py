@@ -1,15 +1,21 @@
 """Exact top-k inner products: a KD-tree per shard, searched best first.
 
 Each shard's tree splits at the median of its widest dimension and keeps the tight bounding box of
-every node. The inner product of a query with any vector in a box is at most
-sum(max(q*lo, q*hi)) over the dimensions; nodes are visited by that bound, and a search ends
-when the best bound left is below the query's kth score. A query first searches the shard it lies
-in; the kth score found there is handed on to its searches of the other shards.
+every node, and its ball: centre and largest distance from it. The inner product of a query with any
+vector in a box is at most sum(max(q*lo, q*hi)) over the dimensions, in a ball at most
+q*centre + |q|*radius; nodes are visited by the lesser bound, and a search ends
+when the best bound left is below the query's kth score.
+
+Shards lie in space: median splits of a bounded sample make cells, every row goes to its cell, and a
+cell is dealt to shards by hash. A query first searches the shard it lies in; with the kth score found
+there it goes on to the cells whose ball reaches that score, and a vector is shipped only to the blocks of
+queries that reach its cell.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,17 +29,62 @@ from .common import materialise
 SHARD_ROWS = 4096
 QUERY_ROWS = 4096
 LEAF = 64
+#: Cells at most, and sampled rows for each of them (expected) that the splits are fitted on.
+CELLS, SAMPLED = 512, 32
 #: Products of components below this are summed exactly by doubles up to 2^21 dimensions.
 EXACT = 1 << 16
 
 FOUND = "query_id long, vec_id long, score long"
 
 
+def ball_bounds(queries: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """(query x ball) no less than any inner product of the query with a vector in the ball."""
+    q = queries.astype(np.float64)
+    size = np.sqrt((q * q).sum(axis=1))[:, None]
+    far = np.sqrt((centres * centres).sum(axis=1)) + radii
+    return q @ centres.T + size * radii + 1e-9 * size * far + 1
+
+
+class Cells:
+    """Median splits of sampled rows along the dimension of greatest variance; leaves are numbered so that
+    neighbours in the tree are neighbours in number, and keep their sample's mean."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        self.centres: list[np.ndarray] = []
+        self.root = self._grow(sample, cells)
+        self.centres = np.array(self.centres)
+
+    def _grow(self, part: np.ndarray, cells: int):
+        if cells > 1 and len(part) > 1 and part.shape[1] and (part != part[0]).any():
+            along = int(part.var(axis=0).argmax())
+            x = part[:, along]
+            cut = np.partition(x, len(x) // 2)[len(x) // 2]
+            cut += int(not (x < cut).any())
+            return along, cut, self._grow(part[x < cut], cells - cells // 2), self._grow(part[x >= cut], cells // 2)
+        self.centres.append(part.mean(axis=0) if len(part) else np.zeros(part.shape[1]))
+        return len(self.centres) - 1
+
+    def place(self, vectors: np.ndarray) -> np.ndarray:
+        """The cell of each row."""
+        out = np.zeros(len(vectors), np.int32)
+        todo = [(self.root, np.arange(len(vectors)))]
+        while todo:
+            node, rows = todo.pop()
+            if isinstance(node, tuple):
+                along, cut, left, right = node
+                low = vectors[rows, along] < cut
+                todo += [(left, rows[low]), (right, rows[~low])]
+            else:
+                out[rows] = node
+        return out
+
+
 class Tree:
     """KD-tree over the rows of ``vectors`` (int64), rows in each leaf ordered by id."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
         self.lo, self.hi, self.children, self.rows = [], [], [], []
+        self.centre, self.radius = [], []
         self.ids, self.vectors = ids, vectors
         self._leaf = leaf
         todo = [(np.argsort(ids, kind="stable"), -1, 0)]
@@ -43,6 +94,8 @@ class Tree:
             lo, hi = part.min(axis=0), part.max(axis=0)
             self.lo.append(lo)
             self.hi.append(hi)
+            self.centre.append(part.mean(axis=0))
+            self.radius.append(np.sqrt(((part - self.centre[-1]) ** 2).sum(axis=1)).max())
             self.children.append([-1, -1])
             self.rows.append(None)
             if parent >= 0:
@@ -56,15 +109,16 @@ class Tree:
             left = x < median if (x < median).any() else x <= median
             todo += [(rows[left], node, 0), (rows[~left], node, 1)]
         self.lo, self.hi = np.array(self.lo, np.float64), np.array(self.hi, np.float64)
+        self.centre, self.radius = np.array(self.centre), np.array(self.radius)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """(query x node) least upper bounds, rounded up where doubles are not exact."""
+        """(query x node) lesser of the box and ball bounds, rounded up where doubles are not exact."""
         q = queries.astype(np.float64)
         b = np.maximum(q, 0) @ self.hi.T + np.minimum(q, 0) @ self.lo.T
         size = max(np.abs(self.lo).max(initial=0), np.abs(self.hi).max(initial=0), np.abs(q).max(initial=0))
         if size >= EXACT:
             b += 1e-9 * (np.abs(q) @ np.maximum(np.abs(self.lo), np.abs(self.hi)).T) + 1
-        return b
+        return np.minimum(b, ball_bounds(q, self.centre, self.radius))
 
     def search(self, query: np.ndarray, own: int, k: int, least: float, bound: np.ndarray) -> list[tuple[int, int]]:
         """The k best (score, vec_id), ties to the smaller id, among those of at least ``least``."""
@@ -129,8 +183,32 @@ def quantised(embeddings: DataFrame, scale: int = 256) -> DataFrame:
         "vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
 
 
+def _placed(cells, width: int):
+    """(vec_id, v) -> the same with the cell and the distance from its centre."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = _matrix(batch.v, width)
+            cell = cells.value.place(x)
+            yield batch.assign(cell=cell, away=np.sqrt(((x - cells.value.centres[cell]) ** 2).sum(axis=1)))
+    return run
+
+
+def _reaching(cells, radii: dict[int, float], width: int):
+    """Queries -> the same with the cells that can hold a score of at least ``least`` (null: any)."""
+    names = np.array(sorted(radii), np.int32)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        centres, radius = cells.value.centres[names], np.array([radii[c] for c in names])
+        for batch in batches:
+            least = batch.least.to_numpy(np.float64, na_value=-np.inf)
+            least[np.isnan(least)] = -np.inf
+            bounds = ball_bounds(_matrix(batch.q, width), centres, radius)
+            yield batch.assign(cells=[names[b >= x].tolist() for b, x in zip(bounds, least)])
+    return run
+
+
 def top_products(embeddings: DataFrame, every: int = 50, k: int = 5, scale: int = 256,
-                 shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+                 shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS, shipped: list | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest inner products, exactly.
 
     Queries are the rows whose vec_id is divisible by ``every``; candidates are all rows with
@@ -140,15 +218,35 @@ def top_products(embeddings: DataFrame, every: int = 50, k: int = 5, scale: int
     (and queries) once. Other columns are ignored, an empty table gives no rows.
     Components must stay below 2^28 after scaling for scores to fit a long.
 
-    Shards and query blocks are drawn by a hash of vec_id and hold about ``shard_rows`` and
-    ``query_rows`` rows at any size of the table; each (shard, block) is one group.
+    There are at most ``CELLS`` cells, split on about ``SAMPLED`` rows each; the rows of a cell, however
+    many are equal, are dealt to shards of about ``shard_rows`` rows. Queries of neighbouring cells form
+    blocks of about ``query_rows``; each (shard, block) that a query reaches is one group. ``shipped``
+    gets (queries sent to cells, queries x cells), which costs another pass.
     """
-    ship_package(embeddings.sparkSession)
-    vectors = quantised(embeddings, scale).dropDuplicates()
-    rows = vectors.count()
-    shards = max(1, -(-rows // shard_rows))
-    blocks = max(1, -(-(rows // every) // query_rows))
-    vectors = materialise(vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")), "topk-vectors")
+    spark = embeddings.sparkSession
+    ship_package(spark)
+    vectors = materialise(quantised(embeddings, scale).dropDuplicates(), "topk-vectors")
+    rows, width = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    width = width or 0
+    wanted = min(CELLS, max(1, -(-rows // shard_rows)))
+    share = min(1.0, SAMPLED * wanted / max(rows, 1))
+    drawn = vectors.where(F.pmod(F.xxhash64(F.lit("cells"), "vec_id", "v"), F.lit(1 << 40)) < int(share * (1 << 40))).select("v").toPandas()
+    cells = spark.sparkContext.broadcast(Cells(_matrix(drawn.v, width), wanted))
+    placed = materialise(vectors.mapInPandas(_placed(cells, width), "vec_id long, v array<long>, cell int, away double"), "topk-cells")
+    asks = (F.col("vec_id") % every == 0).cast("long")
+    known = sorted(placed.groupBy("cell").agg(F.count("*"), F.sum(asks), F.max("away")).collect())
+
+    plan, block, held = [], 0, 0  # blocks run over neighbouring cells; a cell of many queries has its own
+    for cell, n, queries, _ in known:
+        if held and held + queries > query_rows:
+            block, held = block + 1, 0
+        blocks = max(1, -(-queries // query_rows))
+        plan.append((cell, -(-n // shard_rows), block, blocks))
+        block, held = (block + blocks, 0) if blocks > 1 else (block, held + queries)
+    # one row a cell
+    plan = F.broadcast(spark.createDataFrame(plan, "cell int, shards int, first int, blocks int"))
+    shards = plan.select("cell", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    placed = placed.join(plan, "cell").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
 
     def home(base: pd.DataFrame) -> pd.DataFrame:
         own = base[base.vec_id % every == 0]
@@ -157,16 +255,24 @@ def top_products(embeddings: DataFrame, every: int = 50, k: int = 5, scale: int
     def away(base: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         return _search(base, queries.rename(columns={"q": "v"}), k)
 
-    at_home = materialise(vectors.groupBy("shard").applyInPandas(home, FOUND), "topk-home")
+    base = placed.select("cell", "shard", "vec_id", "v")
+    at_home = materialise(base.groupBy("cell", "shard").applyInPandas(home, FOUND), "topk-home")
     kth = at_home.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).select(
         "query_id", F.when(F.col("n") >= k, F.col("least")).cast("double").alias("least"))
-    queries = vectors.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", F.col("shard").alias("home"))
-    queries = queries.join(kth, "query_id", "left").withColumn(
-        "block", F.pmod(F.xxhash64(F.lit("block"), "query_id"), F.lit(blocks)).cast("int"))
-    sent = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home").select(
-        "shard", "block", "query_id", F.col("v").alias("q"), "least")
-    base = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("shard", "block", "vec_id", "v")
-    elsewhere = base.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block")).applyInPandas(away, FOUND)
+    queries = placed.where(F.col("vec_id") % every == 0).select(
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("cell").alias("home"), F.col("shard").alias("part"),
+        (F.col("first") + F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.col("blocks"))).cast("int").alias("block")).join(kth, "query_id", "left")
+    radii = {cell: radius for cell, _, _, radius in known}
+    queries = materialise(queries.mapInPandas(_reaching(cells, radii, width), (
+        "query_id long, q array<long>, home int, part int, block int, least double, cells array<int>")), "topk-queries")
+    if shipped is not None:
+        shipped.append(queries.agg(F.sum(F.size("cells")), F.count("*") * len(known)).first())
+    sent = queries.withColumn("cell", F.explode("cells")).join(F.broadcast(plan.select("cell", "shards")), "cell").withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).where("cell <> home OR shard <> part").select(
+        "cell", "shard", "block", "query_id", "q", "least")
+    reached = queries.select(F.col("block").alias("block"), F.explode("cells").alias("cell")).distinct().join(shards, "cell")
+    elsewhere = base.join(reached, ["cell", "shard"]).groupBy("cell", "shard", "block").cogroup(
+        sent.groupBy("cell", "shard", "block")).applyInPandas(away, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return at_home.unionByName(elsewhere).withColumn("rank", F.row_number().over(order).cast("int")).where(
         F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

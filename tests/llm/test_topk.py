@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+
 from reelrank.llm import topk
 
 SCHEMA = "vec_id long, embedding array<float>, label int, v int, shard string, score int"
@@ -36,6 +38,30 @@ def test_ties_and_hot_vector(spark):
     assert sorted(map(tuple, got.collect())) == plain(frame.collect(), 10, 5)
 
 
+def test_clustered_vectors_reach_few_cells(spark):
+    random.seed(3)
+    hubs = [[random.gauss(0, 1) for _ in range(24)] for _ in range(16)]
+    rows = [(i, [x + random.gauss(0, 0.05) for x in hubs[i % 16]], 0, 0, "", 0) for i in range(1600)]
+    frame, shipped = spark.createDataFrame(rows, SCHEMA), []
+    got = topk.top_products(frame, every=10, k=5, shard_rows=50, query_rows=40, shipped=shipped)
+    assert sorted(map(tuple, got.collect())) == plain(frame.collect(), 10, 5)
+    sent, everything = shipped[0]
+    assert sent < 0.4 * everything
+
+
+def test_ball_bounds_hold():
+    rng = np.random.default_rng(5)
+    x, q = rng.integers(-900, 900, (300, 9)), rng.integers(-900, 900, (40, 9))
+    cells = topk.Cells(x, 20)
+    cell = cells.place(x)
+    assert len(set(cell.tolist())) == 20 == len(cells.centres)
+    radius = np.array([np.sqrt(((x[cell == c] - cells.centres[c]) ** 2).sum(axis=1)).max() for c in range(20)])
+    best = np.array([[(x[cell == c] @ y).max() for c in range(20)] for y in q])
+    assert (topk.ball_bounds(q, cells.centres, radius) >= best).all()
+    tree = topk.Tree(np.arange(300), x, leaf=8)
+    assert (tree.bounds(q)[:, 0] >= (q @ x.T).max(axis=1)).all()
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, []), (50, [0.1, -0.1]),
