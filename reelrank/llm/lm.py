@@ -2,8 +2,10 @@
 
 ``corpus_scores`` (the operator) counts every word and bigram of both corpora. Texts are cut into
 blocks and numbered once; a block sends each of its distinct words and bigrams, with its own counts, to
-the bucket of that key, and gets the counts of the whole corpus back. Blocks and buckets have a bounded size and
-their number grows with the input; keys are the words themselves and the driver sees sums only.
+the bucket of that key, and gets the counts of the whole corpus back. Beyond ``FAN_IN`` blocks the messages go
+up in rounds: groups of at most about that many blocks merge bucket by bucket, and what is merged is dealt to as
+many finer buckets for the next round; the counts come down the same way. So a message holds about as many keys, and a
+task as many messages, at any size of the input. Keys are the words themselves and the driver sees sums only.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,8 @@ from .common import materialise, texts
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Bytes of text in a block, and of all text for each bucket of keys.
 BLOCK_BYTES, BUCKET_BYTES = 14 << 20, 4 << 20
+#: Blocks whose messages meet in one task at most (groups are drawn by hash, three quarters of it on average).
+FAN_IN = 256
 #: Tokens that are scored together.
 PART = 400_000
 STATE, MARKS = -2, -1
@@ -96,7 +101,10 @@ def _dealt(hashes: np.ndarray, pairs: np.ndarray, buckets: int) -> tuple[np.ndar
 
 BLOCKS = "block long, doc_ids array<long>, state binary, ids binary, words binary"
 SUMS = ("texts_b", "texts_t", "tokens_b", "tokens_t")
-REQUESTS = "block long, bucket int, keys binary, background binary, target binary, " + ", ".join(f"{c} long" for c in SUMS)
+REQUESTS = "block long, bucket long, keys binary, background binary, target binary, " + ", ".join(f"{c} long" for c in SUMS)
+ANSWERS = "block long, bucket long, background binary, target binary"
+#: A merged node has one row with its state and one for each finer bucket ``up``.
+MERGED = REQUESTS.replace("block long, bucket long", "node long, bucket long, up long, state binary")
 
 
 def _blocks(block_bytes: int):
@@ -157,23 +165,66 @@ def _requests(buckets: int):
         cuts = [*np.flatnonzero(np.diff(dealt, prepend=-1)).tolist(), len(dealt)]
         rows = [(state["block"], int(dealt[a]), _pack("\n".join(keys.slice(a, b - a).to_pylist()).encode()), _pack(counts[0][a:b]),
                  _pack(counts[1][a:b]), *(sums if a == 0 else (0, 0, 0, 0))) for a, b in zip(cuts, cuts[1:])]
-        kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 3, *[pa.int64()] * 4)
+        kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 3, *[pa.int64()] * 4)
         return pa.table([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], ["block", "bucket", "keys", "background", "target", *SUMS])
     return run
 
 
-def _answers(requests: pa.Table) -> pa.Table:
-    """The requests of one bucket -> for each block the counts of its keys in the whole corpus."""
+def _totals(requests: pa.Table, width: type) -> tuple[list[int], pa.Array, np.ndarray, list[np.ndarray]]:
+    """(keys in each message, the distinct keys, the place of each key among these, their background and target counts)."""
     parts = [pa.array(_unpack(x).decode().split("\n"), pa.large_string()) for x in requests.column("keys").to_pylist()]
     coded = pa.concat_arrays(parts).dictionary_encode()
     at = coded.indices.to_numpy()
-    totals = [np.bincount(at, weights=np.concatenate([_unpack(x, np.int32) for x in requests.column(c).to_pylist()])).astype(np.int64)
+    totals = [np.bincount(at, weights=np.concatenate([_unpack(x, width) for x in requests.column(c).to_pylist()])).astype(np.int64)
               for c in ("background", "target")]
-    n_words = pc.sum(pc.invert(pc.match_substring(coded.dictionary, " "))).as_py()
-    ends = np.cumsum([len(p) for p in parts])
-    answers = [pa.array([_pack(t[at[e - len(p):e]]) for p, e in zip(parts, ends)], pa.binary()) for t in totals]
-    return pa.table([requests.column("block"), requests.column("bucket"), *answers, pa.array([n_words, *[0] * (len(parts) - 1)], pa.int64()),
-                     *(requests.column(c) for c in SUMS)], ["block", "bucket", "background", "target", "words", *SUMS])
+    return [len(p) for p in parts], coded.dictionary, at, totals
+
+
+def _merged(finer: int, level: int, width: type):
+    """The messages of some blocks to one bucket -> one message to each of ``finer`` buckets, and the way back."""
+    def run(requests: pa.Table) -> pa.Table:
+        lengths, keys, at, totals = _totals(requests, width)
+        part = np.fromiter((xxhash.xxh64_intdigest(k, level) % finer for k in keys.to_pylist()), np.int64, len(keys))
+        order = np.argsort(part, kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        keys, part, totals = keys.take(pa.array(order)), part[order], [t[order] for t in totals]
+        node, bucket = requests.column("node")[0].as_py(), requests.column("bucket")[0].as_py()
+        sums = [pc.sum(requests.column(c)).as_py() for c in SUMS]
+        state = pickle.dumps((requests.column("block").to_pylist(), lengths, _pack(place[at])))
+        cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
+        rows = [(node, bucket, None, state, None, None, None, *[None] * 4)]
+        rows += [(node, bucket, bucket * finer + int(part[a]), None, _pack("\n".join(keys.slice(a, b - a).to_pylist()).encode()),
+                  _pack(totals[0][a:b]), _pack(totals[1][a:b]), *(sums if a == 0 else (0, 0, 0, 0))) for a, b in zip(cuts, cuts[1:])]
+        kinds = (*[pa.int64()] * 3, *[pa.binary()] * 4, *[pa.int64()] * 4)
+        return pa.table([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)],
+                        ["node", "bucket", "up", "state", "keys", "background", "target", *SUMS])
+    return run
+
+
+def _handed_back(group: pa.Table) -> pa.Table:
+    """State of one merged node and the answers to its messages -> an answer to each of its blocks."""
+    rows = sorted(group.to_pylist(), key=lambda r: -1 if r["up"] is None else r["up"])
+    blocks, lengths, place = pickle.loads(rows[0]["state"])
+    place, ends = _unpack(place, np.int32), np.cumsum(lengths)
+    answers = []
+    for name in ("background", "target"):
+        found = np.concatenate([_unpack(r[name], np.int64) for r in rows[1:]])[place]
+        answers.append(pa.array([_pack(found[e - n:e]) for e, n in zip(ends, lengths)], pa.binary()))
+    return pa.table([pa.array(blocks, pa.int64()), pa.array([rows[0]["bucket"]] * len(blocks), pa.int64()), *answers],
+                    ["block", "bucket", "background", "target"])
+
+
+def _answers(width: type):
+    """The requests of one bucket -> for each sender the counts of its keys in the whole corpus."""
+    def run(requests: pa.Table) -> pa.Table:
+        lengths, keys, at, totals = _totals(requests, width)
+        n_words = pc.sum(pc.invert(pc.match_substring(keys, " "))).as_py()
+        ends = np.cumsum(lengths)
+        answers = [pa.array([_pack(t[at[e - n:e]]) for e, n in zip(ends, lengths)], pa.binary()) for t in totals]
+        return pa.table([requests.column("block"), requests.column("bucket"), *answers, pa.array([n_words, *[0] * (len(lengths) - 1)], pa.int64()),
+                         *(requests.column(c) for c in SUMS)], ["block", "bucket", "background", "target", "words", *SUMS])
+    return run
 
 
 def _block_scores(texts_of: tuple[int, int], totals_of: tuple[int, int], vocabulary: int, buckets: int, mass: float):
@@ -224,7 +275,7 @@ def _block_scores(texts_of: tuple[int, int], totals_of: tuple[int, int], vocabul
 
 
 def corpus_scores(docs: DataFrame, labels: DataFrame, mass: float = 4.0, block_bytes: int = BLOCK_BYTES,
-                  bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                  bucket_bytes: int = BUCKET_BYTES, fan_in: int = FAN_IN) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of every row of ``docs``, under models of
     all words and bigrams of the other rows; ``labels`` tell the corpus of a row as in ``marked``.
 
@@ -234,20 +285,35 @@ def corpus_scores(docs: DataFrame, labels: DataFrame, mass: float = 4.0, block_b
     counts of the larger corpus are scaled to the size of the smaller. Null and empty texts have no
     tokens and null losses. Repeated rows score alike, a null doc_id stays null, other columns are
     ignored, an empty table gives no rows.
+
+    A text is tokenised whole in one block. Up to ``fan_in`` blocks there is one round of messages; each further round
+    merges groups of about three quarters of ``fan_in`` senders, so 100 times the input adds about one round.
     """
     plain = texts(docs)
-    buckets = -(-(plain.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // bucket_bytes) or 1
+    size = plain.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    # as many buckets as the whole input needs, or a group of blocks
+    buckets = max(1, -(-min(size, fan_in * block_bytes) // bucket_bytes))
     blocks = materialise(plain.mapInArrow(_blocks(block_bytes), BLOCKS), "lm-blocks")
     # only ids meet the labels: the texts are not shuffled
     places = blocks.select("block", F.posexplode("doc_ids").alias("at", "doc_id"))
     marks = materialise(places.join(_good(labels).hint("merge"), F.col("doc_id") == F.col("good_id")).groupBy("block").agg(
         F.collect_list("at").alias("marks")).withColumn("bucket", F.lit(MARKS)), "lm-marks")
     states = blocks.withColumn("bucket", F.lit(STATE))
-    answers = materialise(
-        states.select("block", "bucket", "state", "ids", "words").unionByName(marks, allowMissingColumns=True).groupBy("block").applyInArrow(
-            _requests(buckets), REQUESTS).groupBy("bucket").applyInArrow(
-            _answers, "block long, bucket int, background binary, target binary, words long, " + ", ".join(f"{c} long" for c in SUMS)), "lm-answers")
+    requests, width, levels = states.select("block", "bucket", "state", "ids", "words").unionByName(
+        marks, allowMissingColumns=True).groupBy("block").applyInArrow(_requests(buckets), REQUESTS), np.int32, []
+    senders = blocks.count()
+    while senders > fan_in:
+        senders = -(-senders * 4 // (fan_in * 3))
+        node = F.pmod(F.xxhash64(F.lit(len(levels)), "block"), F.lit(senders)).alias("node")
+        merged = materialise(requests.select("*", node).groupBy("node", "bucket").applyInArrow(_merged(fan_in, len(levels), width), MERGED), "lm-merged")
+        requests, width = merged.where("up IS NOT NULL").select(F.col("node").alias("block"), F.col("up").alias("bucket"), "keys", "background", "target", *SUMS), np.int64
+        levels.append(merged.where("up IS NULL").select("node", "bucket", "state"))
+    answers = materialise(requests.groupBy("bucket").applyInArrow(
+        _answers(width), ANSWERS + ", words long, " + ", ".join(f"{c} long" for c in SUMS)), "lm-answers")
     texts_b, texts_t, tokens_b, tokens_t, vocabulary = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in (*SUMS, "words"))).first()
+    for level in reversed(levels):
+        below = answers.select(F.col("block").alias("node"), F.expr(f"bucket DIV {fan_in}").alias("bucket"), F.col("bucket").alias("up"), "background", "target")
+        answers = materialise(level.unionByName(below, allowMissingColumns=True).groupBy("node", "bucket").applyInArrow(_handed_back, ANSWERS), "lm-answers")
     return states.select("block", "bucket", "doc_ids", "state", "ids").unionByName(marks, allowMissingColumns=True).unionByName(
         answers.select("block", "bucket", "background", "target"), allowMissingColumns=True).groupBy("block").applyInArrow(
         _block_scores((texts_b, texts_t), (tokens_b, tokens_t), vocabulary, buckets, mass),

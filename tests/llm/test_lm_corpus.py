@@ -1,6 +1,8 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from reelrank.llm import lm
@@ -50,11 +52,32 @@ def test_all_words_and_bigrams_count(spark):
     same(lm.op4_lm_scoring(docs, docs.where("target").selectExpr("doc_id", "1 quality", "0 toxic")).collect(), brute(docs.collect()))
 
 
-@pytest.mark.parametrize("block, bucket", [(1 << 24, 1 << 22), (5_000, 20_000), (1, 1 << 30)])
-def test_against_plain_counts(spark, sf, block, bucket):
+@pytest.mark.parametrize("block, bucket, fan_in", [(1 << 24, 1 << 22, 256), (5_000, 20_000, 256), (1, 1 << 30, 1000), (5_000, 4_000, 6), (3_000, 2_000, 3)])
+def test_against_plain_counts(spark, sf, block, bucket, fan_in):
+    """One block, one round, and two and more rounds of merging."""
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     corpora = lm.marked(docs, labels)
-    same(lm.corpus_scores(docs, labels, block_bytes=block, bucket_bytes=bucket).collect(), brute(corpora.collect()))
+    same(lm.corpus_scores(docs, labels, block_bytes=block, bucket_bytes=bucket, fan_in=fan_in).collect(), brute(corpora.collect()))
+
+
+def test_merged_messages_come_back():
+    """A node's blocks get the counts of their own keys, in their own order; its messages hold every key once."""
+    blocks = {7: ["b", "a", "a b"], 9: ["c", "a"], 4: ["a b", "d", "b"]}
+    sent = pa.table({"node": [2] * 3, "bucket": [5] * 3, "block": list(blocks), "keys": [lm._pack("\n".join(k).encode()) for k in blocks.values()],
+                     **{c: [lm._pack(np.full(len(k), n, np.int32)) for k in blocks.values()] for n, c in enumerate(("background", "target"), 1)},
+                     **{c: [n, 10 * n, 100 * n] for n, c in enumerate(lm.SUMS)}})
+    up = lm._merged(4, 0, np.int32)(sent).to_pylist()
+    keys = [k for r in up[1:] for k in lm._unpack(r["keys"]).decode().split("\n")]
+    assert sorted(keys) == ["a", "a b", "b", "c", "d"]
+    assert all(5 * 4 <= r["up"] < 6 * 4 for r in up[1:]) and sum(r["texts_t"] for r in up[1:]) == 111
+    back = [up[0]] + [{**r, "state": None} for r in up[1:]]
+    kinds = pa.schema([("bucket", pa.int64()), ("up", pa.int64()), ("state", pa.binary()), ("background", pa.binary()), ("target", pa.binary())])
+    got = lm._handed_back(pa.Table.from_pylist(back[::-1], kinds)).to_pylist()
+    holders = {k: sum(k in b for b in blocks.values()) for k in keys}
+    assert [r["block"] for r in got] == list(blocks) and {r["bucket"] for r in got} == {5}
+    for r in got:
+        assert lm._unpack(r["background"], np.int64).tolist() == [holders[k] for k in blocks[r["block"]]]
+        assert lm._unpack(r["target"], np.int64).tolist() == [2 * holders[k] for k in blocks[r["block"]]]
 
 
 def test_edges_against_plain_counts(spark, edge_docs):
